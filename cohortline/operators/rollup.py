@@ -68,11 +68,17 @@ def with_date(df: DataFrame, ts: str, scope: Scope) -> DataFrame:
 
 
 def daily_rollup(part: DailyPart) -> DataFrame:
-    """One row per (actor_id, date) with the part's daily measures."""
+    """One row per (actor_id, date) with the part's daily measures.
+
+    Output types: money as double (summed exactly in decimal first), counts as bigint.
+    """
     aggs = [F.sum(m.value).alias(m.name) for m in part.measures]
-    daily = part.rows.groupBy(*KEY).agg(*aggs)
-    return daily.select(*KEY, *[(m.post(F.col(m.name)) if m.post else F.col(m.name)).alias(m.name)
-                                for m in part.measures])
+    daily = part.rows.filter(F.col("actor_id").isNotNull()).groupBy(*KEY).agg(*aggs)
+
+    def out(m):
+        value = m.post(F.col(m.name)) if m.post else F.col(m.name)
+        return value.cast("bigint" if m.kind == "count" else "double").alias(m.name)
+    return daily.select(*KEY, *[out(m) for m in part.measures])
 
 
 # --------------------------------------------------------------------------- parts

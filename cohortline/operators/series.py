@@ -154,3 +154,16 @@ def finalize(df: DataFrame, parts: list[DailyPart], fill=None, cross_source=Fals
 def metric_names(parts: list[DailyPart], cross_source=False) -> list[str]:
     names = [m.name for p in parts for m in p.measures] + [r.name for p in parts for r in p.ratios]
     return names + (["pnl_usd", "contract_count"] if cross_source else [])
+
+
+def build_series(parts: list[DailyPart], fill=None, cross_source=False, snapshot_day=None) -> DataFrame:
+    """C1 + C5 + C3 (or C7) + C4 (+ C6): the daily series of the given parts."""
+    daily = merge_daily(parts)
+    if snapshot_day is not None:
+        totals = snapshot_totals(daily, parts, snapshot_day)
+    else:
+        totals = running_totals(daily, parts)
+    totals = add_ratios(totals, parts)
+    if cross_source:
+        totals = combine_metrics(totals)
+    return finalize(totals, parts, fill=fill, cross_source=cross_source)

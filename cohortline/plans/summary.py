@@ -14,16 +14,8 @@ from cohortline.sources.catalog import Sources
 
 def daily_summary(src: Sources, spec: SummarySpec, snapshot_day=None) -> DataFrame:
     """Merged daily summary; with ``snapshot_day`` only that day's rows (C7 plan)."""
-    parts = summary_parts(src, spec)
-    daily = series.merge_daily(parts)
-    if snapshot_day is not None:
-        totals = series.snapshot_totals(daily, parts, as_date(snapshot_day))
-    else:
-        totals = series.running_totals(daily, parts)
-    totals = series.add_ratios(totals, parts)
-    if spec.cross_source:
-        totals = series.combine_metrics(totals)
-    return series.finalize(totals, parts, fill=spec.fill, cross_source=spec.cross_source)
+    day = as_date(snapshot_day) if snapshot_day is not None else None
+    return series.build_series(summary_parts(src, spec), spec.fill, spec.cross_source, day)
 
 
 # Summary variants of the reference, as parameter sets.
