@@ -46,9 +46,16 @@ V5_START = add_months(REPORT, -LOOKBACK)
 V4_START = AS_OF - dt.timedelta(days=INTERVAL_DAYS)
 
 
+_SOURCES: dict = {}
+
+
 def _src(spark: SparkSession, sf_dir: str):
+    """Lazily defined source relations, reused for the same session and folder."""
     ensure_checkpoint_dir(spark)
-    return load_sources(spark, sf_dir)
+    key = (id(spark), sf_dir)
+    if key not in _SOURCES:
+        _SOURCES[key] = load_sources(spark, sf_dir)
+    return _SOURCES[key]
 
 
 # --------------------------------------------------------------------------- shared pieces

@@ -27,9 +27,10 @@ def running_window():
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
 
 
-def _typed_null(df: DataFrame, expr: Column) -> Column:
-    dtype = df.select(expr.alias("x")).schema["x"].dataType
-    return F.lit(None).cast(dtype)
+def _measure_types(part: DailyPart) -> dict:
+    """Result type of every measure value of ``part`` (one analysis per part)."""
+    schema = part.rows.select(*[m.value.alias(m.name) for m in part.measures]).schema
+    return {f.name: f.dataType for f in schema.fields}
 
 
 def merge_daily(parts: list[DailyPart]) -> DataFrame:
@@ -39,12 +40,16 @@ def merge_daily(parts: list[DailyPart]) -> DataFrame:
     missing side of a full outer join. Rows without an actor are dropped before
     the merge (the full join would never merge them; the profile join drops them).
     """
+    types = {}
+    for part in parts:
+        types.update(_measure_types(part))
     tall = []
     for part in parts:
         cols = [F.col("actor_id"), F.col("date")]
         for other in parts:
             for m in other.measures:
-                cols.append((m.value if other is part else _typed_null(other.rows, m.value)).alias(m.name))
+                value = m.value if other is part else F.lit(None).cast(types[m.name])
+                cols.append(value.alias(m.name))
             flag = F.lit(1) if other is part else F.lit(0)
             cols.append(flag.cast("bigint").alias(other.flag))
         tall.append(part.rows.filter(F.col("actor_id").isNotNull()).select(*cols))

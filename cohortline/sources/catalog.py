@@ -27,9 +27,22 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Declared schemas of the driver tables this library reads. Declaring them
+# skips schema inference (a job per table) and fixes the types the code expects.
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+              "value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+}
+
+
 def read_table(spark: SparkSession, base: str, name: str, columns=None) -> DataFrame:
     """Parquet scan of ``base/name.parquet``; selecting columns prunes the scan."""
-    df = spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
+    reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
+    df = reader.parquet(f"{base.rstrip('/')}/{name}.parquet")
     return df.select(*columns) if columns else df
 
 
