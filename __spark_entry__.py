@@ -19,14 +19,15 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracle_queries as oq  # noqa: E402
 from cohortline.operators import audience, naming, quota, ranking, rules, series  # noqa: E402
-from cohortline.operators.rollup import daily_rollup, fx_deals_part, trades_part  # noqa: E402
-from cohortline.operators.thresholds import estimate_thresholds  # noqa: E402
+from cohortline.operators.rollup import (Measure, daily_rollup, fact_part,  # noqa: E402
+                                         fx_deals_part, trades_part)
+from cohortline.operators.thresholds import estimate_thresholds, quantile_array  # noqa: E402
 from cohortline.params import Scope, add_months  # noqa: E402
 from cohortline.plans import invitations as inv  # noqa: E402
 from cohortline.plans.summary import (daily_summary, snapshot_summary, spec_v1,  # noqa: E402
                                       spec_v2, spec_v3, spec_v4, spec_v5)
 from cohortline.session import ensure_checkpoint_dir  # noqa: E402
-from cohortline.sources import load_sources  # noqa: E402
+from cohortline.sources import load_sources, read_table, register_view, save_table  # noqa: E402
 
 # Parameters of the checks (the test data covers 2024-01-01 .. 2024-01-30).
 REPORT = dt.date(2024, 1, 21)            # single-day report: previous day 2024-01-20
@@ -42,6 +43,7 @@ LIMIT_B, PCT_B = 7, 50                    # quota: below over the limit, remaind
 MULTI = dict(invitation_limit=5, threshold=20, bo_turnover_limit=300.0, withdrawal_limit=100.0,
              profit_limit=50.0, mt5_pnl_limit=100.0)
 
+ORDERS_REPORT = dt.date(1998, 5, 31)      # month clamp: 3 months before is 1998-02-28
 V5_START = add_months(REPORT, -LOOKBACK)
 V4_START = AS_OF - dt.timedelta(days=INTERVAL_DAYS)
 
@@ -274,6 +276,42 @@ def q_multi_metric_delta(spark, d):
                                         summary_start=HISTORY, **MULTI)
 
 
+def q_month_lookback(spark, d):
+    orders = read_table(spark, d, "orders", ["o_custkey", "o_orderdate", "o_totalprice"])
+    part = fact_part("orders", orders, "o_custkey", "o_orderdate",
+                     Scope.months_before(ORDERS_REPORT, LOOKBACK),
+                     [Measure("order_count", F.lit(1).cast("bigint"), "count"),
+                      Measure("order_value", F.col("o_totalprice").cast("decimal(18,2)"))])
+    return series.build_series([part])
+
+
+def q_summary_view(spark, d):
+    view = register_view(daily_summary(_src(spark, d), spec_v1(HISTORY)), "daily_summary_v1")
+    return view.filter(F.col("date") >= F.lit(START)).select(
+        "actor_id", "date", "cumulative_bo_turnover_usd", "cumulative_withdrawal_usd",
+        "cumulative_mt5_pnl_usd")
+
+
+def q_stored_thresholds(spark, d):
+    """Summary stored partitioned by day, read back with partition pruning, then quantiles."""
+    base = ensure_checkpoint_dir(spark)
+    path = f"{base}/tables/summary_v5_{os.path.basename(d.rstrip('/'))}"
+    stored = save_table(_v5_running(_src(spark, d)), path)
+    month = F.trunc(F.lit(START), "MM")
+    pruned = stored.filter((F.col("date") >= month) & (F.col("date") >= F.lit(START)))
+    return estimate_thresholds(pruned)
+
+
+def q_quantile_array(spark, d):
+    return quantile_array(_v5_running(_src(spark, d)), "cumulative_bo_turnover_usd", 100, (80, 90))
+
+
+def q_metric_deposit_count(spark, d):
+    snap = snapshot_summary(_src(spark, d), REPORT, LOOKBACK)
+    ruled = rules.metric_rule(snap, "deposit_count", 3, first_time=False)
+    return rules.select_active(ruled).select("actor_id", "date", "metric_value", "metric")
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_rollup": q_daily_rollup,
     "running_totals": q_running_totals,
@@ -311,6 +349,11 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "invitation_list_range": q_invitation_list_range,
     "multi_metric_lag": q_multi_metric_lag,
     "multi_metric_delta": q_multi_metric_delta,
+    "month_lookback": q_month_lookback,
+    "summary_view": q_summary_view,
+    "stored_thresholds": q_stored_thresholds,
+    "quantile_array": q_quantile_array,
+    "metric_deposit_count": q_metric_deposit_count,
 }
 
 
@@ -328,7 +371,8 @@ def oracle_sql() -> dict[str, str]:
     return oq.oracle_map(
         report=REPORT, snap=SNAP, v5_start=V5_START, start=START, end=END, v4_start=V4_START,
         history=HISTORY, t_range=T_RANGE, t_day=T_DAY, limit_a=LIMIT_A, pct_a=PCT_A,
-        limit_b=LIMIT_B, pct_b=PCT_B, multi=MULTI)
+        limit_b=LIMIT_B, pct_b=PCT_B, multi=MULTI, orders_report=ORDERS_REPORT,
+        orders_start=add_months(ORDERS_REPORT, -LOOKBACK))
 
 
 __all__ = ["entry", "queries", "oracle_sql", "Scope"]

@@ -83,6 +83,13 @@ def daily_rollup(part: DailyPart) -> DataFrame:
 
 # --------------------------------------------------------------------------- parts
 
+def fact_part(name: str, df: DataFrame, actor_col: str, ts_col: str, scope: Scope,
+              measures: list[Measure]) -> DailyPart:
+    """A ``DailyPart`` over any timestamped fact: rows in ``scope`` keyed by (actor_id, date)."""
+    rows = with_date(df.withColumnRenamed(actor_col, "actor_id"), ts_col, scope)
+    return DailyPart(name, rows.filter(F.col("actor_id").isNotNull()), measures)
+
+
 def trades_part(src: Sources, spec: SummarySpec) -> DailyPart:
     rows = with_date(src.trades.filter(F.col("actor_id").isNotNull()), "ts", spec.scope)
     res, turnover = F.col("result"), F.col("turnover")
