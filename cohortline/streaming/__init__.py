@@ -1,0 +1,18 @@
+"""Streaming: intentionally empty.
+
+The reference pipeline is batch-only: it has no watermark, event-time window,
+stateful operator, trigger or late-data rule. Its core operator, a running total
+over each actor's whole ordered history (``ROWS UNBOUNDED PRECEDING``), is not
+supported on streaming DataFrames (Spark refuses non-time windows in streaming).
+
+To refresh the stored daily summary as new fact files land, drive the batch plan
+from a stream of file arrivals with ``foreachBatch`` and rebuild the summary for
+the affected report date inside it::
+
+    def refresh(batch_df, batch_id):
+        save_table(daily_summary(load_sources(spark, base), spec), table_path)
+
+    (spark.readStream.schema(schema).parquet(landing_dir)
+          .writeStream.foreachBatch(refresh)
+          .option("checkpointLocation", shared_checkpoint_dir).start())
+"""
