@@ -26,7 +26,7 @@ from cohortline.params import Scope, add_months  # noqa: E402
 from cohortline.plans import invitations as inv  # noqa: E402
 from cohortline.plans.summary import (daily_summary, snapshot_summary, spec_v1,  # noqa: E402
                                       spec_v2, spec_v3, spec_v4, spec_v5)
-from cohortline.session import ensure_checkpoint_dir  # noqa: E402
+from cohortline.session import checkpoint_counted, ensure_checkpoint_dir  # noqa: E402
 from cohortline.sources import load_sources, read_table, register_view, save_table  # noqa: E402
 
 # Parameters of the checks (the test data covers 2024-01-01 .. 2024-01-30).
@@ -66,13 +66,19 @@ def _v5_running(src):
     return daily_summary(src, spec_v5(REPORT, LOOKBACK))
 
 
-def _range_active(src):
-    """Rows of [START, END) whose cumulative turnover crossed T_RANGE, with profile."""
+def _range_active(src, counted: bool = False):
+    """Rows of [START, END) whose cumulative turnover crossed T_RANGE, with profile.
+
+    ``counted``: checkpoint the active rows and return them with their count.
+    """
     ruled = rules.metric_rule(_v5_running(src), "bo_turnover_usd", T_RANGE, True)
     active = rules.select_active(ruled).filter(
         (F.col("date") >= F.lit(START)) & (F.col("date") < F.lit(END)))
-    return audience.attach_profile(active.select("actor_id", "date", "metric_value", "metric"),
-                                   src.profile)
+    active = active.select("actor_id", "date", "metric_value", "metric")
+    if not counted:
+        return audience.attach_profile(active, src.profile)
+    active, n = checkpoint_counted(active)
+    return audience.attach_profile(active, src.profile, key_rows=n), n
 
 
 # --------------------------------------------------------------------------- queries
@@ -207,9 +213,10 @@ def q_quota_capped(spark, d):
 
 
 def _rank(spark, d, max_window_rows):
-    active = _range_active(_src(spark, d))
+    active, n = _range_active(_src(spark, d), counted=True)
     quotas = quota.quota_table(active, ["country"], PCT_A, LIMIT_A, "shared")
-    chosen = ranking.rank_and_cut(active, quotas, ["country"], max_window_rows=max_window_rows)
+    chosen = ranking.rank_and_cut(active, quotas, ["country"], max_window_rows=max_window_rows,
+                                  total_rows=n)
     return chosen.select("actor_id", "date", "metric_value", "country")
 
 

@@ -46,12 +46,13 @@ def top_per_group(df: DataFrame, group_cols, order_cols: list[Column], limit_col
         w = Window.partitionBy(*group_cols).orderBy(*order_cols)
         ranked = df.withColumn("_rank", F.row_number().over(w))
     else:
-        ranked = _rank_by_global_sort(df, group_cols, order_cols)
+        ranked = _rank_by_global_sort(df, group_cols, order_cols, total_rows)
     kept = ranked.filter(F.col("_rank") <= F.col(limit_col))
     return kept.withColumnRenamed("_rank", rank_col) if rank_col else kept.drop("_rank")
 
 
-def _rank_by_global_sort(df: DataFrame, group_cols, order_cols) -> DataFrame:
+def _rank_by_global_sort(df: DataFrame, group_cols, order_cols,
+                         total_rows: int | None = None) -> DataFrame:
     sort_keys = [F.col(c) for c in group_cols] + list(order_cols)
     ordered = (df.repartitionByRange(*sort_keys)
                  .sortWithinPartitions(*sort_keys)
@@ -64,7 +65,9 @@ def _rank_by_global_sort(df: DataFrame, group_cols, order_cols) -> DataFrame:
                                                      F.min("_local").alias("_first"))
     earlier = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     stats = stats.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-    stats = broadcast_checked(stats.select("_pid", *group_cols, "_before", "_first"))
+    # at most #partitions + #groups rows; both are bounded by the partitions and rows of df
+    bound = None if total_rows is None else total_rows + frozen.rdd.getNumPartitions()
+    stats = broadcast_checked(stats.select("_pid", *group_cols, "_before", "_first"), known_rows=bound)
     ranked = framed.join(stats, ["_pid", *group_cols])
     rank = F.col("_before") + (F.col("_local") - F.col("_first")) + F.lit(1)
     return ranked.withColumn("_rank", rank).drop("_pos", "_pid", "_local", "_before", "_first")

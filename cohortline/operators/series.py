@@ -27,35 +27,21 @@ def running_window():
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
 
 
-def _measure_types(part: DailyPart) -> dict:
-    """Result type of every measure value of ``part`` (one analysis per part)."""
-    schema = part.rows.select(*[m.value.alias(m.name) for m in part.measures]).schema
-    return {f.name: f.dataType for f in schema.fields}
-
-
 def merge_daily(parts: list[DailyPart]) -> DataFrame:
     """C5 as union + one grouping: (actor_id, date, <daily measures>, <row flags per part>).
 
     A measure is NULL on a (actor_id, date) where its part had no rows, like the
-    missing side of a full outer join. Rows without an actor are dropped before
-    the merge (the full join would never merge them; the profile join drops them).
+    missing side of a full outer join (``unionByName`` fills the other parts'
+    columns with typed NULLs). Rows without an actor are dropped before the
+    merge (the full join would never merge them; the profile join drops them).
     """
-    types = {}
-    for part in parts:
-        types.update(_measure_types(part))
-    tall = []
-    for part in parts:
-        cols = [F.col("actor_id"), F.col("date")]
-        for other in parts:
-            for m in other.measures:
-                value = m.value if other is part else F.lit(None).cast(types[m.name])
-                cols.append(value.alias(m.name))
-            flag = F.lit(1) if other is part else F.lit(0)
-            cols.append(flag.cast("bigint").alias(other.flag))
-        tall.append(part.rows.filter(F.col("actor_id").isNotNull()).select(*cols))
-    union = reduce(lambda a, b: a.unionByName(b), tall)
+    tall = [part.rows.filter(F.col("actor_id").isNotNull()).select(
+                "actor_id", "date", *[m.value.alias(m.name) for m in part.measures],
+                F.lit(1).cast("bigint").alias(part.flag))
+            for part in parts]
+    union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tall)
     aggs = [F.sum(m.name).alias(m.name) for p in parts for m in p.measures]
-    aggs += [F.sum(p.flag).alias(p.flag) for p in parts]
+    aggs += [F.count(p.flag).alias(p.flag) for p in parts]
     daily = union.groupBy(*KEY).agg(*aggs)
     out = [F.col(k) for k in KEY]
     for p in parts:
@@ -105,17 +91,18 @@ def snapshot_totals(daily: DataFrame, parts: list[DailyPart], day) -> DataFrame:
     return grouped.filter(any_row).select(*cols)
 
 
-def add_ratios(df: DataFrame, parts: list[DailyPart]) -> DataFrame:
+def ratio_columns(parts: list[DailyPart]) -> dict[str, Column]:
     """C4: daily ratio and ratio of the running sums, x100, NULL on a zero denominator."""
+    cols = {}
     for p in parts:
         for r in p.ratios:
-            df = df.withColumn(r.name, safe_percentage(r.numerator, r.denominator))
-            df = df.withColumn(f"cumulative_{r.name}",
-                               safe_percentage(r.cumulative_numerator, r.cumulative_denominator))
-    return df
+            cols[r.name] = safe_percentage(r.numerator, r.denominator)
+            cols[f"cumulative_{r.name}"] = safe_percentage(r.cumulative_numerator,
+                                                           r.cumulative_denominator)
+    return cols
 
 
-def combine_metrics(df: DataFrame) -> DataFrame:
+def cross_source_columns() -> dict[str, Column]:
     """Cross-source ``pnl_usd`` and ``contract_count`` (each term NULL -> 0).
 
     ``contract_count`` adds deposits and withdrawals to the contract counts, as
@@ -123,33 +110,35 @@ def combine_metrics(df: DataFrame) -> DataFrame:
     """
     def z(c):
         return F.coalesce(F.col(c), F.lit(0))
-    return (df.withColumn("pnl_usd", z("bo_pnl_usd") + z("mt5_pnl_usd"))
-              .withColumn("cumulative_pnl_usd", z("cumulative_bo_pnl_usd") + z("cumulative_mt5_pnl_usd"))
-              .withColumn("contract_count", z("bo_contract_count") + z("mt5_contract_count")
-                          + z("deposit_count") + z("withdrawal_count"))
-              .withColumn("cumulative_contract_count",
-                          z("cumulative_bo_contract_count") + z("cumulative_mt5_contract_count")
-                          + z("cumulative_deposit_count") + z("cumulative_withdrawal_count")))
+    return {
+        "pnl_usd": z("bo_pnl_usd") + z("mt5_pnl_usd"),
+        "cumulative_pnl_usd": z("cumulative_bo_pnl_usd") + z("cumulative_mt5_pnl_usd"),
+        "contract_count": (z("bo_contract_count") + z("mt5_contract_count")
+                           + z("deposit_count") + z("withdrawal_count")),
+        "cumulative_contract_count": (z("cumulative_bo_contract_count")
+                                      + z("cumulative_mt5_contract_count")
+                                      + z("cumulative_deposit_count")
+                                      + z("cumulative_withdrawal_count")),
+    }
 
 
 def finalize(df: DataFrame, parts: list[DailyPart], fill=None, cross_source=False) -> DataFrame:
-    """Column order, output types (money -> double, counts -> bigint) and optional zero fill."""
-    names, kinds = [], {}
+    """One projection: ratios (C4), cross-source metrics (C6), column order, output types
+    (money -> double, counts -> bigint) and the optional zero fill."""
+    derived = ratio_columns(parts)
+    if cross_source:
+        derived.update(cross_source_columns())
+    kinds = {}
     for p in parts:
-        for m in p.measures:
-            names.append(m.name)
-            kinds[m.name] = m.kind
-        for r in p.ratios:
-            names.append(r.name)
-            kinds[r.name] = "ratio"
+        kinds.update({m.name: m.kind for m in p.measures})
+        kinds.update({r.name: "ratio" for r in p.ratios})
     if cross_source:
-        names += ["pnl_usd", "contract_count"]
         kinds.update(pnl_usd="money", contract_count="count")
     cols = [F.col("actor_id"), F.col("date")]
-    for n in names:
-        dtype = "bigint" if kinds[n] == "count" else "double"
+    for n, kind in kinds.items():
+        dtype = "bigint" if kind == "count" else "double"
         for c in (n, f"cumulative_{n}"):
-            v = F.col(c).cast(dtype)
+            v = (derived[c] if c in derived else F.col(c)).cast(dtype)
             if fill is not None:
                 v = F.coalesce(v, F.lit(fill).cast(dtype))
             cols.append(v.alias(c))
@@ -168,7 +157,4 @@ def build_series(parts: list[DailyPart], fill=None, cross_source=False, snapshot
         totals = snapshot_totals(daily, parts, snapshot_day)
     else:
         totals = running_totals(daily, parts)
-    totals = add_ratios(totals, parts)
-    if cross_source:
-        totals = combine_metrics(totals)
     return finalize(totals, parts, fill=fill, cross_source=cross_source)
