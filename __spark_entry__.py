@@ -273,6 +273,17 @@ def q_invitation_list_range(spark, d):
                                      "bo_turnover_usd", PCT_A, T_RANGE, True, as_of=AS_OF)
 
 
+def q_invitation_list_range_reached(spark, d):
+    # level rule over a range: one user yields several rows, each taking a rank
+    return inv.invitation_list_range(_src(spark, d), START, END, LIMIT_A, INTERVAL_DAYS,
+                                     "bo_turnover_usd", PCT_A, T_RANGE, False, as_of=AS_OF)
+
+
+def q_invitation_list_strict_latest(spark, d):
+    return inv.invitation_list(_src(spark, d), REPORT, 3, "bo_turnover_usd", 30, T_DAY,
+                               first_time_meet=False, exclusion="strict", names="latest")
+
+
 def q_multi_metric_lag(spark, d):
     return inv.multi_metric_invitations(_src(spark, d), START, END, mode="lag",
                                         summary_start=HISTORY, **MULTI)
@@ -354,6 +365,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "invitation_list": q_invitation_list,
     "invitation_list_auto": q_invitation_list_auto,
     "invitation_list_range": q_invitation_list_range,
+    "invitation_list_range_reached": q_invitation_list_range_reached,
+    "invitation_list_strict_latest": q_invitation_list_strict_latest,
     "multi_metric_lag": q_multi_metric_lag,
     "multi_metric_delta": q_multi_metric_delta,
     "month_lookback": q_month_lookback,
