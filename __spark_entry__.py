@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracle_queries as oq  # noqa: E402
+from cohortline.functions import to_units  # noqa: E402
 from cohortline.operators import audience, naming, quota, ranking, rules, series  # noqa: E402
 from cohortline.operators.rollup import (Measure, daily_rollup, fact_part,  # noqa: E402
                                          fx_deals_part, trades_part)
@@ -299,7 +300,7 @@ def q_month_lookback(spark, d):
     part = fact_part("orders", orders, "o_custkey", "o_orderdate",
                      Scope.months_before(ORDERS_REPORT, LOOKBACK),
                      [Measure("order_count", F.lit(1).cast("bigint"), "count"),
-                      Measure("order_value", F.col("o_totalprice").cast("decimal(18,2)"))])
+                      Measure("order_value", to_units(F.col("o_totalprice")))])
     return series.build_series([part])
 
 

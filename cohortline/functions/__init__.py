@@ -3,23 +3,27 @@
 from cohortline.functions.columns import (
     METRICS,
     crossed,
-    date_of,
     email_domain,
+    from_units,
     metric_columns,
     reached,
     round_half_up_div,
+    round_units,
     safe_percentage,
+    to_units,
     whole_percent,
 )
 
 __all__ = [
     "METRICS",
     "crossed",
-    "date_of",
     "email_domain",
+    "from_units",
     "metric_columns",
     "reached",
     "round_half_up_div",
+    "round_units",
     "safe_percentage",
+    "to_units",
     "whole_percent",
 ]

@@ -38,15 +38,33 @@ def metric_columns(metric: str, columns=None) -> tuple[Column, Column]:
     return F.col(metric), F.col(f"cumulative_{metric}")
 
 
-def date_of(col: str | Column) -> Column:
-    return F.to_date(F.col(col) if isinstance(col, str) else col)
-
-
 def safe_percentage(numerator: Column, denominator: Column) -> Column:
     """numerator / denominator * 100 in double, NULL when the denominator is 0 or NULL."""
     return F.try_divide(numerator.cast("double"), denominator.cast("double")) * F.lit(100.0)
 
 
+def to_units(amount: Column, decimals: int = 2) -> Column:
+    """An amount as an exact integer count of ``10**-decimals`` units (cents by default).
+
+    Amounts arrive as doubles with at most ``decimals`` decimals; quantizing them
+    once makes every later sum an exact ``bigint`` addition, independent of
+    partition order, and keeps aggregation on primitive longs in generated code.
+    """
+    return F.rint(amount.cast("double") * F.lit(float(10 ** decimals))).cast("bigint")
+
+
+def from_units(units: Column, decimals: int = 2) -> Column:
+    """Integer units back to a double amount (correctly rounded)."""
+    return units.cast("double") / F.lit(float(10 ** decimals))
+
+
+def round_units(units: Column, factor: int) -> Column:
+    """``units / factor`` rounded half away from zero, exactly (integer in, integer out)."""
+    a = F.abs(units) + F.lit(factor // 2)
+    q = ((a - F.pmod(a, F.lit(factor))).cast("decimal(38,0)") / F.lit(factor)).cast("bigint")
+    return F.when(units < 0, -q).otherwise(q)
+
+
 def crossed(cumulative: Column, daily: Column, threshold: float) -> Column:
     """Running total reached the threshold on this row and was below it before the row."""
     t = F.lit(float(threshold))

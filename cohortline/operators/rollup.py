@@ -4,6 +4,11 @@ A fact relation is described by a ``DailyPart``: rows already carrying
 ``actor_id`` and ``date`` plus the row-level values of its measures. The daily
 measure is ``post(SUM(value))`` per (actor_id, date). Keeping parts declarative
 lets ``series.merge_daily`` roll several facts up in one grouping.
+
+Money is carried as exact integer units: cents (``scale`` 2) for amounts, 1e-4
+for converted amounts. Sums are ``bigint`` additions (exact, order independent,
+primitive longs in generated code and in the shuffle); amounts become doubles
+only in the output.
 """
 
 from __future__ import annotations
@@ -14,6 +19,7 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortline.functions.columns import from_units, round_units, to_units
 from cohortline.params import Scope, SummarySpec
 from cohortline.sources import fixtures as fx
 from cohortline.sources.catalog import Sources
@@ -25,13 +31,14 @@ KEY = ("actor_id", "date")
 class Measure:
     name: str
     value: Column                      # row-level value, summed per (actor_id, date)
-    kind: str = "money"                # "money" (decimal, output double) or "count" (bigint)
+    kind: str = "money"                # "money" (integer units, output double) or "count"
     post: Callable[[Column], Column] | None = None   # applied to the daily sum
+    scale: int = 2                     # money: value counts units of 10**-scale
 
 
 @dataclass(eq=False)
 class Ratio:
-    """``numerator / denominator * 100`` daily, and of the running sums."""
+    """``numerator / denominator * 100`` daily, and of the running sums (cent inputs)."""
 
     name: str
     numerator: Column
@@ -70,14 +77,15 @@ def with_date(df: DataFrame, ts: str, scope: Scope) -> DataFrame:
 def daily_rollup(part: DailyPart) -> DataFrame:
     """One row per (actor_id, date) with the part's daily measures.
 
-    Output types: money as double (summed exactly in decimal first), counts as bigint.
+    Output types: money as double (summed exactly in integer units first), counts as bigint.
     """
     aggs = [F.sum(m.value).alias(m.name) for m in part.measures]
     daily = part.rows.filter(F.col("actor_id").isNotNull()).groupBy(*KEY).agg(*aggs)
 
     def out(m):
         value = m.post(F.col(m.name)) if m.post else F.col(m.name)
-        return value.cast("bigint" if m.kind == "count" else "double").alias(m.name)
+        value = value.cast("bigint") if m.kind == "count" else from_units(value, m.scale)
+        return value.alias(m.name)
     return daily.select(*KEY, *[out(m) for m in part.measures])
 
 
@@ -90,16 +98,22 @@ def fact_part(name: str, df: DataFrame, actor_col: str, ts_col: str, scope: Scop
     return DailyPart(name, rows.filter(F.col("actor_id").isNotNull()), measures)
 
 
+def _zero() -> Column:
+    return F.lit(0).cast("bigint")
+
+
+def _flag(cond: Column) -> Column:
+    return F.when(cond, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
+
+
 def trades_part(src: Sources, spec: SummarySpec) -> DailyPart:
     rows = with_date(src.trades.filter(F.col("actor_id").isNotNull()), "ts", spec.scope)
-    res, turnover = F.col("result"), F.col("turnover")
-    zero = F.lit(0).cast(fx.MONEY)
+    res, turnover = to_units(F.col("result")), to_units(F.col("turnover"))
     won = res < 0
     if spec.wins == "precomputed":
-        winning, wins = F.col("winning_turnover"), F.col("win_count")
+        winning, wins = to_units(F.col("winning_turnover")), F.col("win_count").cast("bigint")
     else:
-        winning = F.when(won, turnover).otherwise(zero)
-        wins = F.when(won, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
+        winning, wins = F.when(won, turnover).otherwise(_zero()), _flag(won)
     measures = [
         Measure("bo_turnover_usd", turnover),
         Measure("bo_winning_turnover_usd", winning),
@@ -108,10 +122,10 @@ def trades_part(src: Sources, spec: SummarySpec) -> DailyPart:
     ]
     if spec.profit_loss:
         measures += [
-            Measure("bo_profit_usd", F.when(won, -res).otherwise(zero)),
-            Measure("bo_loss_usd", F.when(res > 0, -res).otherwise(zero)),
+            Measure("bo_profit_usd", F.when(won, -res).otherwise(_zero())),
+            Measure("bo_loss_usd", F.when(res > 0, -res).otherwise(_zero())),
         ]
-    measures.append(Measure("bo_contract_count", F.col("contracts"), "count"))
+    measures.append(Measure("bo_contract_count", F.col("contracts").cast("bigint"), "count"))
     ratios = [Ratio("bo_profit_percentage", F.col("bo_pnl_usd"), F.col("bo_turnover_usd"),
                     F.col("cumulative_bo_pnl_usd"), F.col("cumulative_bo_turnover_usd"))]
     return DailyPart("bo", rows, measures, ratios)
@@ -126,14 +140,13 @@ def payments_part(src: Sources, spec: SummarySpec) -> DailyPart:
                               & F.col("category").isin(*deposits, *withdrawals))
     rows = with_date(pay, "ts", spec.scope)
     is_dep, is_wd = F.col("category").isin(*deposits), F.col("category").isin(*withdrawals)
-    zero = F.lit(0).cast(fx.MONEY)
-    amount = F.col("amount")
+    amount = to_units(F.col("amount"))
     wd_amount = amount if spec.withdrawal_sign > 0 else -amount
     measures = [
-        Measure("deposit_usd", F.when(is_dep, amount).otherwise(zero)),
-        Measure("withdrawal_usd", F.when(is_wd, wd_amount).otherwise(zero)),
-        Measure("deposit_count", F.when(is_dep, F.lit(1)).otherwise(F.lit(0)).cast("bigint"), "count"),
-        Measure("withdrawal_count", F.when(is_wd, F.lit(1)).otherwise(F.lit(0)).cast("bigint"), "count"),
+        Measure("deposit_usd", F.when(is_dep, amount).otherwise(_zero())),
+        Measure("withdrawal_usd", F.when(is_wd, wd_amount).otherwise(_zero())),
+        Measure("deposit_count", _flag(is_dep), "count"),
+        Measure("withdrawal_count", _flag(is_wd), "count"),
     ]
     ratios = []
     if spec.profit_loss:
@@ -150,13 +163,15 @@ def convert_prev_day(src: Sources, scope: Scope, closing_entries=("out", "out_by
     Deals are first rolled up per (login, date) (map-side partial aggregation, so
     a hot account collapses before any shuffle), then joined to the account,
     its group's currency and the previous day's rate. Because the rate is fixed
-    per (login, date), ``SUM(amount * rate) = rate * SUM(amount)`` exactly in
-    decimals. A day whose closing deals have no rate yields NULL when it has no
-    other deals and 0 otherwise, as the row-wise ``CASE ... ELSE 0`` would.
+    per (login, date), ``SUM(amount * rate) = rate * SUM(amount)`` holds exactly
+    on integer units (cents x 1e-4 rate units = 1e-6 units). A day whose closing
+    deals have no rate yields NULL when it has no other deals and 0 otherwise, as
+    the row-wise ``CASE ... ELSE 0`` would.
     """
     closing = F.coalesce(F.col("entry").isin(*closing_entries), F.lit(False))
     per_login = with_date(src.deals, "ts", scope).groupBy("login", "date").agg(
-        F.sum(F.when(closing, F.col("profit") + F.col("storage"))).alias("closing_amount"),
+        F.sum(F.when(closing, to_units(F.col("profit")) + to_units(F.col("storage"))))
+        .alias("closing_cents"),
         F.count(F.when(closing, F.lit(1))).alias("n_closing"),
         F.count(F.when(~closing, F.lit(1))).alias("n_other"),
         F.sum("win_deals").alias("win_deals"),
@@ -164,28 +179,28 @@ def convert_prev_day(src: Sources, scope: Scope, closing_entries=("out", "out_by
     )
     accounts = src.accounts.select("login", "actor_id", "group_name", "server")
     rates = (src.fx_rates.filter(F.col("target_currency") == target_currency)
-             .select("rate_date", F.col("source_currency").alias("rate_currency"), "rate"))
+             .select("rate_date", F.col("source_currency").alias("rate_currency"),
+                     to_units(F.col("rate"), 4).alias("rate_units")))
     joined = (per_login.join(accounts, "login")
               .join(src.account_groups, ["group_name", "server"], "left")
               .join(rates, (F.col("rate_date") == F.date_sub(F.col("date"), 1))
                     & (F.col("rate_currency") == F.col("currency")), "left"))
-    zero = F.lit(0).cast("decimal(38,6)")
-    amount = (F.when(F.col("n_closing") == 0, zero)
-              .when(F.col("rate").isNull(),
-                    F.when(F.col("n_other") > 0, zero))
-              .otherwise((F.col("closing_amount") * F.col("rate")).cast("decimal(38,6)")))
+    amount = (F.when(F.col("n_closing") == 0, _zero())
+              .when(F.col("rate_units").isNull(), F.when(F.col("n_other") > 0, _zero()))
+              .otherwise(F.col("closing_cents") * F.col("rate_units")))
     return joined.filter(F.col("actor_id").isNotNull()).select(
-        "actor_id", "date", amount.alias("fx_amount"), "win_deals", "deals")
+        "actor_id", "date", amount.alias("fx_micros"), "win_deals", "deals")
 
 
 def fx_deals_part(src: Sources, spec: SummarySpec) -> DailyPart:
     rows = convert_prev_day(src, spec.scope, spec.closing_entries, spec.target_currency)
     sign = spec.fx_sign
     measures = [
-        Measure("mt5_pnl_usd", F.col("fx_amount"),
-                post=lambda c: F.round(c, 4) if sign > 0 else -F.round(c, 4)),
-        Measure("mt5_win_count", F.col("win_deals"), "count"),
-        Measure("mt5_contract_count", F.col("deals"), "count"),
+        # ROUND(SUM(amount * rate), 4): 1e-6 units rounded half away from zero to 1e-4 units
+        Measure("mt5_pnl_usd", F.col("fx_micros"), scale=4,
+                post=lambda c: round_units(c, 100) if sign > 0 else -round_units(c, 100)),
+        Measure("mt5_win_count", F.col("win_deals").cast("bigint"), "count"),
+        Measure("mt5_contract_count", F.col("deals").cast("bigint"), "count"),
     ]
     return DailyPart("mt5", rows, measures)
 
@@ -193,17 +208,16 @@ def fx_deals_part(src: Sources, spec: SummarySpec) -> DailyPart:
 def closed_trades_part(src: Sources, spec: SummarySpec) -> DailyPart:
     ct = src.closed_trades.filter((F.col("platform") == spec.platform) & F.col("actor_id").isNotNull())
     rows = ct.filter(in_scope(F.col("trade_date"), spec.scope)).withColumnRenamed("trade_date", "date")
-    pnl = F.col("closed_pnl")
-    zero = F.lit(0).cast(fx.MONEY)
+    pnl = to_units(F.col("closed_pnl"))
     measures = [Measure("mt5_pnl_usd", -pnl)]
     if spec.profit_loss:
         measures += [
-            Measure("mt5_profit_usd", F.when(pnl < 0, -pnl).otherwise(zero)),
-            Measure("mt5_loss_usd", F.when(pnl > 0, -pnl).otherwise(zero)),
+            Measure("mt5_profit_usd", F.when(pnl < 0, -pnl).otherwise(_zero())),
+            Measure("mt5_loss_usd", F.when(pnl > 0, -pnl).otherwise(_zero())),
         ]
     measures += [
-        Measure("mt5_win_count", F.when(pnl < 0, F.lit(1)).otherwise(F.lit(0)).cast("bigint"), "count"),
-        Measure("mt5_contract_count", F.col("trade_count"), "count"),
+        Measure("mt5_win_count", _flag(pnl < 0), "count"),
+        Measure("mt5_contract_count", F.col("trade_count").cast("bigint"), "count"),
     ]
     return DailyPart("mt5", rows, measures)
 

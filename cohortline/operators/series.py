@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortline.functions.columns import safe_percentage
+from cohortline.functions.columns import from_units, safe_percentage
 from cohortline.operators.rollup import KEY, DailyPart
 
 
@@ -92,27 +92,35 @@ def snapshot_totals(daily: DataFrame, parts: list[DailyPart], day) -> DataFrame:
 
 
 def ratio_columns(parts: list[DailyPart]) -> dict[str, Column]:
-    """C4: daily ratio and ratio of the running sums, x100, NULL on a zero denominator."""
+    """C4: daily ratio and ratio of the running sums, x100, NULL on a zero denominator.
+
+    Inputs are cents; both sides become dollar doubles before dividing.
+    """
     cols = {}
     for p in parts:
         for r in p.ratios:
-            cols[r.name] = safe_percentage(r.numerator, r.denominator)
-            cols[f"cumulative_{r.name}"] = safe_percentage(r.cumulative_numerator,
-                                                           r.cumulative_denominator)
+            cols[r.name] = safe_percentage(from_units(r.numerator), from_units(r.denominator))
+            cols[f"cumulative_{r.name}"] = safe_percentage(from_units(r.cumulative_numerator),
+                                                           from_units(r.cumulative_denominator))
     return cols
 
 
-def cross_source_columns() -> dict[str, Column]:
+def cross_source_columns(scales: dict[str, int]) -> dict[str, Column]:
     """Cross-source ``pnl_usd`` and ``contract_count`` (each term NULL -> 0).
 
-    ``contract_count`` adds deposits and withdrawals to the contract counts, as
-    the reference computes it.
+    The P/L terms are brought to the finer unit of the two before adding
+    (result scale ``PNL_SCALE``). ``contract_count`` adds deposits and
+    withdrawals to the contract counts, as the reference computes it.
     """
     def z(c):
         return F.coalesce(F.col(c), F.lit(0))
+
+    def pnl(c, name):
+        return z(c) * F.lit(10 ** (PNL_SCALE - scales[name]))
     return {
-        "pnl_usd": z("bo_pnl_usd") + z("mt5_pnl_usd"),
-        "cumulative_pnl_usd": z("cumulative_bo_pnl_usd") + z("cumulative_mt5_pnl_usd"),
+        "pnl_usd": pnl("bo_pnl_usd", "bo_pnl_usd") + pnl("mt5_pnl_usd", "mt5_pnl_usd"),
+        "cumulative_pnl_usd": (pnl("cumulative_bo_pnl_usd", "bo_pnl_usd")
+                               + pnl("cumulative_mt5_pnl_usd", "mt5_pnl_usd")),
         "contract_count": (z("bo_contract_count") + z("mt5_contract_count")
                            + z("deposit_count") + z("withdrawal_count")),
         "cumulative_contract_count": (z("cumulative_bo_contract_count")
@@ -122,34 +130,37 @@ def cross_source_columns() -> dict[str, Column]:
     }
 
 
+PNL_SCALE = 4
+
+
 def finalize(df: DataFrame, parts: list[DailyPart], fill=None, cross_source=False) -> DataFrame:
     """One projection: ratios (C4), cross-source metrics (C6), column order, output types
-    (money -> double, counts -> bigint) and the optional zero fill."""
-    derived = ratio_columns(parts)
-    if cross_source:
-        derived.update(cross_source_columns())
-    kinds = {}
+    (money units -> double, counts -> bigint) and the optional zero fill."""
+    kinds, scales = {}, {}
     for p in parts:
         kinds.update({m.name: m.kind for m in p.measures})
+        scales.update({m.name: m.scale for m in p.measures})
         kinds.update({r.name: "ratio" for r in p.ratios})
+    derived = ratio_columns(parts)
     if cross_source:
+        derived.update(cross_source_columns(scales))
         kinds.update(pnl_usd="money", contract_count="count")
+        scales.update(pnl_usd=PNL_SCALE)
     cols = [F.col("actor_id"), F.col("date")]
     for n, kind in kinds.items():
         dtype = "bigint" if kind == "count" else "double"
         for c in (n, f"cumulative_{n}"):
-            v = (derived[c] if c in derived else F.col(c)).cast(dtype)
+            v = derived[c] if c in derived else F.col(c)
+            if kind == "money":
+                v = from_units(v, scales[n])
+            elif kind == "count":
+                v = v.cast("bigint")
             if fill is not None:
                 v = F.coalesce(v, F.lit(fill).cast(dtype))
             cols.append(v.alias(c))
     return df.select(*cols)
 
 
-def metric_names(parts: list[DailyPart], cross_source=False) -> list[str]:
-    names = [m.name for p in parts for m in p.measures] + [r.name for p in parts for r in p.ratios]
-    return names + (["pnl_usd", "contract_count"] if cross_source else [])
-
-
 def build_series(parts: list[DailyPart], fill=None, cross_source=False, snapshot_day=None) -> DataFrame:
     """C1 + C5 + C3 (or C7) + C4 (+ C6): the daily series of the given parts."""
     daily = merge_daily(parts)

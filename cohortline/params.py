@@ -74,11 +74,3 @@ class SummarySpec:
     cross_source: bool = False
     # None keeps a missing side NULL; 0 fills it with zero
     fill: float | None = None
-
-
-@dataclass(frozen=True)
-class QuotaParams:
-    invitation_limit: int = 300
-    percentage_threshold: float = 5
-    # "shared": above-share groups split the remainder; "capped": above-share groups get the limit
-    rule: str = "shared"

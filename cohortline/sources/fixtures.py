@@ -7,13 +7,11 @@ tables. The same mapping is written in SQL for the DuckDB oracle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from cohortline.sources.catalog import Sources, read_table
 
-MONEY = "decimal(18,2)"
-RATE = "decimal(18,4)"
 
 # Fixed values of the reference's enumerations.
 DEPOSIT = "Client Deposit"
@@ -28,7 +26,7 @@ INTERNAL_DOMAINS = (("d3.com", "internal"),)
 
 
 def _money(col: str = "value") -> Column:
-    return F.col(col).cast(MONEY)
+    return F.col(col).cast("double")
 
 
 def _signed(negative: Column, amount: Column) -> Column:
@@ -64,7 +62,7 @@ def load_sources(spark: SparkSession, base: str) -> Sources:
         "ts",
         _money().alias("turnover"),
         result.alias("result"),
-        F.when(result < 0, _money()).otherwise(F.lit(0).cast(MONEY)).alias("winning_turnover"),
+        F.when(result < 0, _money()).otherwise(F.lit(0.0)).alias("winning_turnover"),
         F.when(result < 0, F.lit(1)).otherwise(F.lit(0)).cast("bigint").alias("win_count"),
         (F.lit(1) + eid % 3).cast("bigint").alias("contracts"),
     )
@@ -89,7 +87,7 @@ def load_sources(spark: SparkSession, base: str) -> Sources:
         "ts",
         F.element_at(entries, (eid % len(DEAL_ENTRIES) + 1).cast("int")).alias("entry"),
         profit.alias("profit"),
-        (-(eid % 5)).cast(MONEY).alias("storage"),
+        (-(eid % 5)).cast("double").alias("storage"),
         F.when(profit > 0, F.lit(1)).otherwise(F.lit(0)).cast("bigint").alias("win_deals"),
         F.lit(1).cast("bigint").alias("deals"),
     )
@@ -116,8 +114,7 @@ def load_sources(spark: SparkSession, base: str) -> Sources:
     fx_rates = per_day.select("rate_date", "source_currency",
                               F.explode(targets).alias("t"), "n").select(
         "rate_date", "source_currency", F.col("t.target_currency").alias("target_currency"),
-        (F.col("t.base").cast(RATE) + F.col("n").cast(RATE) * F.lit(0.001).cast(RATE))
-        .cast(RATE).alias("rate"),
+        (F.col("t.base").cast("double") + F.col("n").cast("double") * F.lit(0.001)).alias("rate"),
     )
 
     closed_trades = clicks.select(
@@ -163,7 +160,3 @@ def load_sources(spark: SparkSession, base: str) -> Sources:
                    closed_trades=closed_trades, profile=profile,
                    internal_domains=internal_domains, statuses=statuses,
                    preferences=preferences, clients=clients)
-
-
-def source_frames(sources: Sources) -> dict[str, DataFrame]:
-    return {k: getattr(sources, k) for k in sources.__dataclass_fields__}

@@ -3,20 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
-from decimal import Decimal
 
 from cohortline.sources.catalog import Sources
 
 SCHEMAS = {
-    "trades": "actor_id bigint, ts timestamp_ntz, turnover decimal(18,2), result decimal(18,2), "
-              "winning_turnover decimal(18,2), win_count bigint, contracts bigint",
-    "payments": "actor_id bigint, ts timestamp_ntz, category string, amount decimal(18,2)",
-    "deals": "login string, ts timestamp_ntz, entry string, profit decimal(18,2), "
-             "storage decimal(18,2), win_deals bigint, deals bigint",
+    "trades": "actor_id bigint, ts timestamp_ntz, turnover double, result double, "
+              "winning_turnover double, win_count bigint, contracts bigint",
+    "payments": "actor_id bigint, ts timestamp_ntz, category string, amount double",
+    "deals": "login string, ts timestamp_ntz, entry string, profit double, "
+             "storage double, win_deals bigint, deals bigint",
     "accounts": "login string, group_name string, server string, actor_id bigint",
     "account_groups": "group_name string, server string, currency string",
-    "fx_rates": "rate_date date, source_currency string, target_currency string, rate decimal(18,4)",
-    "closed_trades": "trade_date date, actor_id bigint, platform string, closed_pnl decimal(18,2), "
+    "fx_rates": "rate_date date, source_currency string, target_currency string, rate double",
+    "closed_trades": "trade_date date, actor_id bigint, platform string, closed_pnl double, "
                      "trade_count bigint",
     "profile": "actor_id bigint, country string, email string, login_list string",
     "internal_domains": "domain string, company string",
@@ -35,8 +34,8 @@ def day(d: int) -> dt.date:
     return dt.date(2024, 1, d)
 
 
-def money(x) -> Decimal:
-    return Decimal(str(x)).quantize(Decimal("0.01"))
+def money(x) -> float:
+    return round(float(x), 2)
 
 
 def trade(actor, d, turnover, result=None, contracts=1):

@@ -1,7 +1,5 @@
 """Daily summary: merge, running totals, snapshot, conversion."""
 
-from decimal import Decimal
-
 from helpers import day, make_sources, money, trade, ts
 
 from cohortline.operators import series
@@ -76,8 +74,8 @@ def _fx_sources(spark, rates):
 
 
 def test_previous_day_rate_conversion(spark):
-    rates = [(day(1), "EURX", "USD", Decimal("1.5000")), (day(1), "EURX", "EUR", Decimal("9.0000")),
-             (day(2), "EURX", "USD", Decimal("2.0000"))]
+    rates = [(day(1), "EURX", "USD", 1.5), (day(1), "EURX", "EUR", 9.0),
+             (day(2), "EURX", "USD", 2.0)]
     src = _fx_sources(spark, rates)
     part = fx_deals_part(src, _spec())
     got = _rows(series.build_series([part]), ["actor_id", "date", "mt5_pnl_usd", "mt5_contract_count"])
@@ -106,3 +104,16 @@ def test_parts_follow_spec(spark):
     names = [m.name for p in summary_parts(src, _spec(profit_loss=True, third_fact="closed"))
              for m in p.measures]
     assert "bo_profit_usd" in names and "mt5_loss_usd" in names
+
+
+def test_unit_helpers_are_exact(spark):
+    from pyspark.sql import functions as F
+
+    from cohortline.functions import from_units, round_units, to_units
+    df = spark.createDataFrame([(0.1,), (2.675,), (-1.005,), (123456789.12,)], "x double")
+    got = [r[0] for r in df.select(to_units(F.col("x"))).collect()]
+    assert got == [10, 268, -100, 12345678912]   # nearest cent of the stored double
+    ints = spark.createDataFrame([(150,), (-150,), (149,), (-151,), (None,)], "u long")
+    got = [r[0] for r in ints.select(round_units(F.col("u"), 100)).collect()]
+    assert got == [2, -2, 1, -2, None]           # half away from zero
+    assert ints.select(from_units(F.lit(12345), 2)).first()[0] == 123.45
