@@ -107,11 +107,14 @@ def _flag(cond: Column) -> Column:
 
 
 def trades_part(src: Sources, spec: SummarySpec) -> DailyPart:
-    rows = with_date(src.trades.filter(F.col("actor_id").isNotNull()), "ts", spec.scope)
-    res, turnover = to_units(F.col("result")), to_units(F.col("turnover"))
+    rows = with_date(src.trades.filter(F.col("actor_id").isNotNull()), "ts", spec.scope).select(
+        "actor_id", "date", to_units(F.col("turnover")).alias("turnover_c"),
+        to_units(F.col("result")).alias("result_c"),
+        to_units(F.col("winning_turnover")).alias("winning_c"), "win_count", "contracts")
+    res, turnover = F.col("result_c"), F.col("turnover_c")
     won = res < 0
     if spec.wins == "precomputed":
-        winning, wins = to_units(F.col("winning_turnover")), F.col("win_count").cast("bigint")
+        winning, wins = F.col("winning_c"), F.col("win_count").cast("bigint")
     else:
         winning, wins = F.when(won, turnover).otherwise(_zero()), _flag(won)
     measures = [
@@ -138,9 +141,10 @@ def payments_part(src: Sources, spec: SummarySpec) -> DailyPart:
         deposits, withdrawals = (fx.DEPOSIT,), (fx.WITHDRAWAL,)
     pay = src.payments.filter(F.col("actor_id").isNotNull()
                               & F.col("category").isin(*deposits, *withdrawals))
-    rows = with_date(pay, "ts", spec.scope)
+    rows = with_date(pay, "ts", spec.scope).select(
+        "actor_id", "date", "category", to_units(F.col("amount")).alias("amount_c"))
     is_dep, is_wd = F.col("category").isin(*deposits), F.col("category").isin(*withdrawals)
-    amount = to_units(F.col("amount"))
+    amount = F.col("amount_c")
     wd_amount = amount if spec.withdrawal_sign > 0 else -amount
     measures = [
         Measure("deposit_usd", F.when(is_dep, amount).otherwise(_zero())),
@@ -207,8 +211,10 @@ def fx_deals_part(src: Sources, spec: SummarySpec) -> DailyPart:
 
 def closed_trades_part(src: Sources, spec: SummarySpec) -> DailyPart:
     ct = src.closed_trades.filter((F.col("platform") == spec.platform) & F.col("actor_id").isNotNull())
-    rows = ct.filter(in_scope(F.col("trade_date"), spec.scope)).withColumnRenamed("trade_date", "date")
-    pnl = to_units(F.col("closed_pnl"))
+    rows = ct.filter(in_scope(F.col("trade_date"), spec.scope)).select(
+        "actor_id", F.col("trade_date").alias("date"),
+        to_units(F.col("closed_pnl")).alias("closed_pnl_c"), "trade_count")
+    pnl = F.col("closed_pnl_c")
     measures = [Measure("mt5_pnl_usd", -pnl)]
     if spec.profit_loss:
         measures += [
