@@ -9,7 +9,8 @@ checks the largest group size and either
   ``max_window_rows`` rows), or
 * ranks through a global sort: rows are range-partitioned on
   (group, order...), so a hot group is split over many partitions; positions
-  inside each partition are numbered, frozen by a reliable checkpoint, and the
+  inside each partition are numbered, frozen by a checkpoint (a table written
+  under ``spark.checkpoint.dir``), and the
   rank is ``rows of the group in earlier partitions + position in this
   partition``. The per-(partition, group) statistics have at most
   #partitions + #groups rows.
@@ -57,7 +58,7 @@ def _rank_by_global_sort(df: DataFrame, group_cols, order_cols,
     ordered = (df.repartitionByRange(*sort_keys)
                  .sortWithinPartitions(*sort_keys)
                  .withColumn("_pos", F.monotonically_increasing_id()))
-    frozen = checkpoint(ordered)   # fixes partition boundaries and positions
+    frozen = checkpoint(ordered)   # fixes partition boundaries and positions (stored in _pos)
     pid = F.shiftrightunsigned(F.col("_pos"), _LOCAL_BITS)
     local = F.col("_pos").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
     framed = frozen.withColumn("_pid", pid).withColumn("_local", local)
@@ -65,9 +66,9 @@ def _rank_by_global_sort(df: DataFrame, group_cols, order_cols,
                                                      F.min("_local").alias("_first"))
     earlier = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     stats = stats.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-    # at most #partitions + #groups rows; both are bounded by the partitions and rows of df
-    bound = None if total_rows is None else total_rows + frozen.rdd.getNumPartitions()
-    stats = broadcast_checked(stats.select("_pid", *group_cols, "_before", "_first"), known_rows=bound)
+    # at most #partitions + #groups rows, and never more than the rows of df
+    stats = broadcast_checked(stats.select("_pid", *group_cols, "_before", "_first"),
+                              known_rows=total_rows)
     ranked = framed.join(stats, ["_pid", *group_cols])
     rank = F.col("_before") + (F.col("_local") - F.col("_first")) + F.lit(1)
     return ranked.withColumn("_rank", rank).drop("_pos", "_pid", "_local", "_before", "_first")

@@ -8,6 +8,7 @@ is ``local[...]`` and no checkpoint folder was configured (tests, bench).
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,12 +54,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Reliable (not local) checkpoint: survives executor loss, cuts lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage: write ``df`` once as Parquet under the shared checkpoint folder, read it back.
+
+    Equivalent to a reliable checkpoint (survives executor loss; never a local
+    checkpoint), but the plan runs once: an eager ``Dataset.checkpoint`` of an
+    unpersisted plan computes it twice (the eager count, then the checkpoint
+    write).
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def checkpoint_counted(df: DataFrame) -> tuple[DataFrame, int]:
-    """Reliable checkpoint plus its exact row count (a bound for later broadcasts)."""
+    """``checkpoint`` plus its exact row count (a bound for later broadcasts).
+
+    The count reads only Parquet footers.
+    """
     frozen = checkpoint(df)
     return frozen, frozen.count()
