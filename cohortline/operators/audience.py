@@ -22,9 +22,12 @@ def attach_profile(df: DataFrame, profile: DataFrame, key_rows: int | None = Non
 
     ``key_rows``, when given, bounds the number of distinct actors of ``df``.
     """
-    prof = restrict_to(profile.select("actor_id", "country", "email", "login_list"), df,
-                       "actor_id", key_rows=key_rows)
-    return df.join(prof, "actor_id")
+    prof = profile.select("actor_id", "country", "email", "login_list")
+    small = broadcast_checked(df, known_rows=key_rows)
+    if small is not df:
+        # inner join: the small driving set is broadcast and the profile is streamed
+        return prof.join(small, "actor_id").select(*df.columns, "country", "email", "login_list")
+    return df.join(restrict_to(prof, df, "actor_id"), "actor_id")
 
 
 def _internal_flags(df: DataFrame, domains: DataFrame, statuses: DataFrame,
