@@ -116,3 +116,15 @@ def test_thresholds_quantile(spark):
     assert row["x_threshold"] == 80.0
     arr = quantile_array(df, "x").first()
     assert (arr["x_q80"], arr["x_q90"]) == (80.0, 90.0)
+
+
+def test_global_sort_path_with_null_order_values(spark):
+    rows = [(i, day(1 + i % 3), None if i % 5 == 0 else float(i % 4), "a" if i % 3 else "b")
+            for i in range(60)]
+    df = spark.createDataFrame(rows, "actor_id long, date date, v double, country string")
+    q = spark.createDataFrame([("a", 17), ("b", 9)], "country string, final_number_user long")
+    order = [F.col("v").desc_nulls_last(), F.col("actor_id").asc(), F.col("date").asc()]
+    by_window = ranking.rank_and_cut(df, q, ["country"], order)
+    by_sort = ranking.rank_and_cut(df.repartition(4), q, ["country"], order, max_window_rows=0)
+    assert sorted(map(tuple, by_window.collect())) == sorted(map(tuple, by_sort.collect()))
+    assert by_window.count() == 26
