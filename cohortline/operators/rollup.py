@@ -107,7 +107,8 @@ def _flag(cond: Column) -> Column:
 
 
 def trades_part(src: Sources, spec: SummarySpec) -> DailyPart:
-    rows = with_date(src.trades.filter(F.col("actor_id").isNotNull()), "ts", spec.scope).select(
+    scope = spec.first_fact_scope or spec.scope
+    rows = with_date(src.trades.filter(F.col("actor_id").isNotNull()), "ts", scope).select(
         "actor_id", "date", to_units(F.col("turnover")).alias("turnover_c"),
         to_units(F.col("result")).alias("result_c"),
         to_units(F.col("winning_turnover")).alias("winning_c"), "win_count", "contracts")

@@ -49,12 +49,20 @@ class Scope:
     def since(cls, start) -> "Scope":
         return cls(as_date(start), None)
 
+    @classmethod
+    def month_of(cls, day) -> "Scope":
+        """The calendar month containing ``day`` (one monthly partition)."""
+        first = as_date(day).replace(day=1)
+        return cls(first, add_months(first, 1))
+
 
 @dataclass(frozen=True)
 class SummarySpec:
     """How the daily summary is built (the choices listed in SURVEY 0.1)."""
 
     scope: Scope = field(default_factory=Scope)
+    # optional narrower scope for the first fact only (v1/v2 read one month partition of it)
+    first_fact_scope: Scope | None = None
     # "precomputed": wins come from pre-aggregated columns; "sign": row-level sign test
     wins: str = "precomputed"
     # "client": client categories only; "all": client and payment-agent categories

@@ -21,15 +21,17 @@ def daily_summary(src: Sources, spec: SummarySpec, snapshot_day=None) -> DataFra
 # Summary variants of the reference, as parameter sets.
 
 def spec_v1(start) -> SummarySpec:
-    """Fixed start, row-level win test, all payment categories, closed trades."""
-    return SummarySpec(scope=Scope.since(start), wins="sign", payment_categories="all",
-                       third_fact="closed")
+    """Fixed start (first fact: the start's month only), row-level win test, all payment
+    categories, closed trades."""
+    return SummarySpec(scope=Scope.since(start), first_fact_scope=Scope.month_of(start),
+                       wins="sign", payment_categories="all", third_fact="closed")
 
 
 def spec_v2(start) -> SummarySpec:
     """v1 plus profit / loss splits and the withdrawal-to-deposit ratio."""
-    return SummarySpec(scope=Scope.since(start), wins="sign", payment_categories="all",
-                       third_fact="closed", profit_loss=True)
+    return SummarySpec(scope=Scope.since(start), first_fact_scope=Scope.month_of(start),
+                       wins="sign", payment_categories="all", third_fact="closed",
+                       profit_loss=True)
 
 
 def spec_v5(report_date, lookback_months: int = 3) -> SummarySpec:

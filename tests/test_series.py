@@ -117,3 +117,16 @@ def test_unit_helpers_are_exact(spark):
     got = [r[0] for r in ints.select(round_units(F.col("u"), 100)).collect()]
     assert got == [2, -2, 1, -2, None]           # half away from zero
     assert ints.select(from_units(F.lit(12345), 2)).first()[0] == 123.45
+
+
+def test_v1_first_fact_reads_one_month(spark):
+    import datetime as dt
+
+    from cohortline.plans.summary import spec_v1
+    feb = (1, dt.datetime(2024, 2, 3, 12), 7.0, 7.0, 0.0, 0, 1)
+    src = make_sources(spark, trades=[trade(1, 5, 10), feb],
+                       payments=[(1, dt.datetime(2024, 2, 3, 9), "Client Deposit", 5.0)])
+    out = daily_summary(src, spec_v1("2024-01-01"))
+    got = _rows(out, ["date", "bo_turnover_usd", "deposit_usd"])
+    # the first fact is read from January only; payments are open-ended from the start
+    assert got == [(day(5), 10.0, None), (dt.date(2024, 2, 3), None, 5.0)]
