@@ -274,6 +274,12 @@ def q_invitation_list_range(spark, d):
                                      "bo_turnover_usd", PCT_A, T_RANGE, True, as_of=AS_OF)
 
 
+def q_invitation_list_sample(spark, d):
+    # zero-filled running summary filtered to the day; internal users excluded, no unsubscribe
+    return inv.invitation_list(_src(spark, d), REPORT, 3, "bo_turnover_usd", 30, T_DAY,
+                               first_time_meet=False, unsubscribe=False, summary="v3")
+
+
 def q_invitation_list_range_reached(spark, d):
     # level rule over a range: one user yields several rows, each taking a rank
     return inv.invitation_list_range(_src(spark, d), START, END, LIMIT_A, INTERVAL_DAYS,
@@ -368,6 +374,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "invitation_list_range": q_invitation_list_range,
     "invitation_list_range_reached": q_invitation_list_range_reached,
     "invitation_list_strict_latest": q_invitation_list_strict_latest,
+    "invitation_list_sample": q_invitation_list_sample,
     "multi_metric_lag": q_multi_metric_lag,
     "multi_metric_delta": q_multi_metric_delta,
     "month_lookback": q_month_lookback,

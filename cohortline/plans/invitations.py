@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from cohortline.operators import audience, naming, quota, ranking, rules
 from cohortline.params import as_date
-from cohortline.plans.summary import daily_summary, spec_v1, spec_v2, spec_v4, spec_v5
+from cohortline.plans.summary import daily_summary, spec_v1, spec_v2, spec_v3, spec_v4, spec_v5
 from cohortline.session import checkpoint_counted
 from cohortline.sources.catalog import Sources
 
@@ -26,14 +26,23 @@ def active_users(src: Sources, report_date, metric: str, threshold: float,
                  first_time_meet: bool = True, lookback_months: int = 3,
                  auto_thresholds=(1000, 100), strict_auto_pnl: bool = False,
                  exclusion: str = "rowwise", unsubscribe: bool = True,
-                 rule_mode: str = "delta") -> tuple[DataFrame, int]:
+                 rule_mode: str = "delta", summary: str = "v5") -> tuple[DataFrame, int]:
     """Rows of the report's previous day meeting the rule, with profile, minus exclusions.
 
+    ``summary``: "v5" = the day's snapshot (NULL where a source had no rows that
+    day, negated withdrawals, cross-source metrics); "v3" = the zero-filled
+    running summary filtered to the day (the inlined sample).
     Returns the checkpointed rows and their count.
     """
     report = as_date(report_date)
     day = report - dt.timedelta(days=1)
-    summary = daily_summary(src, spec_v5(report, lookback_months), snapshot_day=day)
+    if summary == "v5":
+        summary = daily_summary(src, spec_v5(report, lookback_months), snapshot_day=day)
+    elif summary == "v3":
+        summary = daily_summary(src, spec_v3(report, lookback_months)).filter(
+            F.col("date") == F.lit(day))
+    else:
+        raise ValueError(f"unknown summary variant {summary!r}")
     if metric == "auto":
         ruled = rules.auto_rule(summary, auto_thresholds[0], auto_thresholds[1], strict_auto_pnl)
     else:
@@ -53,10 +62,15 @@ def invitation_list(src: Sources, report_date, invitation_limit: int, metric: st
                     percentage_threshold: float, threshold: float, first_time_meet: bool = True,
                     lookback_months: int = 3, auto_thresholds=(1000, 100),
                     strict_auto_pnl: bool = False, exclusion: str = "rowwise",
-                    names: str = "max") -> DataFrame:
-    """One report date; columns actor_id, first_name, last_name, email."""
+                    names: str = "max", unsubscribe: bool = True,
+                    summary: str = "v5") -> DataFrame:
+    """One report date; columns actor_id, first_name, last_name, email.
+
+    ``unsubscribe=False, summary="v3"`` is the inlined sample's flavour.
+    """
     active, n = active_users(src, report_date, metric, threshold, first_time_meet,
-                             lookback_months, auto_thresholds, strict_auto_pnl, exclusion)
+                             lookback_months, auto_thresholds, strict_auto_pnl, exclusion,
+                             unsubscribe, summary=summary)
     quotas = quota.quota_table(active, ["country"], percentage_threshold, invitation_limit, "shared")
     chosen = ranking.rank_and_cut(active, quotas, ["country"], total_rows=n)
     named = naming.client_names(chosen.select("actor_id", "email"), src.clients, names, key_rows=n)
