@@ -15,7 +15,11 @@ from cohortline.sources.catalog import Sources
 def daily_summary(src: Sources, spec: SummarySpec, snapshot_day=None) -> DataFrame:
     """Merged daily summary; with ``snapshot_day`` only that day's rows (C7 plan)."""
     day = as_date(snapshot_day) if snapshot_day is not None else None
-    return series.build_series(summary_parts(src, spec), spec.fill, spec.cross_source, day)
+    key = ("daily_summary", spec, day)
+    if key not in src.plans:
+        src.plans[key] = series.build_series(summary_parts(src, spec), spec.fill,
+                                             spec.cross_source, day)
+    return src.plans[key]
 
 
 # Summary variants of the reference, as parameter sets.

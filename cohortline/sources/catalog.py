@@ -24,7 +24,7 @@ partition order.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,3 +62,6 @@ class Sources:
     statuses: DataFrame
     preferences: DataFrame
     clients: DataFrame
+    # built (lazy) plans keyed by their parameters; DataFrames are immutable, so a plan
+    # built once can be shared by every query over these sources
+    plans: dict = field(default_factory=dict, repr=False)
