@@ -2,9 +2,9 @@
 
 Stage sizes: the summary is the large relation (actors x active days); after
 a rule only the active rows remain, which are small. The active set is written
-once as a reliable checkpoint (to ``spark.checkpoint.dir``): the share, the
-quota and the ranking all read it, later stages do not recompute the summary
-after an executor loss, and their plans stay small. Every dimension join is
+once as a table under ``spark.checkpoint.dir`` (``session.checkpoint``): the
+share, the quota and the ranking all read it, later stages do not recompute the
+summary after an executor loss, and their plans stay small. Every dimension join is
 driven by the active set (semi-join reduced, checked broadcast).
 """
 
