@@ -13,6 +13,7 @@ only in the output.
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass, field
 from typing import Callable
 
@@ -20,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortline.functions.columns import from_units, round_units, to_units
+from cohortline.operators.joins import broadcast_checked
 from cohortline.params import Scope, SummarySpec
 from cohortline.sources import fixtures as fx
 from cohortline.sources.catalog import Sources
@@ -183,9 +185,15 @@ def convert_prev_day(src: Sources, scope: Scope, closing_entries=("out", "out_by
         F.sum("deals").alias("deals"),
     )
     accounts = src.accounts.select("login", "actor_id", "group_name", "server")
-    rates = (src.fx_rates.filter(F.col("target_currency") == target_currency)
-             .select("rate_date", F.col("source_currency").alias("rate_currency"),
-                     to_units(F.col("rate"), 4).alias("rate_units")))
+    # only the previous days of in-scope deals are needed: (days in scope) x currencies rows,
+    # broadcast behind a counted bound so the deal side is not shuffled for this join
+    rate_scope = Scope(None if scope.start is None else scope.start - dt.timedelta(days=1),
+                       None if scope.end is None else scope.end - dt.timedelta(days=1))
+    rates = broadcast_checked(
+        src.fx_rates.filter((F.col("target_currency") == target_currency)
+                            & in_scope(F.col("rate_date"), rate_scope))
+        .select("rate_date", F.col("source_currency").alias("rate_currency"),
+                to_units(F.col("rate"), 4).alias("rate_units")))
     joined = (per_login.join(accounts, "login")
               .join(src.account_groups, ["group_name", "server"], "left")
               .join(rates, (F.col("rate_date") == F.date_sub(F.col("date"), 1))
