@@ -68,7 +68,7 @@ def load_sources(spark: SparkSession, base: str) -> Sources:
     )
 
     pay = events.filter(F.col("event_type").isin("signup", "error"))
-    agent = eid % 10 == 0
+    agent = F.col("value") >= 100          # large payments go through payment agents
     deposit = F.col("event_type") == "signup"
     payments = pay.select(
         F.col("user_id").alias("actor_id"),
@@ -120,7 +120,7 @@ def load_sources(spark: SparkSession, base: str) -> Sources:
     closed_trades = clicks.select(
         F.to_date("ts").alias("trade_date"),
         F.col("user_id").alias("actor_id"),
-        F.when(eid % 9 == 0, F.lit("CTRADER")).otherwise(F.lit("MT5")).alias("platform"),
+        F.when(F.col("value") < 5, F.lit("CTRADER")).otherwise(F.lit("MT5")).alias("platform"),
         _signed(eid % 3 != 0, _money()).alias("closed_pnl"),
         (F.lit(1) + eid % 2).cast("bigint").alias("trade_count"),
     )
