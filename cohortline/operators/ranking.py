@@ -15,11 +15,13 @@ checks the largest group size and either
   partition``. The per-(partition, group) statistics have at most
   #partitions + #groups rows.
 
-Both paths give the same rows (exact ranks, total order with tie-breaks).
+Both paths give the same rows (exact ranks, total order with tie-breaks). On
+the global-sort path, groups whose quota covers all their rows skip ranking.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,25 +33,34 @@ _LOCAL_BITS = 33   # monotonically_increasing_id: partition index << 33 | row in
 
 
 def top_per_group(df: DataFrame, group_cols, order_cols: list[Column], limit_col: str,
-                  max_window_rows: int = MAX_WINDOW_ROWS, rank_col: str | None = None,
-                  total_rows: int | None = None) -> DataFrame:
+                  max_window_rows: int = MAX_WINDOW_ROWS, total_rows: int | None = None) -> DataFrame:
     """Rows whose rank inside their group is ``<= limit_col``; NULL limits keep nothing.
 
     ``total_rows`` (an upper bound on the rows of ``df``) spares the group-size check.
+    On the global-sort path, groups whose limit covers all their rows are kept
+    whole without ranking; only the groups that are cut are sorted.
     """
     group_cols = list(group_cols)
     df = df.filter(F.col(limit_col).isNotNull())
     if total_rows is not None and total_rows <= max_window_rows:
-        largest = total_rows
-    else:
-        largest = df.groupBy(*group_cols).count().agg(F.max("count")).first()[0] or 0
+        return _rank_by_window(df, group_cols, order_cols, limit_col)
+    sizes = (df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_group_rows"))
+             .persist(StorageLevel.MEMORY_AND_DISK))          # one row per group
+    largest = sizes.agg(F.max("_group_rows")).first()[0] or 0
     if largest <= max_window_rows:
-        w = Window.partitionBy(*group_cols).orderBy(*order_cols)
-        ranked = df.withColumn("_rank", F.row_number().over(w))
-    else:
-        ranked = _rank_by_global_sort(df, group_cols, order_cols, total_rows)
-    kept = ranked.filter(F.col("_rank") <= F.col(limit_col))
-    return kept.withColumnRenamed("_rank", rank_col) if rank_col else kept.drop("_rank")
+        return _rank_by_window(df, group_cols, order_cols, limit_col)
+    sized = df.join(broadcast_checked(sizes, known_rows=total_rows), group_cols)
+    whole = sized.filter(F.col("_group_rows") <= F.col(limit_col)).drop("_group_rows")
+    cut = sized.filter(F.col("_group_rows") > F.col(limit_col)).drop("_group_rows")
+    ranked = _rank_by_global_sort(cut, group_cols, order_cols, total_rows)
+    kept = ranked.filter(F.col("_rank") <= F.col(limit_col)).drop("_rank")
+    return whole.unionByName(kept)
+
+
+def _rank_by_window(df: DataFrame, group_cols, order_cols, limit_col: str) -> DataFrame:
+    w = Window.partitionBy(*group_cols).orderBy(*order_cols)
+    ranked = df.withColumn("_rank", F.row_number().over(w))
+    return ranked.filter(F.col("_rank") <= F.col(limit_col)).drop("_rank")
 
 
 def _rank_by_global_sort(df: DataFrame, group_cols, order_cols,
