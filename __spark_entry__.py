@@ -331,6 +331,12 @@ def q_quantile_array(spark, d):
     return quantile_array(_v5_running(_src(spark, d)), "cumulative_bo_turnover_usd", 100, (80, 90))
 
 
+def q_metric_profit_usd(spark, d):
+    snap = snapshot_summary(_src(spark, d), REPORT, LOOKBACK)
+    ruled = rules.metric_rule(snap, "bo_profit_usd", 50, first_time=False)
+    return rules.select_active(ruled).select("actor_id", "date", "metric_value", "metric")
+
+
 def q_metric_deposit_count(spark, d):
     snap = snapshot_summary(_src(spark, d), REPORT, LOOKBACK)
     ruled = rules.metric_rule(snap, "deposit_count", 3, first_time=False)
@@ -382,6 +388,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stored_thresholds": q_stored_thresholds,
     "quantile_array": q_quantile_array,
     "metric_deposit_count": q_metric_deposit_count,
+    "metric_profit_usd": q_metric_profit_usd,
 }
 
 

@@ -39,9 +39,13 @@ def spec_v2(start) -> SummarySpec:
 
 
 def spec_v5(report_date, lookback_months: int = 3) -> SummarySpec:
-    """Months lookback before the report date, negated withdrawals, cross-source metrics."""
+    """Months lookback before the report date, negated withdrawals, cross-source metrics.
+
+    Also produces the profit / loss splits and the withdrawal-to-deposit ratio, so
+    every metric the procedures advertise can be selected (H16).
+    """
     return SummarySpec(scope=Scope.months_before(report_date, lookback_months),
-                       withdrawal_sign=-1, cross_source=True)
+                       withdrawal_sign=-1, cross_source=True, profit_loss=True)
 
 
 def spec_v3(report_date, lookback_months: int = 3) -> SummarySpec:
@@ -50,10 +54,11 @@ def spec_v3(report_date, lookback_months: int = 3) -> SummarySpec:
 
 
 def spec_v4(as_of, interval_days: int) -> SummarySpec:
-    """Days lookback from ``as_of``, row-level win test, all categories, closing sell/credit."""
+    """Days lookback from ``as_of``, row-level win test, all categories, closing sell/credit
+    (plus the profit / loss splits and the ratio, H16)."""
     return SummarySpec(scope=Scope.days_before(as_of, interval_days), wins="sign",
                        payment_categories="all", closing_entries=("sell", "credit"),
-                       fx_sign=-1, fill=0)
+                       fx_sign=-1, fill=0, profit_loss=True)
 
 
 def snapshot_summary(src: Sources, report_date, lookback_months: int = 3) -> DataFrame:
