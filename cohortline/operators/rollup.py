@@ -17,6 +17,7 @@ import datetime as dt
 from dataclasses import dataclass, field
 from typing import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -193,7 +194,8 @@ def convert_prev_day(src: Sources, scope: Scope, closing_entries=("out", "out_by
         src.fx_rates.filter((F.col("target_currency") == target_currency)
                             & in_scope(F.col("rate_date"), rate_scope))
         .select("rate_date", F.col("source_currency").alias("rate_currency"),
-                to_units(F.col("rate"), 4).alias("rate_units")))
+                to_units(F.col("rate"), 4).alias("rate_units"))
+        .persist(StorageLevel.MEMORY_AND_DISK))    # counted once, then broadcast from cache
     joined = (per_login.join(accounts, "login")
               .join(src.account_groups, ["group_name", "server"], "left")
               .join(rates, (F.col("rate_date") == F.date_sub(F.col("date"), 1))
