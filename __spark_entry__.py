@@ -55,7 +55,7 @@ _SOURCES: dict = {}
 def _src(spark: SparkSession, sf_dir: str):
     """Lazily defined source relations, reused for the same session and folder."""
     ensure_checkpoint_dir(spark)
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
     if key not in _SOURCES:
         _SOURCES[key] = load_sources(spark, sf_dir)
     return _SOURCES[key]
