@@ -20,7 +20,6 @@ from cohortline.functions.columns import from_units, safe_percentage
 from cohortline.operators.rollup import KEY, DailyPart
 
 
-
 def running_window():
     """PARTITION BY actor_id ORDER BY date ROWS UNBOUNDED PRECEDING .. CURRENT ROW."""
     return (Window.partitionBy("actor_id").orderBy("date")
@@ -105,6 +104,9 @@ def ratio_columns(parts: list[DailyPart]) -> dict[str, Column]:
     return cols
 
 
+PNL_SCALE = 4   # cross-source P/L is carried in 1e-4 units (the finer of cents and converted units)
+
+
 def cross_source_columns(scales: dict[str, int]) -> dict[str, Column]:
     """Cross-source ``pnl_usd`` and ``contract_count`` (each term NULL -> 0).
 
@@ -130,9 +132,6 @@ def cross_source_columns(scales: dict[str, int]) -> dict[str, Column]:
     }
 
 
-PNL_SCALE = 4
-
-
 def finalize(df: DataFrame, parts: list[DailyPart], fill=None, cross_source=False) -> DataFrame:
     """One projection: ratios (C4), cross-source metrics (C6), column order, output types
     (money units -> double, counts -> bigint) and the optional zero fill."""
