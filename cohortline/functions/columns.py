@@ -50,7 +50,9 @@ def to_units(amount: Column, decimals: int = 2) -> Column:
     once makes every later sum an exact ``bigint`` addition, independent of
     partition order, and keeps aggregation on primitive longs in generated code.
     """
-    return F.rint(amount.cast("double") * F.lit(float(10 ** decimals))).cast("bigint")
+    scaled = amount.cast("double") * F.lit(float(10 ** decimals))
+    # half away from zero (as SQL ROUND), on primitive doubles
+    return (F.signum(scaled) * F.floor(F.abs(scaled) + F.lit(0.5))).cast("bigint")
 
 
 def from_units(units: Column, decimals: int = 2) -> Column:

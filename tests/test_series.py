@@ -130,3 +130,11 @@ def test_v1_first_fact_reads_one_month(spark):
     got = _rows(out, ["date", "bo_turnover_usd", "deposit_usd"])
     # the first fact is read from January only; payments are open-ended from the start
     assert got == [(day(5), 10.0, None), (dt.date(2024, 2, 3), None, 5.0)]
+
+
+def test_to_units_rounds_half_away_from_zero(spark):
+    from pyspark.sql import functions as F
+
+    from cohortline.functions import to_units
+    df = spark.createDataFrame([(0.125,), (-0.125,), (2.5,)], "x double")
+    assert [r[0] for r in df.select(to_units(F.col("x"), 2)).collect()] == [13, -13, 250]
