@@ -71,9 +71,23 @@ def in_scope(date_col: Column, scope: Scope) -> Column:
     return cond
 
 
-def with_date(df: DataFrame, ts: str, scope: Scope) -> DataFrame:
+def month_scope(month_col: str, scope: Scope) -> Column:
+    """The scope restated on a monthly partition column: ``month >= trunc(start, 'MM')``
+    and ``month < end`` (a month that starts before ``end`` may hold in-scope days).
+    Redundant with the exact filter, but it lets the scan prune partitions."""
+    cond = F.lit(True)
+    if scope.start is not None:
+        cond = cond & (F.col(month_col) >= F.trunc(F.lit(scope.start), "MM"))
+    if scope.end is not None:
+        cond = cond & (F.col(month_col) < F.lit(scope.end))
+    return cond
+
+
+def with_date(df: DataFrame, ts: str, scope: Scope, month_partition: str | None = None) -> DataFrame:
     """Filter a timestamped fact to ``scope`` (pushed to the scan) and add its ``date``."""
     day = F.to_date(F.col(ts))
+    if month_partition is not None:
+        df = df.filter(month_scope(month_partition, scope))
     return df.filter(in_scope(day, scope)).withColumn("date", day)
 
 
@@ -111,7 +125,8 @@ def _flag(cond: Column) -> Column:
 
 def trades_part(src: Sources, spec: SummarySpec) -> DailyPart:
     scope = spec.first_fact_scope or spec.scope
-    rows = with_date(src.trades.filter(F.col("actor_id").isNotNull()), "ts", scope).select(
+    rows = with_date(src.trades.filter(F.col("actor_id").isNotNull()), "ts", scope,
+                     spec.month_partition).select(
         "actor_id", "date", to_units(F.col("turnover")).alias("turnover_c"),
         to_units(F.col("result")).alias("result_c"),
         to_units(F.col("winning_turnover")).alias("winning_c"), "win_count", "contracts")
@@ -145,7 +160,7 @@ def payments_part(src: Sources, spec: SummarySpec) -> DailyPart:
         deposits, withdrawals = (fx.DEPOSIT,), (fx.WITHDRAWAL,)
     pay = src.payments.filter(F.col("actor_id").isNotNull()
                               & F.col("category").isin(*deposits, *withdrawals))
-    rows = with_date(pay, "ts", spec.scope).select(
+    rows = with_date(pay, "ts", spec.scope, spec.month_partition).select(
         "actor_id", "date", "category", to_units(F.col("amount")).alias("amount_c"))
     is_dep, is_wd = F.col("category").isin(*deposits), F.col("category").isin(*withdrawals)
     amount = F.col("amount_c")

@@ -63,6 +63,9 @@ class SummarySpec:
     scope: Scope = field(default_factory=Scope)
     # optional narrower scope for the first fact only (v1/v2 read one month partition of it)
     first_fact_scope: Scope | None = None
+    # name of a monthly partition column (first day of the month) on the fact tables, if
+    # any: the scope is then also stated on it, so the scan prunes whole partitions
+    month_partition: str | None = None
     # "precomputed": wins come from pre-aggregated columns; "sign": row-level sign test
     wins: str = "precomputed"
     # "client": client categories only; "all": client and payment-agent categories

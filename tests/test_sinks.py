@@ -29,3 +29,22 @@ def test_save_table_prunes_partitions(spark):
     assert "PartitionFilters: [isnotnull(date" in plan
     assert sorted(map(tuple, stored.select("actor_id", "date", "v").collect())) == \
         sorted(map(tuple, _df(spark).collect()))
+
+
+def test_month_partitioned_fact_is_pruned(spark):
+    from helpers import make_sources, trade
+
+    from cohortline.operators.rollup import trades_part
+    from cohortline.params import Scope, SummarySpec
+    rows = [trade(1, 5, 10), trade(2, 20, 3)]
+    base = make_sources(spark, trades=rows).trades.withColumn("year_month", F.trunc("ts", "MM"))
+    path = f"{ensure_checkpoint_dir(spark)}/tables/trades_{os.getpid()}"
+    base.write.mode("overwrite").partitionBy("year_month").parquet(path)
+    src = make_sources(spark)
+    src.trades = spark.read.parquet(path)
+    spec = SummarySpec(scope=Scope(dt.date(2024, 1, 10), dt.date(2024, 2, 1)),
+                       month_partition="year_month")
+    part = trades_part(src, spec)
+    assert part.rows.count() == 1
+    plan = part.rows._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year_month" in plan
