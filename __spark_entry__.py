@@ -410,4 +410,4 @@ def oracle_sql() -> dict[str, str]:
         orders_start=add_months(ORDERS_REPORT, -LOOKBACK))
 
 
-__all__ = ["entry", "queries", "oracle_sql", "Scope"]
+__all__ = ["entry", "queries", "oracle_sql"]
