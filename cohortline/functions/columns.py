@@ -83,9 +83,10 @@ def email_domain(email: Column) -> Column:
 
 
 def round_half_up_div(numerator: Column, denominator: Column) -> Column:
-    """round(numerator / denominator) for numerator >= 0, denominator > 0, in exact integers."""
+    """round(numerator / denominator) for numerator >= 0, denominator > 0, in exact integers
+    (NULL when the denominator is 0)."""
     x = numerator.cast("bigint") * 2 + denominator.cast("bigint")
-    y = denominator.cast("bigint") * 2
+    y = F.nullif(denominator.cast("bigint") * 2, F.lit(0).cast("bigint"))   # 0 -> NULL, not an error
     # x - pmod(x, y) is an exact multiple of y, so the quotient is an exact integer
     return ((x - F.pmod(x, y)) / y).cast("bigint")
 

@@ -43,3 +43,8 @@ def test_integer_rounding_is_exact(spark, pairs):
     for (n, d), row in zip(pairs, got):
         assert row.r == _half_up(n, d)
         assert row.p == _half_up(100 * (n % d), d)
+
+
+def test_integer_division_by_zero_is_null(spark):
+    df = spark.createDataFrame([(5, 0)], "n long, d long")
+    assert df.select(round_half_up_div(F.col("n"), F.col("d"))).first()[0] is None
