@@ -215,7 +215,7 @@ def q_quota_capped(spark, d):
 
 def _rank(spark, d, max_window_rows):
     active, n = _range_active(_src(spark, d), counted=True)
-    quotas = quota.quota_table(active, ["country"], PCT_A, LIMIT_A, "shared")
+    quotas = quota.quota_table(active, ["country"], PCT_A, LIMIT_A, "shared", total_rows=n)
     chosen = ranking.rank_and_cut(active, quotas, ["country"], max_window_rows=max_window_rows,
                                   total_rows=n)
     return chosen.select("actor_id", "date", "metric_value", "country")

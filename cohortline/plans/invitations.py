@@ -71,7 +71,8 @@ def invitation_list(src: Sources, report_date, invitation_limit: int, metric: st
     active, n = active_users(src, report_date, metric, threshold, first_time_meet,
                              lookback_months, auto_thresholds, strict_auto_pnl, exclusion,
                              unsubscribe, summary=summary)
-    quotas = quota.quota_table(active, ["country"], percentage_threshold, invitation_limit, "shared")
+    quotas = quota.quota_table(active, ["country"], percentage_threshold, invitation_limit, "shared",
+                                total_rows=n)
     chosen = ranking.rank_and_cut(active, quotas, ["country"], total_rows=n)
     named = naming.client_names(chosen.select("actor_id", "email"), src.clients, names, key_rows=n)
     return naming.one_row_per_user(named, ["actor_id"], ["first_name", "last_name", "email"])
@@ -94,7 +95,8 @@ def invitation_list_range(src: Sources, start_date, end_date, invitation_limit:
     active, n = checkpoint_counted(
         rules.select_active(ruled).select("actor_id", "date", "metric_value", "metric"))
     active = audience.attach_profile(active, src.profile, key_rows=n)
-    quotas = quota.quota_table(active, ["country"], percentage_threshold, invitation_limit, "shared")
+    quotas = quota.quota_table(active, ["country"], percentage_threshold, invitation_limit, "shared",
+                                total_rows=n)
     chosen = ranking.rank_and_cut(active, quotas, ["country"], total_rows=n)
     named = naming.client_names(
         chosen.select("actor_id", "metric", "metric_value", "email", "country", "login_list"),
@@ -179,7 +181,8 @@ def multi_metric_invitations(src: Sources, start_date, end_date, invitation_limi
     measures = sorted(set(order_by.values()))
     active, n = checkpoint_counted(labelled.select("actor_id", "date", "metric", *measures))
     active = audience.attach_profile(active, src.profile, key_rows=n)
-    quotas = quota.quota_table(active, ["country", "metric"], threshold, invitation_limit, "capped")
+    quotas = quota.quota_table(active, ["country", "metric"], threshold, invitation_limit, "capped",
+                                total_rows=n)
     chosen = ranking.rank_per_label(active, quotas, order_by, total_rows=n)
     named = naming.client_names(
         chosen.select("actor_id", "metric", "email", "country", "login_list"), src.clients, names,

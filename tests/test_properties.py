@@ -77,3 +77,15 @@ def test_strict_exclusion_subset_of_rowwise(spark, statuses):
     strict = {r.actor_id for r in audience.exclude_internal(prof, src.internal_domains, src.statuses,
                                                             "strict").collect()}
     assert strict <= row
+
+
+@SETTINGS
+@given(rows=groups_st, limit=st.integers(1, 12), pct=st.integers(0, 60))
+def test_quota_single_pass_equals_scalar_path(spark, rows, limit, pct):
+    df = spark.createDataFrame(
+        [(i % 7, day(1), float(v), g) for i, (g, v) in enumerate(rows)],
+        "actor_id long, date date, metric_value double, country string")
+    for rule in ("shared", "capped"):
+        a = quota.quota_table(df, ["country"], pct, limit, rule)
+        b = quota.quota_table(df, ["country"], pct, limit, rule, total_rows=len(rows))
+        assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
