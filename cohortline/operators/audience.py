@@ -32,9 +32,17 @@ def attach_profile(df: DataFrame, profile: DataFrame, key_rows: int | None = Non
 
 def _internal_flags(df: DataFrame, domains: DataFrame, statuses: DataFrame,
                     key_rows: int | None) -> DataFrame:
-    dom = broadcast_checked(domains.select("domain", F.col("company").alias("_company")).distinct())
+    keyed = df.withColumn("_domain", email_domain(F.col("email")))
+    dom = domains.select("domain", F.col("company").alias("_company")).distinct()
+    if key_rows is not None:
+        # only the active rows' domains matter: at most key_rows of them, no count needed
+        dom = broadcast_checked(
+            restrict_to(dom, keyed.select(F.col("_domain").alias("domain")), "domain",
+                        key_rows=key_rows), known_rows=key_rows)
+    else:
+        dom = broadcast_checked(dom)
     st = restrict_to(statuses.select("actor_id", "status_code"), df, "actor_id", key_rows=key_rows)
-    return (df.withColumn("_domain", email_domain(F.col("email")))
+    return (keyed
               .join(dom, F.col("_domain") == F.col("domain"), "left")
               .join(st, "actor_id", "left")
               .withColumn("_internal", F.col("_company").isNotNull()
