@@ -280,6 +280,12 @@ def q_invitation_list_sample(spark, d):
                                first_time_meet=False, unsubscribe=False, summary="v3")
 
 
+def q_invitation_list_first_ever(spark, d):
+    # P/L reaching 50 for the first time within the lookback on the report's previous day (H2)
+    return inv.invitation_list(_src(spark, d), REPORT, 3, "bo_pnl_usd", 30, 50.0,
+                               first_time_meet=True, rule_mode="first_ever")
+
+
 def q_invitation_list_range_reached(spark, d):
     # level rule over a range: one user yields several rows, each taking a rank
     return inv.invitation_list_range(_src(spark, d), START, END, LIMIT_A, INTERVAL_DAYS,
@@ -381,6 +387,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "invitation_list_range_reached": q_invitation_list_range_reached,
     "invitation_list_strict_latest": q_invitation_list_strict_latest,
     "invitation_list_sample": q_invitation_list_sample,
+    "invitation_list_first_ever": q_invitation_list_first_ever,
     "multi_metric_lag": q_multi_metric_lag,
     "multi_metric_delta": q_multi_metric_delta,
     "month_lookback": q_month_lookback,

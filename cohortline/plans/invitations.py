@@ -36,17 +36,24 @@ def active_users(src: Sources, report_date, metric: str, threshold: float,
     """
     report = as_date(report_date)
     day = report - dt.timedelta(days=1)
+    on_day = F.col("date") == F.lit(day)
+    # "lag" / "first_ever" look at earlier days, so they run on the whole lookback first
+    history = first_time_meet and metric != "auto" and rule_mode != "delta"
     if summary == "v5":
-        summary = daily_summary(src, spec_v5(report, lookback_months), snapshot_day=day)
+        spec = spec_v5(report, lookback_months)
+        frame = daily_summary(src, spec) if history else daily_summary(src, spec, snapshot_day=day)
     elif summary == "v3":
-        summary = daily_summary(src, spec_v3(report, lookback_months)).filter(
-            F.col("date") == F.lit(day))
+        frame = daily_summary(src, spec_v3(report, lookback_months))
+        if not history:
+            frame = frame.filter(on_day)
     else:
         raise ValueError(f"unknown summary variant {summary!r}")
     if metric == "auto":
-        ruled = rules.auto_rule(summary, auto_thresholds[0], auto_thresholds[1], strict_auto_pnl)
+        ruled = rules.auto_rule(frame, auto_thresholds[0], auto_thresholds[1], strict_auto_pnl)
     else:
-        ruled = rules.metric_rule(summary, metric, threshold, first_time_meet, rule_mode)
+        ruled = rules.metric_rule(frame, metric, threshold, first_time_meet, rule_mode)
+    if history:
+        ruled = ruled.filter(on_day)
     active, n = checkpoint_counted(
         rules.select_active(ruled).select("actor_id", "date", "metric_value", "metric"))
     active = audience.attach_profile(active, src.profile, key_rows=n)
@@ -63,14 +70,16 @@ def invitation_list(src: Sources, report_date, invitation_limit: int, metric: st
                     lookback_months: int = 3, auto_thresholds=(1000, 100),
                     strict_auto_pnl: bool = False, exclusion: str = "rowwise",
                     names: str = "max", unsubscribe: bool = True,
-                    summary: str = "v5") -> DataFrame:
+                    summary: str = "v5", rule_mode: str = "delta") -> DataFrame:
     """One report date; columns actor_id, first_name, last_name, email.
 
-    ``unsubscribe=False, summary="v3"`` is the inlined sample's flavour.
+    ``unsubscribe=False, summary="v3"`` is the inlined sample's flavour;
+    ``rule_mode="first_ever"`` selects users who reach the threshold for the
+    first time within the lookback (the stated intent, H2).
     """
     active, n = active_users(src, report_date, metric, threshold, first_time_meet,
                              lookback_months, auto_thresholds, strict_auto_pnl, exclusion,
-                             unsubscribe, summary=summary)
+                             unsubscribe, rule_mode=rule_mode, summary=summary)
     quotas = quota.quota_table(active, ["country"], percentage_threshold, invitation_limit, "shared",
                                 total_rows=n)
     chosen = ranking.rank_and_cut(active, quotas, ["country"], total_rows=n)
