@@ -8,6 +8,8 @@ Every query reads the driver's tables (role mapping in
 from __future__ import annotations
 
 import datetime as dt
+import importlib
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -405,12 +407,21 @@ def entry(spark: SparkSession) -> DataFrame:
                                      INTERVAL_DAYS, "bo_turnover_usd", 5, T_RANGE, True, as_of=AS_OF)
 
 
+def _llm():
+    """The document operators' query module, or None where that subpackage is not installed."""
+    if importlib.util.find_spec("cohortline.llm") is None or importlib.util.find_spec("corpus_pipeline") is None:
+        return None
+    return importlib.import_module("cohortline.llm.queries")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    llm = _llm()
+    return {**_QUERIES, **(llm.QUERIES if llm else {})}
 
 
 def oracle_sql() -> dict[str, str]:
-    return oq.oracle_map(
+    llm = _llm()
+    return (llm.ORACLE_SQL if llm else {}) | oq.oracle_map(
         report=REPORT, snap=SNAP, v5_start=V5_START, start=START, end=END, v4_start=V4_START,
         history=HISTORY, t_range=T_RANGE, t_day=T_DAY, limit_a=LIMIT_A, pct_a=PCT_A,
         limit_b=LIMIT_B, pct_b=PCT_B, multi=MULTI, orders_report=ORDERS_REPORT,
