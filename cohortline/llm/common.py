@@ -6,6 +6,7 @@ import contextlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,9 +77,33 @@ def map_texts(df: DataFrame, id_name: str, fields: str,
     return df.mapInArrow(run, out)
 
 
-def steps(batch: pa.RecordBatch, limit: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
+def append_texts(df: DataFrame, text_col: str, fields: str,
+                 each: Callable[[list[str]], list[tuple]]) -> DataFrame:
+    """The rows as they are, with computed columns; these replace columns of the same names."""
+    new = T.StructType.fromDDL(fields)
+    src = df.select([c for c in df.columns if c not in new.names or c == text_col])
+    kept = [c for c in src.columns if c not in new.names]
+    out = T.StructType(src.select(kept).schema.fields + new.fields)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        target = arrow_schema(new)
+        for batch in batches:
+            for part in steps(batch, column=text_col):
+                values = each([t or "" for t in part.column(text_col).to_pylist()])
+                arrays = [part.column(c) for c in kept]
+                names = list(kept)
+                for i, f in enumerate(target):
+                    arrays.append(pa.array([v[i] for v in values], type=f.type))
+                    names.append(f.name)
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
+
+    return src.mapInArrow(run, out)
+
+
+def steps(batch: pa.RecordBatch, limit: int = STEP_BYTES,
+          column: str = "text") -> Iterator[pa.RecordBatch]:
     """The batch in slices of at most ``limit`` bytes of text (one row at least)."""
-    sizes = pa.compute.binary_length(batch.column("text")).to_pylist()
+    sizes = pc.binary_length(batch.column(column)).to_pylist()
     begin = total = 0
     for i, n in enumerate(sizes):
         if total and total + (n or 0) > limit:

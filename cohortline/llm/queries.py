@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import byte_bpe
+from . import byte_bpe, licenses, toxicity
 from .common import table
 
 
@@ -16,8 +17,22 @@ def op5_byte_bpe(spark, sf_dir):
         public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op2_license_notices(spark, sf_dir):
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def op9_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit_model(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score_documents(docs, model).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 QUERIES = {
+    "op2_license_notices": op2_license_notices,
     "op5_byte_bpe": op5_byte_bpe,
+    "op9_toxicity": op9_toxicity,
     "pipeline": corpus_pipeline.run,
 }
 
