@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import byte_bpe, licenses, toxicity
+from . import byte_bpe, licenses, packing, pii, toxicity
 from .common import table
 
 
@@ -21,6 +21,15 @@ def op2_license_notices(spark, sf_dir):
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op6_best_fit_packing(spark, sf_dir):
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op8_pii(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return pii.find_pii(docs, pii.fit_trees(docs))
+
+
 def op9_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit_model(docs, table(spark, sf_dir, "labels"))
@@ -32,6 +41,8 @@ def op9_toxicity(spark, sf_dir):
 QUERIES = {
     "op2_license_notices": op2_license_notices,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_best_fit_packing": op6_best_fit_packing,
+    "op8_pii": op8_pii,
     "op9_toxicity": op9_toxicity,
     "pipeline": corpus_pipeline.run,
 }
