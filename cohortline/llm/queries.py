@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import byte_bpe, licenses, packing, pii, toxicity
+from . import byte_bpe, fingerprints, licenses, packing, pii, toxicity
 from .common import table
 
 
@@ -21,6 +21,10 @@ def op2_license_notices(spark, sf_dir):
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op3_fingerprints(spark, sf_dir):
+    return fingerprints.compare_edited(table(spark, sf_dir, "documents"))
+
+
 def op6_best_fit_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -41,6 +45,7 @@ def op9_toxicity(spark, sf_dir):
 QUERIES = {
     "op2_license_notices": op2_license_notices,
     "op5_byte_bpe": op5_byte_bpe,
+    "op3_fingerprints": op3_fingerprints,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op8_pii": op8_pii,
     "op9_toxicity": op9_toxicity,
