@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import byte_bpe, fingerprints, licenses, packing, pii, toxicity
+from . import byte_bpe, fingerprints, licenses, packing, pii, toxicity, warc
 from .common import table
 
 
@@ -17,6 +17,12 @@ def op5_byte_bpe(spark, sf_dir):
         public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op1_warc(spark, sf_dir):
+    index, folder = warc.archive_pages(table(spark, sf_dir, "pages"))
+    return warc.read_records(index, folder).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op2_license_notices(spark, sf_dir):
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
@@ -43,6 +49,7 @@ def op9_toxicity(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_warc": op1_warc,
     "op2_license_notices": op2_license_notices,
     "op5_byte_bpe": op5_byte_bpe,
     "op3_fingerprints": op3_fingerprints,
