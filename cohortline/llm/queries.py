@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import byte_bpe, fingerprints, licenses, packing, pii, toxicity, warc
+from . import byte_bpe, fingerprints, licenses, ngram_join, packing, pii, toxicity, warc
 from .common import table
 
 
@@ -48,6 +48,10 @@ def op9_toxicity(spark, sf_dir):
         (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op10_ngram_join(spark, sf_dir):
+    return ngram_join.join_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_license_notices": op2_license_notices,
@@ -56,6 +60,7 @@ QUERIES = {
     "op6_best_fit_packing": op6_best_fit_packing,
     "op8_pii": op8_pii,
     "op9_toxicity": op9_toxicity,
+    "op10_ngram_join": op10_ngram_join,
     "pipeline": corpus_pipeline.run,
 }
 
