@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import byte_bpe, fingerprints, licenses, ngram_join, packing, pii, toxicity, warc
+from . import byte_bpe, fingerprints, licenses, ngram_join, packing, pii, substrings, toxicity, warc
 from .common import table
 
 
@@ -35,6 +35,10 @@ def op6_best_fit_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op7_substring_dedup(spark, sf_dir):
+    return substrings.removal_digests(table(spark, sf_dir, "documents"))
+
+
 def op8_pii(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return pii.find_pii(docs, pii.fit_trees(docs))
@@ -58,6 +62,7 @@ QUERIES = {
     "op5_byte_bpe": op5_byte_bpe,
     "op3_fingerprints": op3_fingerprints,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_pii": op8_pii,
     "op9_toxicity": op9_toxicity,
     "op10_ngram_join": op10_ngram_join,
