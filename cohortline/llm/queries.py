@@ -7,10 +7,14 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import byte_bpe, fingerprints, licenses, ngram_join, packing, pii, substrings, toxicity, warc
+from . import byte_bpe, embeddings, fingerprints, licenses, ngram_join, packing, pii, substrings, toxicity, warc
 from .common import table
 
 
+def op4_embedding_near_dedup(spark, sf_dir):
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op5_byte_bpe(spark, sf_dir):
     return byte_bpe.round_trip_digests(
         table(spark, sf_dir, "documents"),
@@ -59,6 +63,7 @@ def op10_ngram_join(spark, sf_dir):
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_license_notices": op2_license_notices,
+    "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op5_byte_bpe": op5_byte_bpe,
     "op3_fingerprints": op3_fingerprints,
     "op6_best_fit_packing": op6_best_fit_packing,
