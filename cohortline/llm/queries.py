@@ -9,6 +9,7 @@ import corpus_pipeline
 
 from . import byte_bpe, embeddings, fingerprints, licenses, ngram_join, packing, pii, substrings, toxicity, warc
 from .common import table
+from .oracles import ORACLE_SQL
 
 
 def op4_embedding_near_dedup(spark, sf_dir):
@@ -74,4 +75,5 @@ QUERIES = {
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE_SQL = {**ORACLE_SQL, "pipeline": corpus_pipeline.ORACLE_SQL}

@@ -26,7 +26,7 @@ from .hashing import NON_WORD, SMALL, Words
 
 BITS = 16          # size of the embedding table
 PREFIXES = (4, 5)  # bytes of a word that have an embedding of their own
-PAD = 2            # words of padding after each text: the widest filter less one
+PAD = 3            # words of padding after each text: the width of the widest filter
 
 
 @dataclass(frozen=True)
@@ -45,6 +45,7 @@ class Fit:
     decay: float = 1e-5
     seed: int = 7
     calibration_share: float = 0.25
+    blank_share: float = 0.02
     precision: float = 0.95
     base_threshold: float = 0.7
     min_by_language: int = 20
@@ -73,6 +74,8 @@ class Model:
             for j in range(1, w):
                 y[:-j] += x[j:] @ kernel[j]
             y += bias
+            for j in range(1, w):      # these windows would reach into the next text
+                y[bounds[1:] - j] = -np.inf
             top = np.maximum.reduceat(y, bounds[:-1], axis=0)
             best.append(top)
             if where:
@@ -105,7 +108,7 @@ def word_ids(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 def train(texts: list[np.ndarray], y: np.ndarray, fit: Fit) -> Model:
     """Fit by Adam on texts given as padded id arrays."""
     rng = np.random.default_rng(fit.seed)
-    model = Model(fit.widths, rng.normal(0, 0.3, (1 << BITS, fit.dims)).astype(np.float32),
+    model = Model(fit.widths, rng.normal(0, 0.1, (1 << BITS, fit.dims)).astype(np.float32),
                   [rng.normal(0, (w * fit.dims) ** -0.5, (w, fit.dims, fit.filters)).astype(np.float32) for w in fit.widths],
                   [np.zeros(fit.filters, np.float32) for _ in fit.widths],
                   rng.normal(0, 0.3, fit.filters * len(fit.widths)).astype(np.float32), 0.0)
@@ -206,7 +209,11 @@ def fit_model(docs: DataFrame, labels: DataFrame, fit: Fit = Fit(), id_col: str
     apart = np.random.default_rng(fit.seed + 1).random(len(y)) < fit.calibration_share
     if len(set(y[apart])) < 2 or len(set(y[~apart])) < 2:
         apart = np.zeros(len(y), bool)
-    model = train([x for x, z in zip(texts, apart) if not z], y[~apart], fit)
+    # texts without words are clean: a few join the fit
+    none = np.zeros((1 + len(PREFIXES), PAD), np.int32)
+    blank = max(1, int(fit.blank_share * (~apart).sum()))
+    model = train([x for x, z in zip(texts, apart) if not z] + [none] * blank,
+                  np.concatenate([y[~apart], np.zeros(blank, np.float32)]), fit)
     held = np.flatnonzero(apart) if apart.any() else np.arange(len(y))
     bounds = np.concatenate([[0], np.cumsum([texts[i].shape[1] for i in held])])
     ids = np.concatenate([texts[i] for i in held], axis=1)

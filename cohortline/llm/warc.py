@@ -97,7 +97,9 @@ def with_responses(pages: DataFrame) -> DataFrame:
     # only payloads met more than once need a second look; a join of two shuffled sides, so a hot payload can be split
     again = (slim.join(least, "_sum").filter(~F.col("page_id").eqNullSafe(F.col("response")))
              .groupBy("page_id", "_sum").agg(F.first("response").alias("refers_to")))
-    return keyed.join(again, ["page_id", "_sum"], "left").select("page_id", "url", "html", "capture", "refers_to")
+    again = again.withColumnsRenamed({"page_id": "_page", "_sum": "_again"})
+    return (keyed.join(again, F.col("page_id").eqNullSafe(F.col("_page")) & (F.col("_sum") == F.col("_again")), "left")
+            .select("page_id", "url", "html", "capture", "refers_to"))
 
 
 def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
