@@ -12,6 +12,8 @@ import importlib
 import importlib.util
 import os
 import sys
+import uuid
+from dataclasses import replace
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracle_queries as oq  # noqa: E402
-from cohortline.functions import to_units  # noqa: E402
+from cohortline.functions.columns import exact  # noqa: E402
 from cohortline.operators import audience, naming, quota, ranking, rules, series  # noqa: E402
 from cohortline.operators.rollup import (Measure, daily_rollup, fact_part,  # noqa: E402
                                          fx_deals_part, trades_part)
@@ -29,7 +31,7 @@ from cohortline.params import Scope, add_months  # noqa: E402
 from cohortline.plans import invitations as inv  # noqa: E402
 from cohortline.plans.summary import (daily_summary, snapshot_summary, spec_v1,  # noqa: E402
                                       spec_v2, spec_v3, spec_v4, spec_v5)
-from cohortline.session import checkpoint_counted, ensure_checkpoint_dir  # noqa: E402
+from cohortline.session import ensure_checkpoint_dir  # noqa: E402
 from cohortline.sources import load_sources, read_table, register_view, save_table  # noqa: E402
 
 # Parameters of the checks (the test data covers 2024-01-01 .. 2024-01-30).
@@ -69,19 +71,17 @@ def _v5_running(src):
     return daily_summary(src, spec_v5(REPORT, LOOKBACK))
 
 
-def _range_active(src, counted: bool = False):
-    """Rows of [START, END) whose cumulative turnover crossed T_RANGE, with profile.
-
-    ``counted``: checkpoint the active rows and return them with their count.
-    """
+def _range_active(src):
+    """Rows of [START, END) whose cumulative turnover crossed T_RANGE, with profile."""
     ruled = rules.metric_rule(_v5_running(src), "bo_turnover_usd", T_RANGE, True)
     active = rules.select_active(ruled).filter(
         (F.col("date") >= F.lit(START)) & (F.col("date") < F.lit(END)))
-    active = active.select("actor_id", "date", "metric_value", "metric")
-    if not counted:
-        return audience.attach_profile(active, src.profile)
-    active, n = checkpoint_counted(active)
-    return audience.attach_profile(active, src.profile, key_rows=n), n
+    return audience.attach_profile(active.select("actor_id", "date", "metric_value", "metric"), src.profile)
+
+
+def _fresh(spark, name: str) -> str:
+    """A new table folder for each run; readers of an earlier one keep theirs."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
 
 
 # --------------------------------------------------------------------------- queries
@@ -215,20 +215,19 @@ def q_quota_capped(spark, d):
     return _quota(spark, d, LIMIT_A, PCT_A, "capped")
 
 
-def _rank(spark, d, max_window_rows):
-    active, n = _range_active(_src(spark, d), counted=True)
-    quotas = quota.quota_table(active, ["country"], PCT_A, LIMIT_A, "shared", total_rows=n)
-    chosen = ranking.rank_and_cut(active, quotas, ["country"], max_window_rows=max_window_rows,
-                                  total_rows=n)
+def _rank(spark, d, splits):
+    active = _range_active(_src(spark, d))
+    quotas = quota.quota_table(active, ["country"], PCT_A, LIMIT_A, "shared", with_rows=True)
+    chosen = ranking.rank_and_cut(active, quotas, ["country"], splits=splits)
     return chosen.select("actor_id", "date", "metric_value", "country")
 
 
 def q_rank_and_cut(spark, d):
-    return _rank(spark, d, ranking.MAX_WINDOW_ROWS)
+    return _rank(spark, d, ranking.SPLITS)
 
 
 def q_rank_global_sort(spark, d):
-    return _rank(spark, d, 0)   # forces the range-partitioned ranking path
+    return _rank(spark, d, 7)   # the same ranks whatever the number of parts
 
 
 def q_rank_per_label(spark, d):
@@ -238,7 +237,7 @@ def q_rank_per_label(spark, d):
     active = audience.attach_profile(
         lab.select("actor_id", "date", "metric", *sorted(set(inv.LAG_LABELS.values()))), src.profile)
     quotas = quota.quota_table(active, ["country", "metric"], MULTI["threshold"],
-                               MULTI["invitation_limit"], "capped")
+                               MULTI["invitation_limit"], "capped", with_rows=True)
     chosen = ranking.rank_per_label(active, quotas, inv.LAG_LABELS)
     return chosen.select("actor_id", "date", "metric", "country")
 
@@ -314,25 +313,47 @@ def q_month_lookback(spark, d):
     part = fact_part("orders", orders, "o_custkey", "o_orderdate",
                      Scope.months_before(ORDERS_REPORT, LOOKBACK),
                      [Measure("order_count", F.lit(1).cast("bigint"), "count"),
-                      Measure("order_value", to_units(F.col("o_totalprice")))])
+                      Measure("order_value", exact(F.col("o_totalprice")))])
     return series.build_series([part])
 
 
+def q_multi_metric_from_view(spark, d):
+    """The table function's shape: the summary is a view, the labels and ranks read that."""
+    src = _src(spark, d)
+    view = register_view(daily_summary(src, spec_v1(HISTORY)), "labelled_summary_source")
+    return inv.multi_metric_invitations(src, START, END, mode="lag", stored=view, **MULTI)
+
+
+def q_partition_pruned_scan(spark, d):
+    """The first fact stored by month; the rollup's scan reads the months in scope only."""
+    src = _src(spark, d)
+    stored = save_table(src.trades.withColumn("month", F.trunc("ts", "MM")), _fresh(spark, "trades"),
+                        partition_by=("month",))
+    spec = replace(spec_v5(REPORT, LOOKBACK), month_partitions=(("trades", "month"),))
+    return daily_rollup(trades_part(replace(src, trades=stored, plans={}), spec))
+
+
+def q_group_share_exact(spark, d):
+    return quota.group_share(_range_active(_src(spark, d)), ["country"], PCT_A, exact_share=True)
+
+
 def q_summary_view(spark, d):
-    view = register_view(daily_summary(_src(spark, d), spec_v1(HISTORY)), "daily_summary_v1")
+    view = register_view(daily_summary(_src(spark, d), spec_v1(HISTORY)), "daily_summary_v1",
+                         order_by=("actor_id", "date"))
     return view.filter(F.col("date") >= F.lit(START)).select(
         "actor_id", "date", "cumulative_bo_turnover_usd", "cumulative_withdrawal_usd",
         "cumulative_mt5_pnl_usd")
 
 
 def q_stored_thresholds(spark, d):
-    """Summary stored partitioned by day, read back with partition pruning, then quantiles."""
-    base = ensure_checkpoint_dir(spark)
-    path = f"{base}/tables/summary_v5_{os.path.basename(d.rstrip('/'))}"
-    stored = save_table(_v5_running(_src(spark, d)), path)
-    month = F.trunc(F.lit(START), "MM")
-    pruned = stored.filter((F.col("date") >= month) & (F.col("date") >= F.lit(START)))
-    return estimate_thresholds(pruned)
+    """Summary stored partitioned by day, read back whole, then quantiles."""
+    return estimate_thresholds(save_table(_v5_running(_src(spark, d)), _fresh(spark, "summary")))
+
+
+def q_snapshot_thresholds(spark, d):
+    """Quantiles over the stored single-day table (the reference's population)."""
+    return estimate_thresholds(save_table(snapshot_summary(_src(spark, d), REPORT, LOOKBACK),
+                                          _fresh(spark, "snapshot")))
 
 
 def q_quantile_array(spark, d):
@@ -395,6 +416,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "month_lookback": q_month_lookback,
     "summary_view": q_summary_view,
     "stored_thresholds": q_stored_thresholds,
+    "snapshot_thresholds": q_snapshot_thresholds,
+    "multi_metric_from_view": q_multi_metric_from_view,
+    "partition_pruned_scan": q_partition_pruned_scan,
+    "group_share_exact": q_group_share_exact,
     "quantile_array": q_quantile_array,
     "metric_deposit_count": q_metric_deposit_count,
     "metric_profit_usd": q_metric_profit_usd,

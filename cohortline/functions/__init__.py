@@ -4,13 +4,12 @@ from cohortline.functions.columns import (
     METRICS,
     crossed,
     email_domain,
-    from_units,
+    exact,
     metric_columns,
     reached,
     round_half_up_div,
-    round_units,
+    rounded_share,
     safe_percentage,
-    to_units,
     whole_percent,
 )
 
@@ -18,12 +17,11 @@ __all__ = [
     "METRICS",
     "crossed",
     "email_domain",
-    "from_units",
+    "exact",
     "metric_columns",
     "reached",
     "round_half_up_div",
-    "round_units",
+    "rounded_share",
     "safe_percentage",
-    "to_units",
     "whole_percent",
 ]

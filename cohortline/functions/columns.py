@@ -43,28 +43,15 @@ def safe_percentage(numerator: Column, denominator: Column) -> Column:
     return F.try_divide(numerator.cast("double"), denominator.cast("double")) * F.lit(100.0)
 
 
-def to_units(amount: Column, decimals: int = 2) -> Column:
-    """An amount as an exact integer count of ``10**-decimals`` units (cents by default).
+# Decimals that sums of amounts keep. Doubles of 1e6 and more hold no finer part, and a smaller
+# amount loses less than 1e-10 of one unit.
+AMOUNT_DECIMALS = 10
 
-    Amounts arrive as doubles with at most ``decimals`` decimals; quantizing them
-    once makes every later sum an exact ``bigint`` addition, independent of
-    partition order, and keeps aggregation on primitive longs in generated code.
-    """
-    scaled = amount.cast("double") * F.lit(float(10 ** decimals))
-    # half away from zero (as SQL ROUND), on primitive doubles
-    return (F.signum(scaled) * F.floor(F.abs(scaled) + F.lit(0.5))).cast("bigint")
 
-
-def from_units(units: Column, decimals: int = 2) -> Column:
-    """Integer units back to a double amount (correctly rounded)."""
-    return units.cast("double") / F.lit(float(10 ** decimals))
-
-
-def round_units(units: Column, factor: int) -> Column:
-    """``units / factor`` rounded half away from zero, exactly (integer in, integer out)."""
-    a = F.abs(units) + F.lit(factor // 2)
-    q = ((a - F.pmod(a, F.lit(factor))).cast("decimal(38,0)") / F.lit(factor)).cast("bigint")
-    return F.when(units < 0, -q).otherwise(q)
+def exact(amount: Column, decimals: int = AMOUNT_DECIMALS) -> Column:
+    """A double amount as decimal(28, ``decimals``), so that sums are exact and independent of
+    the order of rows; an amount that does not fit raises. Its sum is a decimal(38, ``decimals``)."""
+    return amount.cast("double").cast(f"decimal(28,{decimals})")
 
 
 def crossed(cumulative: Column, daily: Column, threshold: float) -> Column:
@@ -92,5 +79,10 @@ def round_half_up_div(numerator: Column, denominator: Column) -> Column:
 
 
 def whole_percent(part: Column, total: Column) -> Column:
-    """round(part / total, 2) * 100 computed exactly on integers (a whole percent)."""
+    """part / total as a whole percent, rounded exactly on integers."""
     return round_half_up_div(part.cast("bigint") * 100, total.cast("bigint"))
+
+
+def rounded_share(part: Column, total: Column) -> Column:
+    """ROUND(part / total, 2) * 100 in double arithmetic: 7 of 100 gives 7.000000000000001."""
+    return whole_percent(part, total).cast("double") / F.lit(100.0) * F.lit(100.0)

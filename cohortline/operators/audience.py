@@ -1,9 +1,9 @@
 """Audience attributes and exclusions.
 
 The driving relation here is the active set (rows that met a rule), which is
-small next to the user dimensions. Dimensions are never shuffled whole: they
-are semi-joined to the active keys (keys broadcast behind a row-count check)
-and only the matching rows take part in the joins.
+small next to the user dimensions. A dimension that is left-joined is semi-joined to
+the active keys first, so that only its matching rows take part. The pipelines store
+the active set before these joins; Spark then knows its size and picks the strategy.
 """
 
 from __future__ import annotations
@@ -12,36 +12,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortline.functions.columns import email_domain
-from cohortline.operators.joins import broadcast_checked, restrict_to
+from cohortline.operators.joins import restrict_to
+from cohortline.params import INTERNAL_STATUS
 
-INTERNAL_STATUS = "internal_client"
 
+def attach_profile(df: DataFrame, profile: DataFrame) -> DataFrame:
+    """Inner join to the profile (country, email, login list); unknown actors drop out."""
+    return df.join(profile.select("actor_id", "country", "email", "login_list"), "actor_id").select(
+        *df.columns, "country", "email", "login_list")
 
-def attach_profile(df: DataFrame, profile: DataFrame, key_rows: int | None = None) -> DataFrame:
-    """Inner join to the profile (country, email, login list); unknown actors drop out.
 
-    ``key_rows``, when given, bounds the number of distinct actors of ``df``.
-    """
-    prof = profile.select("actor_id", "country", "email", "login_list")
-    small = broadcast_checked(df, known_rows=key_rows)
-    if small is not df:
-        # inner join: the small driving set is broadcast and the profile is streamed
-        return prof.join(small, "actor_id").select(*df.columns, "country", "email", "login_list")
-    return df.join(restrict_to(prof, df, "actor_id"), "actor_id")
-
-
-def _internal_flags(df: DataFrame, domains: DataFrame, statuses: DataFrame,
-                    key_rows: int | None) -> DataFrame:
+def _internal_flags(df: DataFrame, domains: DataFrame, statuses: DataFrame) -> DataFrame:
     keyed = df.withColumn("_domain", email_domain(F.col("email")))
     dom = domains.select("domain", F.col("company").alias("_company")).distinct()
-    if key_rows is not None:
-        # only the active rows' domains matter: at most key_rows of them, no count needed
-        dom = broadcast_checked(
-            restrict_to(dom, keyed.select(F.col("_domain").alias("domain")), "domain",
-                        key_rows=key_rows), known_rows=key_rows)
-    else:
-        dom = broadcast_checked(dom)
-    st = restrict_to(statuses.select("actor_id", "status_code"), df, "actor_id", key_rows=key_rows)
+    st = restrict_to(statuses.select("actor_id", "status_code"), df, "actor_id")
     return (keyed
               .join(dom, F.col("_domain") == F.col("domain"), "left")
               .join(st, "actor_id", "left")
@@ -50,7 +34,7 @@ def _internal_flags(df: DataFrame, domains: DataFrame, statuses: DataFrame,
 
 
 def exclude_internal(df: DataFrame, domains: DataFrame, statuses: DataFrame,
-                     mode: str = "rowwise", key_rows: int | None = None) -> DataFrame:
+                     mode: str = "rowwise") -> DataFrame:
     """C14: drop internal users.
 
     ``rowwise`` (the reference): the verdict is taken per joined status row, so a
@@ -59,22 +43,20 @@ def exclude_internal(df: DataFrame, domains: DataFrame, statuses: DataFrame,
     ``strict``: drop every user that is internal by domain or by any status.
     """
     cols = df.columns
-    flagged = _internal_flags(df, domains, statuses, key_rows)
+    flagged = _internal_flags(df, domains, statuses)
     if mode == "rowwise":
         return flagged.filter(~F.col("_internal")).select(*cols)
     if mode == "strict":
         internal = flagged.filter(F.col("_internal")).select("actor_id").distinct()
-        return df.join(broadcast_checked(internal, known_rows=key_rows), "actor_id",
-                       "left_anti").select(*cols)
+        return df.join(internal, "actor_id", "left_anti").select(*cols)
     raise ValueError(f"unknown mode {mode!r}")
 
 
-def exclude_unsubscribed(df: DataFrame, preferences: DataFrame,
-                         key_rows: int | None = None) -> DataFrame:
+def exclude_unsubscribed(df: DataFrame, preferences: DataFrame) -> DataFrame:
     """Drop users whose preference says unsubscribed; no preference row = subscribed."""
     cols = df.columns
     keyed = df.withColumn("_user_ref", F.col("actor_id").cast("string"))
     prefs = restrict_to(preferences.select(F.col("user_ref").alias("_user_ref"), "unsubscribed"),
-                        keyed, "_user_ref", key_rows=key_rows)
+                        keyed, "_user_ref")
     joined = keyed.join(prefs, "_user_ref", "left")
     return joined.filter(F.coalesce(F.col("unsubscribed"), F.lit("false")) != "true").select(*cols)

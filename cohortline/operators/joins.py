@@ -1,40 +1,16 @@
-"""Join helpers: broadcast only behind a checked row bound."""
+"""Join helper. Strategies are left to Spark: sizes it knows (a stored table, a measured stage)
+decide about broadcasts, nothing is counted for it."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# Largest relation this library broadcasts (rows), checked at run time.
-MAX_BROADCAST_ROWS = 2_000_000
 
+def restrict_to(big: DataFrame, keys: DataFrame, on) -> DataFrame:
+    """Rows of ``big`` whose key occurs in ``keys``.
 
-def row_count_at_most(df: DataFrame, bound: int) -> bool:
-    """True when ``df`` has at most ``bound`` rows; reads at most ``bound + 1`` rows."""
-    return df.limit(bound + 1).count() <= bound
-
-
-def broadcast_checked(df: DataFrame, bound: int = MAX_BROADCAST_ROWS,
-                      known_rows: int | None = None) -> DataFrame:
-    """Broadcast hint for ``df`` if its row count is proven ``<= bound``.
-
-    ``known_rows`` is an upper bound the caller already holds (for instance the
-    counted size of a checkpointed driving set); without it the rows are counted
-    (at most ``bound + 1`` are read). Above the bound the frame is returned
-    unchanged and Spark plans a shuffle join (AQE may still switch strategy from
-    measured sizes).
-    """
-    small = known_rows <= bound if known_rows is not None else row_count_at_most(df, bound)
-    return F.broadcast(df) if small else df
-
-
-def restrict_to(big: DataFrame, keys: DataFrame, on, bound: int = MAX_BROADCAST_ROWS,
-                key_rows: int | None = None) -> DataFrame:
-    """Rows of ``big`` whose key occurs in ``keys`` (semi join, keys broadcast when small).
-
-    Used before a left join of a small driving set to a large dimension, so the
-    large side is filtered where it is scanned instead of being shuffled whole.
+    Used before a left join of a small driving set to a large dimension: a semi join may broadcast
+    the keys and filter the large side where it is scanned, which a left join cannot.
     """
     cols = [on] if isinstance(on, str) else list(on)
-    return big.join(broadcast_checked(keys.select(*cols).distinct(), bound, key_rows), cols,
-                    "left_semi")
+    return big.join(keys.select(*cols).distinct(), cols, "left_semi")

@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from cohortline.operators.joins import restrict_to
 
 
-def client_names(selected: DataFrame, clients: DataFrame, mode: str = "max",
-                 key_rows: int | None = None) -> DataFrame:
+def client_names(selected: DataFrame, clients: DataFrame, mode: str = "max") -> DataFrame:
     """C20: ``first_name`` / ``last_name`` per selected actor (NULL without a client row).
 
     ``max``: the reference's result, the greatest name of each kind (its
@@ -19,7 +18,7 @@ def client_names(selected: DataFrame, clients: DataFrame, mode: str = "max",
     The client relation is semi-joined to the selected actors first and rolled
     up per actor with map-side partial aggregation.
     """
-    rows = restrict_to(clients, selected, "actor_id", key_rows=key_rows)
+    rows = restrict_to(clients, selected, "actor_id")
     if mode == "max":
         names = rows.groupBy("actor_id").agg(F.max("first_name").alias("first_name"),
                                              F.max("last_name").alias("last_name"))

@@ -1,83 +1,61 @@
 """Per-group shares and quotas.
 
-Everything here works on one row per group (country, or country and label).
-The grand totals (sum of the counts, sum of the ``below`` counts, number of
-``above`` groups) are taken one of two ways:
-
-* when the number of groups is proven small (every group has at least one row,
-  so a counted driving set bounds it), one pass of whole-table windows over the
-  group table, which runs in a single task of at most that many rows;
-* otherwise scalar subqueries (``DataFrame.scalar()``): Spark evaluates each
-  once and inlines the value, so no all-rows window and no join is needed.
+Everything here works on one row per group (country, or country and label). Grand
+totals (sum of the counts, sum of the ``below`` counts, number of ``above`` groups)
+are aggregates of one row, joined to that table; there is no window over all rows.
+Nothing runs while a query is built.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortline.functions.columns import round_half_up_div, whole_percent
-
-# Largest group table (rows) whose totals are taken with whole-table windows.
-MAX_SINGLE_PASS_GROUPS = 1_000_000
-
-_KEEP = StorageLevel.MEMORY_AND_DISK
-
-
-def _single_pass(total_rows: int | None) -> bool:
-    return total_rows is not None and total_rows <= MAX_SINGLE_PASS_GROUPS
+from cohortline.functions.columns import round_half_up_div, rounded_share, whole_percent
 
 
 def _status(pct: Column, percentage_threshold: float) -> Column:
-    return F.when(pct > F.lit(percentage_threshold), F.lit("above")).otherwise(F.lit("below"))
+    return F.when(pct > F.lit(float(percentage_threshold)), F.lit("above")).otherwise(F.lit("below"))
 
 
 def group_share(df: DataFrame, keys=("country",), percentage_threshold: float = 5,
-                actor: str = "actor_id", total_rows: int | None = None) -> DataFrame:
-    """Distinct actors per group, their whole-percent share, ``above`` / ``below``.
+                actor: str = "actor_id", exact_share: bool = False,
+                with_rows: bool = False) -> DataFrame:
+    """Distinct actors per group, their share in percent, ``above`` / ``below``.
 
-    The share is ``round(n / total, 2) * 100`` evaluated exactly on integers,
-    where ``total`` is the sum of the per-group counts. ``total_rows`` bounds
-    the rows of ``df`` (and so the number of groups).
+    The share is ``ROUND(n / total, 2) * 100``, where ``total`` is the sum of the
+    per-group counts; the multiplication is one of doubles, so 7 of 100 is just above 7
+    (the reference's result). ``exact_share`` takes the whole percent itself.
     """
     keys = list(keys)
-    counts = df.groupBy(*keys).agg(F.count_distinct(actor).alias("count_user"))
-    if _single_pass(total_rows):
-        total = F.sum("count_user").over(Window.partitionBy())
-    else:
-        # one row per group; cached because the total below and later stages read it
-        counts = counts.persist(_KEEP)
-        total = counts.select(F.sum("count_user")).scalar()
-    pct = whole_percent(F.col("count_user"), total)
-    return counts.select(*keys, "count_user", pct.cast("double").alias("percentage"),
-                         _status(pct, percentage_threshold).alias("status"))
-
-
-def _remainder_parts(share: DataFrame, single_pass: bool) -> tuple[Column, Column]:
-    below = F.when(F.col("status") == "below", F.col("count_user"))
-    above = F.when(F.col("status") == "above", F.lit(1))
-    if single_pass:
-        everything = Window.partitionBy()
-        return (F.coalesce(F.sum(below).over(everything), F.lit(0)).cast("bigint"),
-                F.count(above).over(everything))
-    return (share.select(F.coalesce(F.sum(below), F.lit(0)).cast("bigint")).scalar(),
-            share.select(F.count(above)).scalar())
+    counts = df.groupBy(*keys).agg(F.count_distinct(actor).alias("count_user"),
+                                   F.count(F.lit(1)).alias("count_rows"))
+    share = whole_percent if exact_share else rounded_share
+    pct = share(F.col("count_user"), F.col("_total")).cast("double")
+    one_row = counts.agg(F.sum("count_user").alias("_total"))
+    share_columns = [*keys, "count_user", pct.alias("percentage"),
+                     _status(pct, percentage_threshold).alias("status")]
+    return counts.crossJoin(F.broadcast(one_row)).select(*share_columns, *(["count_rows"] if with_rows else []))
 
 
-def quota_shared(share: DataFrame, invitation_limit: int, single_pass: bool = False) -> DataFrame:
+def quota_shared(share: DataFrame, invitation_limit: int) -> DataFrame:
     """Groups under the limit or ``below`` keep all; ``above`` groups split the remainder.
 
     ``final_number_user = round(max(limit - sum of below counts, 0) / #above)``.
     """
     limit = F.lit(int(invitation_limit)).cast("bigint")
-    below_sum, n_above = _remainder_parts(share, single_pass)
-    remainder = round_half_up_div(F.greatest(limit - below_sum, F.lit(0).cast("bigint")), n_above)
+    below = F.when(F.col("status") == "below", F.col("count_user"))
+    above = F.when(F.col("status") == "above", F.lit(1))
+    one_row = share.agg(F.coalesce(F.sum(below), F.lit(0)).cast("bigint").alias("_below_sum"),
+                        F.count(above).alias("_n_above"))
+    remainder = round_half_up_div(F.greatest(limit - F.col("_below_sum"), F.lit(0).cast("bigint")),
+                                  F.col("_n_above"))
     n = F.col("count_user")
     final = (F.when(n <= limit, n)
              .when(F.col("status") == "below", n)
              .when(F.col("status") == "above", remainder))
-    return share.withColumn("final_number_user", final.cast("bigint"))
+    return (share.crossJoin(F.broadcast(one_row)).withColumn("final_number_user", final.cast("bigint"))
+            .drop("_below_sum", "_n_above"))
 
 
 def quota_capped(share: DataFrame, invitation_limit: int) -> DataFrame:
@@ -91,20 +69,11 @@ def quota_capped(share: DataFrame, invitation_limit: int) -> DataFrame:
 
 
 def quota_table(df: DataFrame, keys, percentage_threshold: float, invitation_limit: int,
-                rule: str = "shared", total_rows: int | None = None) -> DataFrame:
-    """Share and quota per group, cached (one row per group, read by several stages).
-
-    ``total_rows`` bounds the rows of ``df``; within ``MAX_SINGLE_PASS_GROUPS`` the
-    totals are taken in one pass (see the module notes).
-    """
-    single = _single_pass(total_rows)
-    share = group_share(df, keys, percentage_threshold, total_rows=total_rows)
-    if not single:
-        share = share.persist(_KEEP)
+                rule: str = "shared", exact_share: bool = False, with_rows: bool = False) -> DataFrame:
+    """Share and quota per group (``with_rows``: also the rows of each group, ``count_rows``)."""
+    share = group_share(df, keys, percentage_threshold, exact_share=exact_share, with_rows=with_rows)
     if rule == "shared":
-        out = quota_shared(share, invitation_limit, single_pass=single)
-    elif rule == "capped":
-        out = quota_capped(share, invitation_limit)
-    else:
-        raise ValueError(f"unknown quota rule {rule!r}")
-    return out.persist(_KEEP)
+        return quota_shared(share, invitation_limit)
+    if rule == "capped":
+        return quota_capped(share, invitation_limit)
+    raise ValueError(f"unknown quota rule {rule!r}")

@@ -1,110 +1,58 @@
 """Top rows per group with a per-group quota.
 
-``ROW_NUMBER() OVER (PARTITION BY group ORDER BY value DESC) <= quota`` puts a
-whole group into one task. That is fine while groups are small and unsafe when
-one group (a country) holds a large share of the rows. ``top_per_group``
-checks the largest group size and either
-
-* uses the window directly (every group proven to have at most
-  ``max_window_rows`` rows), or
-* ranks through a global sort: rows are range-partitioned on
-  (group, order...), so a hot group is split over many partitions; positions
-  inside each partition are numbered, frozen by a checkpoint (a table written
-  under ``spark.checkpoint.dir``), and the
-  rank is ``rows of the group in earlier partitions + position in this
-  partition``. The per-(partition, group) statistics have at most
-  #partitions + #groups rows.
-
-Both paths give the same rows (exact ranks, total order with tie-breaks). On
-the global-sort path, groups whose quota covers all their rows skip ranking.
+``ROW_NUMBER() OVER (PARTITION BY group ORDER BY value DESC) <= quota`` puts a whole group into
+one task. A row among the first ``quota`` of its group is also among the first ``quota`` of any part of
+the group, so the groups are ranked twice: first in ``splits`` parts each, by a hash of the row, of
+which at most ``quota`` rows are left, then what is left of the group. A country with a third of all
+rows is sorted in ``splits`` tasks, and the last step sees at most ``splits * quota`` of its rows.
+Groups whose quota covers all their rows are kept whole without ranking.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortline.operators.joins import broadcast_checked
-from cohortline.session import checkpoint
-
-MAX_WINDOW_ROWS = 5_000_000
-_LOCAL_BITS = 33   # monotonically_increasing_id: partition index << 33 | row index
+SPLITS = 64
 
 
 def top_per_group(df: DataFrame, group_cols, order_cols: list[Column], limit_col: str,
-                  max_window_rows: int = MAX_WINDOW_ROWS, total_rows: int | None = None) -> DataFrame:
+                  rows_col: str, splits: int = SPLITS) -> DataFrame:
     """Rows whose rank inside their group is ``<= limit_col``; NULL limits keep nothing.
 
-    ``total_rows`` (an upper bound on the rows of ``df``) spares the group-size check.
-    On the global-sort path, groups whose limit covers all their rows are kept
-    whole without ranking; only the groups that are cut are sorted.
+    ``rows_col`` holds the number of rows of the group.
     """
-    group_cols = list(group_cols)
-    df = df.filter(F.col(limit_col).isNotNull())
-    if total_rows is not None and total_rows <= max_window_rows:
-        return _rank_by_window(df, group_cols, order_cols, limit_col)
-    sizes = (df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_group_rows"))
-             .persist(StorageLevel.MEMORY_AND_DISK))          # one row per group
-    largest = sizes.agg(F.max("_group_rows")).first()[0] or 0
-    if largest <= max_window_rows:
-        return _rank_by_window(df, group_cols, order_cols, limit_col)
-    sized = df.join(broadcast_checked(sizes, known_rows=total_rows), group_cols)
-    whole = sized.filter(F.col("_group_rows") <= F.col(limit_col)).drop("_group_rows")
-    cut = sized.filter(F.col("_group_rows") > F.col(limit_col)).drop("_group_rows")
-    ranked = _rank_by_global_sort(cut, group_cols, order_cols, total_rows)
-    kept = ranked.filter(F.col("_rank") <= F.col(limit_col)).drop("_rank")
-    return whole.unionByName(kept)
-
-
-def _rank_by_window(df: DataFrame, group_cols, order_cols, limit_col: str) -> DataFrame:
-    w = Window.partitionBy(*group_cols).orderBy(*order_cols)
-    ranked = df.withColumn("_rank", F.row_number().over(w))
-    return ranked.filter(F.col("_rank") <= F.col(limit_col)).drop("_rank")
-
-
-def _rank_by_global_sort(df: DataFrame, group_cols, order_cols,
-                         total_rows: int | None = None) -> DataFrame:
-    sort_keys = [F.col(c) for c in group_cols] + list(order_cols)
-    ordered = (df.repartitionByRange(*sort_keys)
-                 .sortWithinPartitions(*sort_keys)
-                 .withColumn("_pos", F.monotonically_increasing_id()))
-    frozen = checkpoint(ordered)   # fixes partition boundaries and positions (stored in _pos)
-    pid = F.shiftrightunsigned(F.col("_pos"), _LOCAL_BITS)
-    local = F.col("_pos").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
-    framed = frozen.withColumn("_pid", pid).withColumn("_local", local)
-    stats = framed.groupBy("_pid", *group_cols).agg(F.count(F.lit(1)).alias("_n"),
-                                                     F.min("_local").alias("_first"))
-    earlier = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    stats = stats.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-    # at most #partitions + #groups rows, and never more than the rows of df
-    stats = broadcast_checked(stats.select("_pid", *group_cols, "_before", "_first"),
-                              known_rows=total_rows)
-    ranked = framed.join(stats, ["_pid", *group_cols])
-    rank = F.col("_before") + (F.col("_local") - F.col("_first")) + F.lit(1)
-    return ranked.withColumn("_rank", rank).drop("_pos", "_pid", "_local", "_before", "_first")
+    cut = F.col(rows_col) > F.col(limit_col)
+    part = F.pmod(F.xxhash64(*[c for c in df.columns if c not in group_cols]), F.lit(splits))
+    parted = df.filter(F.col(limit_col).isNotNull()).withColumn("_part", part)
+    for step in range(2):
+        rank = F.row_number().over(Window.partitionBy(*group_cols, "_part").orderBy(*order_cols))
+        parted = parted.withColumn("_rank", rank).filter(~cut | (F.col("_rank") <= F.col(limit_col)))
+        # second step: the parts of a cut group meet, a whole group stays in parts
+        parted = parted.withColumn("_part", F.when(cut, F.lit(0)).otherwise(F.col("_part"))).drop("_rank")
+    return parted.drop(rows_col, "_part")
 
 
 def rank_and_cut(df: DataFrame, quota: DataFrame, group_cols=("country",),
                  order_cols: list[Column] | None = None, limit_col: str = "final_number_user",
-                 max_window_rows: int = MAX_WINDOW_ROWS, total_rows: int | None = None) -> DataFrame:
+                 splits: int = SPLITS) -> DataFrame:
     """Attach each group's quota (a NULL group never matches) and keep its top rows.
 
-    Default order: ``metric_value`` descending, ties by ``actor_id`` then ``date``.
-    ``total_rows`` bounds the rows of ``df`` (hence also its number of groups).
+    Default order: ``metric_value`` descending, ties by ``actor_id`` then ``date``. A quota
+    table with ``count_rows`` spares the grouping that counts the rows of each group.
     """
     group_cols = list(group_cols)
     order_cols = order_cols or [F.col("metric_value").desc(), F.col("actor_id").asc(),
                                 F.col("date").asc()]
-    q = broadcast_checked(quota.select(*group_cols, limit_col), known_rows=total_rows)
-    joined = df.join(q, group_cols)
-    return top_per_group(joined, group_cols, order_cols, limit_col, max_window_rows,
-                         total_rows=total_rows)
+    if "count_rows" not in quota.columns:
+        quota = quota.join(df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("count_rows")), group_cols)
+    limits = quota.select(*group_cols, limit_col, F.col("count_rows").alias("_rows"))
+    return top_per_group(df.join(limits, group_cols), group_cols, order_cols, limit_col, "_rows", splits)
 
 
 def rank_per_label(df: DataFrame, quota: DataFrame, order_by_label: dict[str, str],
                    group_cols=("country", "metric"), limit_col: str = "final_number_user",
-                   max_window_rows: int = MAX_WINDOW_ROWS, total_rows: int | None = None) -> DataFrame:
+                   splits: int = SPLITS) -> DataFrame:
     """Each label ranked by its own column, all labels in one pass.
 
     ``order_by_label`` maps label -> column whose value (descending) ranks that
@@ -118,6 +66,4 @@ def rank_per_label(df: DataFrame, quota: DataFrame, order_by_label: dict[str, st
     labelled = df.filter(F.col("metric").isin(*order_by_label)).withColumn("_order_value", expr)
     order_cols = [F.col("_order_value").desc_nulls_last(), F.col("actor_id").asc(),
                   F.col("date").asc()]
-    out = rank_and_cut(labelled, quota, group_cols, order_cols, limit_col, max_window_rows,
-                       total_rows)
-    return out.drop("_order_value")
+    return rank_and_cut(labelled, quota, group_cols, order_cols, limit_col, splits).drop("_order_value")

@@ -5,10 +5,9 @@ A fact relation is described by a ``DailyPart``: rows already carrying
 measure is ``post(SUM(value))`` per (actor_id, date). Keeping parts declarative
 lets ``series.merge_daily`` roll several facts up in one grouping.
 
-Money is carried as exact integer units: cents (``scale`` 2) for amounts, 1e-4
-for converted amounts. Sums are ``bigint`` additions (exact, order independent,
-primitive longs in generated code and in the shuffle); amounts become doubles
-only in the output.
+Money is summed as decimals of ``AMOUNT_DECIMALS`` places: exact and independent of the
+order of rows, without rounding amounts or rates. Amounts become doubles only in the
+output; a converted daily sum is rounded once, to four decimals.
 """
 
 from __future__ import annotations
@@ -17,14 +16,12 @@ import datetime as dt
 from dataclasses import dataclass, field
 from typing import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortline.functions.columns import from_units, round_units, to_units
-from cohortline.operators.joins import broadcast_checked
-from cohortline.params import Scope, SummarySpec
-from cohortline.sources import fixtures as fx
+from cohortline.functions.columns import AMOUNT_DECIMALS, exact
+from cohortline.params import (AGENT_DEPOSIT, AGENT_WITHDRAWAL, DEPOSIT, WITHDRAWAL, Scope,
+                               SummarySpec)
 from cohortline.sources.catalog import Sources
 
 KEY = ("actor_id", "date")
@@ -34,14 +31,13 @@ KEY = ("actor_id", "date")
 class Measure:
     name: str
     value: Column                      # row-level value, summed per (actor_id, date)
-    kind: str = "money"                # "money" (integer units, output double) or "count"
+    kind: str = "money"                # "money" (decimal, output double) or "count"
     post: Callable[[Column], Column] | None = None   # applied to the daily sum
-    scale: int = 2                     # money: value counts units of 10**-scale
 
 
 @dataclass(eq=False)
 class Ratio:
-    """``numerator / denominator * 100`` daily, and of the running sums (cent inputs)."""
+    """``numerator / denominator * 100`` daily, and of the running sums."""
 
     name: str
     numerator: Column
@@ -94,15 +90,14 @@ def with_date(df: DataFrame, ts: str, scope: Scope, month_partition: str | None
 def daily_rollup(part: DailyPart) -> DataFrame:
     """One row per (actor_id, date) with the part's daily measures.
 
-    Output types: money as double (summed exactly in integer units first), counts as bigint.
+    Output types: money as double (summed exactly first), counts as bigint.
     """
     aggs = [F.sum(m.value).alias(m.name) for m in part.measures]
     daily = part.rows.filter(F.col("actor_id").isNotNull()).groupBy(*KEY).agg(*aggs)
 
     def out(m):
         value = m.post(F.col(m.name)) if m.post else F.col(m.name)
-        value = value.cast("bigint") if m.kind == "count" else from_units(value, m.scale)
-        return value.alias(m.name)
+        return value.cast("bigint" if m.kind == "count" else "double").alias(m.name)
     return daily.select(*KEY, *[out(m) for m in part.measures])
 
 
@@ -116,7 +111,7 @@ def fact_part(name: str, df: DataFrame, actor_col: str, ts_col: str, scope: Scop
 
 
 def _zero() -> Column:
-    return F.lit(0).cast("bigint")
+    return F.lit(0).cast(f"decimal(28,{AMOUNT_DECIMALS})")
 
 
 def _flag(cond: Column) -> Column:
@@ -126,14 +121,14 @@ def _flag(cond: Column) -> Column:
 def trades_part(src: Sources, spec: SummarySpec) -> DailyPart:
     scope = spec.first_fact_scope or spec.scope
     rows = with_date(src.trades.filter(F.col("actor_id").isNotNull()), "ts", scope,
-                     spec.month_partition).select(
-        "actor_id", "date", to_units(F.col("turnover")).alias("turnover_c"),
-        to_units(F.col("result")).alias("result_c"),
-        to_units(F.col("winning_turnover")).alias("winning_c"), "win_count", "contracts")
-    res, turnover = F.col("result_c"), F.col("turnover_c")
+                     spec.month_column("trades")).select(
+        "actor_id", "date", exact(F.col("turnover")).alias("turnover"),
+        exact(F.col("result")).alias("result"),
+        exact(F.col("winning_turnover")).alias("winning_turnover"), "win_count", "contracts")
+    res, turnover = F.col("result"), F.col("turnover")
     won = res < 0
     if spec.wins == "precomputed":
-        winning, wins = F.col("winning_c"), F.col("win_count").cast("bigint")
+        winning, wins = F.col("winning_turnover"), F.col("win_count").cast("bigint")
     else:
         winning, wins = F.when(won, turnover).otherwise(_zero()), _flag(won)
     measures = [
@@ -155,15 +150,15 @@ def trades_part(src: Sources, spec: SummarySpec) -> DailyPart:
 
 def payments_part(src: Sources, spec: SummarySpec) -> DailyPart:
     if spec.payment_categories == "all":
-        deposits, withdrawals = (fx.DEPOSIT, fx.AGENT_DEPOSIT), (fx.WITHDRAWAL, fx.AGENT_WITHDRAWAL)
+        deposits, withdrawals = (DEPOSIT, AGENT_DEPOSIT), (WITHDRAWAL, AGENT_WITHDRAWAL)
     else:
-        deposits, withdrawals = (fx.DEPOSIT,), (fx.WITHDRAWAL,)
+        deposits, withdrawals = (DEPOSIT,), (WITHDRAWAL,)
     pay = src.payments.filter(F.col("actor_id").isNotNull()
                               & F.col("category").isin(*deposits, *withdrawals))
-    rows = with_date(pay, "ts", spec.scope, spec.month_partition).select(
-        "actor_id", "date", "category", to_units(F.col("amount")).alias("amount_c"))
+    rows = with_date(pay, "ts", spec.scope, spec.month_column("payments")).select(
+        "actor_id", "date", "category", exact(F.col("amount")).alias("amount"))
     is_dep, is_wd = F.col("category").isin(*deposits), F.col("category").isin(*withdrawals)
-    amount = F.col("amount_c")
+    amount = F.col("amount")
     wd_amount = amount if spec.withdrawal_sign > 0 else -amount
     measures = [
         Measure("deposit_usd", F.when(is_dep, amount).otherwise(_zero())),
@@ -180,55 +175,50 @@ def payments_part(src: Sources, spec: SummarySpec) -> DailyPart:
 
 
 def convert_prev_day(src: Sources, scope: Scope, closing_entries=("out", "out_by"),
-                     target_currency: str = "USD") -> DataFrame:
+                     target_currency: str = "USD", month_column: str | None = None) -> DataFrame:
     """Deals converted with the rate of the previous day, one row per (login, day).
 
     Deals are first rolled up per (login, date) (map-side partial aggregation, so
     a hot account collapses before any shuffle), then joined to the account,
-    its group's currency and the previous day's rate. Because the rate is fixed
-    per (login, date), ``SUM(amount * rate) = rate * SUM(amount)`` holds exactly
-    on integer units (cents x 1e-4 rate units = 1e-6 units). A day whose closing
-    deals have no rate yields NULL when it has no other deals and 0 otherwise, as
-    the row-wise ``CASE ... ELSE 0`` would.
+    its group's currency and the previous day's rate. The rate is fixed per
+    (login, date), so the rate multiplies the day's sum; it is not rounded. A day
+    whose closing deals have no rate yields NULL when it has no other deals and 0
+    otherwise, as the row-wise ``CASE ... ELSE 0`` would.
     """
     closing = F.coalesce(F.col("entry").isin(*closing_entries), F.lit(False))
-    per_login = with_date(src.deals, "ts", scope).groupBy("login", "date").agg(
-        F.sum(F.when(closing, to_units(F.col("profit")) + to_units(F.col("storage"))))
-        .alias("closing_cents"),
+    per_login = with_date(src.deals, "ts", scope, month_column).groupBy("login", "date").agg(
+        F.sum(F.when(closing, exact(F.col("profit")) + exact(F.col("storage")))).alias("closing_sum"),
         F.count(F.when(closing, F.lit(1))).alias("n_closing"),
         F.count(F.when(~closing, F.lit(1))).alias("n_other"),
         F.sum("win_deals").alias("win_deals"),
         F.sum("deals").alias("deals"),
     )
     accounts = src.accounts.select("login", "actor_id", "group_name", "server")
-    # only the previous days of in-scope deals are needed: (days in scope) x currencies rows,
-    # broadcast behind a counted bound so the deal side is not shuffled for this join
+    # only the previous days of in-scope deals are needed: (days in scope) x currencies rows
     rate_scope = Scope(None if scope.start is None else scope.start - dt.timedelta(days=1),
                        None if scope.end is None else scope.end - dt.timedelta(days=1))
-    rates = broadcast_checked(
-        src.fx_rates.filter((F.col("target_currency") == target_currency)
-                            & in_scope(F.col("rate_date"), rate_scope))
-        .select("rate_date", F.col("source_currency").alias("rate_currency"),
-                to_units(F.col("rate"), 4).alias("rate_units"))
-        .persist(StorageLevel.MEMORY_AND_DISK))    # counted once, then broadcast from cache
+    rates = (src.fx_rates.filter((F.col("target_currency") == target_currency)
+                                 & in_scope(F.col("rate_date"), rate_scope))
+             .select("rate_date", F.col("source_currency").alias("rate_currency"), "rate"))
     joined = (per_login.join(accounts, "login")
               .join(src.account_groups, ["group_name", "server"], "left")
               .join(rates, (F.col("rate_date") == F.date_sub(F.col("date"), 1))
                     & (F.col("rate_currency") == F.col("currency")), "left"))
     amount = (F.when(F.col("n_closing") == 0, _zero())
-              .when(F.col("rate_units").isNull(), F.when(F.col("n_other") > 0, _zero()))
-              .otherwise(F.col("closing_cents") * F.col("rate_units")))
+              .when(F.col("rate").isNull(), F.when(F.col("n_other") > 0, _zero()))
+              .otherwise(exact(F.col("closing_sum").cast("double") * F.col("rate"))))
     return joined.filter(F.col("actor_id").isNotNull()).select(
-        "actor_id", "date", amount.alias("fx_micros"), "win_deals", "deals")
+        "actor_id", "date", amount.alias("converted"), "win_deals", "deals")
 
 
 def fx_deals_part(src: Sources, spec: SummarySpec) -> DailyPart:
-    rows = convert_prev_day(src, spec.scope, spec.closing_entries, spec.target_currency)
+    rows = convert_prev_day(src, spec.scope, spec.closing_entries, spec.target_currency,
+                            spec.month_column("deals"))
     sign = spec.fx_sign
     measures = [
-        # ROUND(SUM(amount * rate), 4): 1e-6 units rounded half away from zero to 1e-4 units
-        Measure("mt5_pnl_usd", F.col("fx_micros"), scale=4,
-                post=lambda c: round_units(c, 100) if sign > 0 else -round_units(c, 100)),
+        # ROUND(SUM(amount * rate), 4), half away from zero
+        Measure("mt5_pnl_usd", F.col("converted"),
+                post=lambda c: F.round(c, 4) if sign > 0 else -F.round(c, 4)),
         Measure("mt5_win_count", F.col("win_deals").cast("bigint"), "count"),
         Measure("mt5_contract_count", F.col("deals").cast("bigint"), "count"),
     ]
@@ -237,10 +227,12 @@ def fx_deals_part(src: Sources, spec: SummarySpec) -> DailyPart:
 
 def closed_trades_part(src: Sources, spec: SummarySpec) -> DailyPart:
     ct = src.closed_trades.filter((F.col("platform") == spec.platform) & F.col("actor_id").isNotNull())
+    if spec.month_column("closed_trades"):
+        ct = ct.filter(month_scope(spec.month_column("closed_trades"), spec.scope))
     rows = ct.filter(in_scope(F.col("trade_date"), spec.scope)).select(
         "actor_id", F.col("trade_date").alias("date"),
-        to_units(F.col("closed_pnl")).alias("closed_pnl_c"), "trade_count")
-    pnl = F.col("closed_pnl_c")
+        exact(F.col("closed_pnl")).alias("closed_pnl"), "trade_count")
+    pnl = F.col("closed_pnl")
     measures = [Measure("mt5_pnl_usd", -pnl)]
     if spec.profit_loss:
         measures += [

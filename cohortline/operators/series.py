@@ -6,7 +6,8 @@ relation and rolled up with ONE grouping on (actor_id, date); Spark aggregates
 partially on the map side, so a hot actor or day is collapsed before the
 shuffle. Running totals then need one more exchange on ``actor_id`` over the
 *daily* rows, whose count per actor is bounded by the number of days in scope.
-The reference's three windows plus two full outer joins become two exchanges.
+The reference's three windows plus two full outer joins become these two exchanges;
+deals bring their own, by (login, day) and for their joins, before the merge.
 """
 
 from __future__ import annotations
@@ -16,8 +17,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortline.functions.columns import from_units, safe_percentage
-from cohortline.operators.rollup import KEY, DailyPart
+from cohortline.functions.columns import AMOUNT_DECIMALS, safe_percentage
+from cohortline.operators.rollup import KEY, DailyPart, Measure
 
 
 def running_window():
@@ -26,19 +27,24 @@ def running_window():
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
 
 
+def tall_rows(parts: list[DailyPart]) -> DataFrame:
+    """All parts' rows in one relation: (actor_id, date, <measures>, <row flags>); another part's
+    columns are typed NULLs. Rows without an actor are dropped (the full join would never merge
+    them; the profile join drops them)."""
+    tall = [part.rows.filter(F.col("actor_id").isNotNull()).select(
+                "actor_id", "date", *[m.value.alias(m.name) for m in part.measures],
+                F.lit(1).cast("bigint").alias(part.flag))
+            for part in parts]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tall)
+
+
 def merge_daily(parts: list[DailyPart]) -> DataFrame:
     """C5 as union + one grouping: (actor_id, date, <daily measures>, <row flags per part>).
 
     A measure is NULL on a (actor_id, date) where its part had no rows, like the
-    missing side of a full outer join (``unionByName`` fills the other parts'
-    columns with typed NULLs). Rows without an actor are dropped before the
-    merge (the full join would never merge them; the profile join drops them).
+    missing side of a full outer join.
     """
-    tall = [part.rows.filter(F.col("actor_id").isNotNull()).select(
-                "actor_id", "date", *[m.value.alias(m.name) for m in part.measures],
-                F.lit(1).cast("bigint").alias(part.flag))
-            for part in parts]
-    union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tall)
+    union = tall_rows(parts)
     aggs = [F.sum(m.name).alias(m.name) for p in parts for m in p.measures]
     aggs += [F.count(p.flag).alias(p.flag) for p in parts]
     daily = union.groupBy(*KEY).agg(*aggs)
@@ -62,12 +68,25 @@ def running_totals(daily: DataFrame, parts: list[DailyPart]) -> DataFrame:
     return daily.select(*cols)
 
 
-def snapshot_totals(daily: DataFrame, parts: list[DailyPart], day) -> DataFrame:
+def daily_part(part: DailyPart) -> DailyPart:
+    """The part over its daily rows, for measures whose daily sum is not additive (rounded)."""
+    names = {m.name: F.col(m.name) for m in part.measures}
+    daily = part.rows.filter(F.col("actor_id").isNotNull()).groupBy(*KEY).agg(
+        *[F.sum(m.value).alias(m.name) for m in part.measures])
+    daily = daily.select(*KEY, *[(m.post(names[m.name]) if m.post else names[m.name]).alias(m.name)
+                                 for m in part.measures])
+    return DailyPart(part.name, daily, [Measure(m.name, names[m.name], m.kind) for m in part.measures],
+                     part.ratios)
+
+
+def snapshot_totals(parts: list[DailyPart], day) -> DataFrame:
     """The running totals of ``day`` only, without a window.
 
-    Equals ``running_totals`` filtered to ``day`` (rows after ``day`` ignored):
-    one grouping by actor with conditional sums, partial-aggregated map side.
+    Equals ``running_totals`` filtered to ``day`` (rows after ``day`` ignored): one grouping
+    by actor with conditional sums, partially aggregated map side. Only a part whose daily
+    sums are rounded (converted deals) is grouped by day first.
     """
+    daily = tall_rows([daily_part(p) if any(m.post for m in p.measures) else p for p in parts])
     on_day = F.col("date") == F.lit(day)
     aggs = []
     for p in parts:
@@ -93,36 +112,31 @@ def snapshot_totals(daily: DataFrame, parts: list[DailyPart], day) -> DataFrame:
 def ratio_columns(parts: list[DailyPart]) -> dict[str, Column]:
     """C4: daily ratio and ratio of the running sums, x100, NULL on a zero denominator.
 
-    Inputs are cents; both sides become dollar doubles before dividing.
+    Both sides become doubles before dividing.
     """
     cols = {}
     for p in parts:
         for r in p.ratios:
-            cols[r.name] = safe_percentage(from_units(r.numerator), from_units(r.denominator))
-            cols[f"cumulative_{r.name}"] = safe_percentage(from_units(r.cumulative_numerator),
-                                                           from_units(r.cumulative_denominator))
+            cols[r.name] = safe_percentage(r.numerator, r.denominator)
+            cols[f"cumulative_{r.name}"] = safe_percentage(r.cumulative_numerator,
+                                                           r.cumulative_denominator)
     return cols
 
 
-PNL_SCALE = 4   # cross-source P/L is carried in 1e-4 units (the finer of cents and converted units)
-
-
-def cross_source_columns(scales: dict[str, int]) -> dict[str, Column]:
+def cross_source_columns() -> dict[str, Column]:
     """Cross-source ``pnl_usd`` and ``contract_count`` (each term NULL -> 0).
 
-    The P/L terms are brought to the finer unit of the two before adding
-    (result scale ``PNL_SCALE``). ``contract_count`` adds deposits and
-    withdrawals to the contract counts, as the reference computes it.
+    ``contract_count`` adds deposits and withdrawals to the contract counts, as the
+    reference computes it.
     """
     def z(c):
         return F.coalesce(F.col(c), F.lit(0))
 
-    def pnl(c, name):
-        return z(c) * F.lit(10 ** (PNL_SCALE - scales[name]))
+    def amount(c):
+        return F.coalesce(F.col(c), F.lit(0).cast(f"decimal(28,{AMOUNT_DECIMALS})"))
     return {
-        "pnl_usd": pnl("bo_pnl_usd", "bo_pnl_usd") + pnl("mt5_pnl_usd", "mt5_pnl_usd"),
-        "cumulative_pnl_usd": (pnl("cumulative_bo_pnl_usd", "bo_pnl_usd")
-                               + pnl("cumulative_mt5_pnl_usd", "mt5_pnl_usd")),
+        "pnl_usd": amount("bo_pnl_usd") + amount("mt5_pnl_usd"),
+        "cumulative_pnl_usd": amount("cumulative_bo_pnl_usd") + amount("cumulative_mt5_pnl_usd"),
         "contract_count": (z("bo_contract_count") + z("mt5_contract_count")
                            + z("deposit_count") + z("withdrawal_count")),
         "cumulative_contract_count": (z("cumulative_bo_contract_count")
@@ -134,26 +148,22 @@ def cross_source_columns(scales: dict[str, int]) -> dict[str, Column]:
 
 def finalize(df: DataFrame, parts: list[DailyPart], fill=None, cross_source=False) -> DataFrame:
     """One projection: ratios (C4), cross-source metrics (C6), column order, output types
-    (money units -> double, counts -> bigint) and the optional zero fill."""
-    kinds, scales = {}, {}
+    (money -> double, counts -> bigint) and the optional zero fill."""
+    kinds = {}
     for p in parts:
         kinds.update({m.name: m.kind for m in p.measures})
-        scales.update({m.name: m.scale for m in p.measures})
         kinds.update({r.name: "ratio" for r in p.ratios})
     derived = ratio_columns(parts)
     if cross_source:
-        derived.update(cross_source_columns(scales))
+        derived.update(cross_source_columns())
         kinds.update(pnl_usd="money", contract_count="count")
-        scales.update(pnl_usd=PNL_SCALE)
     cols = [F.col("actor_id"), F.col("date")]
     for n, kind in kinds.items():
         dtype = "bigint" if kind == "count" else "double"
         for c in (n, f"cumulative_{n}"):
             v = derived[c] if c in derived else F.col(c)
-            if kind == "money":
-                v = from_units(v, scales[n])
-            elif kind == "count":
-                v = v.cast("bigint")
+            if kind != "ratio":
+                v = v.cast(dtype)
             if fill is not None:
                 v = F.coalesce(v, F.lit(fill).cast(dtype))
             cols.append(v.alias(c))
@@ -162,9 +172,8 @@ def finalize(df: DataFrame, parts: list[DailyPart], fill=None, cross_source=Fals
 
 def build_series(parts: list[DailyPart], fill=None, cross_source=False, snapshot_day=None) -> DataFrame:
     """C1 + C5 + C3 (or C7) + C4 (+ C6): the daily series of the given parts."""
-    daily = merge_daily(parts)
     if snapshot_day is not None:
-        totals = snapshot_totals(daily, parts, snapshot_day)
+        totals = snapshot_totals(parts, snapshot_day)
     else:
-        totals = running_totals(daily, parts)
+        totals = running_totals(merge_daily(parts), parts)
     return finalize(totals, parts, fill=fill, cross_source=cross_source)

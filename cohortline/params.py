@@ -11,6 +11,19 @@ import datetime as dt
 from dataclasses import dataclass, field
 
 
+# Fixed values of the reference's enumerations.
+DEPOSIT = "Client Deposit"
+WITHDRAWAL = "Client Withdrawal"
+AGENT_DEPOSIT = "Payment Agent Deposit"
+AGENT_WITHDRAWAL = "Payment Agent Withdrawal"
+INTERNAL_STATUS = "internal_client"
+
+
+def today() -> dt.date:
+    """The current day in UTC, the time zone of all day boundaries."""
+    return dt.datetime.now(dt.timezone.utc).date()
+
+
 def add_months(day: dt.date, months: int) -> dt.date:
     """Calendar month shift, clamped to the month end (2022-05-31 - 3 months = 2022-02-28)."""
     index = day.year * 12 + (day.month - 1) + months
@@ -41,13 +54,14 @@ class Scope:
         return cls(add_months(report, -months), report)
 
     @classmethod
-    def days_before(cls, as_of, days: int) -> "Scope":
+    def days_before(cls, as_of, days: int, end=None) -> "Scope":
         as_of = as_date(as_of)
-        return cls(as_of - dt.timedelta(days=days), None)
+        return cls(as_of - dt.timedelta(days=days), None if end is None else as_date(end))
 
     @classmethod
-    def since(cls, start) -> "Scope":
-        return cls(as_date(start), None)
+    def since(cls, start, end=None) -> "Scope":
+        """From ``start`` (None: all history) up to ``end`` (None: open)."""
+        return cls(None if start is None else as_date(start), None if end is None else as_date(end))
 
     @classmethod
     def month_of(cls, day) -> "Scope":
@@ -61,11 +75,12 @@ class SummarySpec:
     """How the daily summary is built (the choices listed in SURVEY 0.1)."""
 
     scope: Scope = field(default_factory=Scope)
-    # optional narrower scope for the first fact only (v1/v2 read one month partition of it)
+    # optional narrower scope for the first fact only (a caller who wants one month of it)
     first_fact_scope: Scope | None = None
-    # name of a monthly partition column (first day of the month) on the fact tables, if
-    # any: the scope is then also stated on it, so the scan prunes whole partitions
-    month_partition: str | None = None
+    # (fact, column) pairs: facts stored by a monthly partition column (first day of the month);
+    # the scope is then also stated on that column, so the scan prunes whole partitions.
+    # Facts: trades, payments, deals, closed_trades
+    month_partitions: tuple[tuple[str, str], ...] = ()
     # "precomputed": wins come from pre-aggregated columns; "sign": row-level sign test
     wins: str = "precomputed"
     # "client": client categories only; "all": client and payment-agent categories
@@ -85,3 +100,6 @@ class SummarySpec:
     cross_source: bool = False
     # None keeps a missing side NULL; 0 fills it with zero
     fill: float | None = None
+
+    def month_column(self, fact: str) -> str | None:
+        return dict(self.month_partitions).get(fact)

@@ -2,10 +2,11 @@
 
 Stage sizes: the summary is the large relation (actors x active days); after
 a rule only the active rows remain, which are small. The active set is written
-once as a table under ``spark.checkpoint.dir`` (``session.checkpoint``): the
-share, the quota and the ranking all read it, later stages do not recompute the
-summary after an executor loss, and their plans stay small. Every dimension join is
-driven by the active set (semi-join reduced, checked broadcast).
+once as a table under ``spark.checkpoint.dir`` (``session.checkpoint``), with its
+profile and after the exclusions: the share, the quota and the ranking all read it,
+later stages do not recompute the summary after an executor loss, and their plans
+stay small. ``stored`` takes a summary that is already stored or viewed (the table
+functions of the reference read one) instead of building it from the facts.
 """
 
 from __future__ import annotations
@@ -16,9 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortline.operators import audience, naming, quota, ranking, rules
-from cohortline.params import as_date
+from cohortline.params import as_date, today
 from cohortline.plans.summary import daily_summary, spec_v1, spec_v2, spec_v3, spec_v4, spec_v5
-from cohortline.session import checkpoint_counted
+from cohortline.session import checkpoint
 from cohortline.sources.catalog import Sources
 
 
@@ -26,20 +27,23 @@ def active_users(src: Sources, report_date, metric: str, threshold: float,
                  first_time_meet: bool = True, lookback_months: int = 3,
                  auto_thresholds=(1000, 100), strict_auto_pnl: bool = False,
                  exclusion: str = "rowwise", unsubscribe: bool = True,
-                 rule_mode: str = "delta", summary: str = "v5") -> tuple[DataFrame, int]:
+                 rule_mode: str = "delta", summary: str = "v5",
+                 stored: DataFrame | None = None) -> DataFrame:
     """Rows of the report's previous day meeting the rule, with profile, minus exclusions.
 
     ``summary``: "v5" = the day's snapshot (NULL where a source had no rows that
     day, negated withdrawals, cross-source metrics); "v3" = the zero-filled
-    running summary filtered to the day (the inlined sample).
-    Returns the checkpointed rows and their count.
+    running summary filtered to the day (the inlined sample). ``stored`` replaces both.
+    Returns the checkpointed rows.
     """
     report = as_date(report_date)
     day = report - dt.timedelta(days=1)
     on_day = F.col("date") == F.lit(day)
     # "lag" / "first_ever" look at earlier days, so they run on the whole lookback first
     history = first_time_meet and metric != "auto" and rule_mode != "delta"
-    if summary == "v5":
+    if stored is not None:
+        frame = stored if history else stored.filter(on_day)
+    elif summary == "v5":
         spec = spec_v5(report, lookback_months)
         frame = daily_summary(src, spec) if history else daily_summary(src, spec, snapshot_day=day)
     elif summary == "v3":
@@ -54,15 +58,13 @@ def active_users(src: Sources, report_date, metric: str, threshold: float,
         ruled = rules.metric_rule(frame, metric, threshold, first_time_meet, rule_mode)
     if history:
         ruled = ruled.filter(on_day)
-    active, n = checkpoint_counted(
-        rules.select_active(ruled).select("actor_id", "date", "metric_value", "metric"))
-    active = audience.attach_profile(active, src.profile, key_rows=n)
+    active = rules.select_active(ruled).select("actor_id", "date", "metric_value", "metric")
+    active = checkpoint(audience.attach_profile(active, src.profile))
     if exclusion:
-        active = audience.exclude_internal(active, src.internal_domains, src.statuses, exclusion,
-                                           key_rows=n)
+        active = audience.exclude_internal(active, src.internal_domains, src.statuses, exclusion)
     if unsubscribe:
-        active = audience.exclude_unsubscribed(active, src.preferences, key_rows=n)
-    return checkpoint_counted(active)
+        active = audience.exclude_unsubscribed(active, src.preferences)
+    return checkpoint(active) if exclusion or unsubscribe else active
 
 
 def invitation_list(src: Sources, report_date, invitation_limit: int, metric: str,
@@ -70,46 +72,49 @@ def invitation_list(src: Sources, report_date, invitation_limit: int, metric: st
                     lookback_months: int = 3, auto_thresholds=(1000, 100),
                     strict_auto_pnl: bool = False, exclusion: str = "rowwise",
                     names: str = "max", unsubscribe: bool = True,
-                    summary: str = "v5", rule_mode: str = "delta") -> DataFrame:
+                    summary: str = "v5", rule_mode: str = "delta",
+                    stored: DataFrame | None = None, exact_share: bool = False) -> DataFrame:
     """One report date; columns actor_id, first_name, last_name, email.
 
     ``unsubscribe=False, summary="v3"`` is the inlined sample's flavour;
     ``rule_mode="first_ever"`` selects users who reach the threshold for the
-    first time within the lookback (the stated intent, H2).
+    first time within the lookback (the stated intent, H2). ``stored``: a summary that
+    holds the report's previous day (and, for "lag" and "first_ever", the days before).
     """
-    active, n = active_users(src, report_date, metric, threshold, first_time_meet,
-                             lookback_months, auto_thresholds, strict_auto_pnl, exclusion,
-                             unsubscribe, rule_mode=rule_mode, summary=summary)
+    active = active_users(src, report_date, metric, threshold, first_time_meet,
+                          lookback_months, auto_thresholds, strict_auto_pnl, exclusion,
+                          unsubscribe, rule_mode=rule_mode, summary=summary, stored=stored)
     quotas = quota.quota_table(active, ["country"], percentage_threshold, invitation_limit, "shared",
-                                total_rows=n)
-    chosen = ranking.rank_and_cut(active, quotas, ["country"], total_rows=n)
-    named = naming.client_names(chosen.select("actor_id", "email"), src.clients, names, key_rows=n)
+                               exact_share, with_rows=True)
+    chosen = ranking.rank_and_cut(active, quotas, ["country"])
+    named = naming.client_names(chosen.select("actor_id", "email"), src.clients, names)
     return naming.one_row_per_user(named, ["actor_id"], ["first_name", "last_name", "email"])
 
 
 def invitation_list_range(src: Sources, start_date, end_date, invitation_limit: int,
                           interval_days: int, metric: str, percentage_threshold: float,
                           threshold: float, first_time_meet: bool = False, as_of=None,
-                          names: str = "max") -> DataFrame:
+                          names: str = "max", stored: DataFrame | None = None,
+                          exact_share: bool = False) -> DataFrame:
     """A date range, metrics over ``interval_days`` before ``as_of``; no exclusions.
 
     Columns actor_id, metric, metric_value, first_name, last_name, email,
     country, login_list; sorted by metric_value.
     """
-    as_of = as_date(as_of) if as_of is not None else dt.date.today()
+    as_of = as_date(as_of) if as_of is not None else today()
     start, end = as_date(start_date), as_date(end_date)
-    summary = daily_summary(src, spec_v4(as_of, interval_days))
+    # running sums look back only, so facts from ``end`` on are not read
+    summary = stored if stored is not None else daily_summary(src, spec_v4(as_of, interval_days, end))
     in_range = summary.filter((F.col("date") >= F.lit(start)) & (F.col("date") < F.lit(end)))
     ruled = rules.metric_rule(in_range, metric, threshold, first_time_meet)
-    active, n = checkpoint_counted(
-        rules.select_active(ruled).select("actor_id", "date", "metric_value", "metric"))
-    active = audience.attach_profile(active, src.profile, key_rows=n)
+    active = rules.select_active(ruled).select("actor_id", "date", "metric_value", "metric")
+    active = checkpoint(audience.attach_profile(active, src.profile))
     quotas = quota.quota_table(active, ["country"], percentage_threshold, invitation_limit, "shared",
-                                total_rows=n)
-    chosen = ranking.rank_and_cut(active, quotas, ["country"], total_rows=n)
+                               exact_share, with_rows=True)
+    chosen = ranking.rank_and_cut(active, quotas, ["country"])
     named = naming.client_names(
         chosen.select("actor_id", "metric", "metric_value", "email", "country", "login_list"),
-        src.clients, names, key_rows=n)
+        src.clients, names)
     out = naming.one_row_per_user(
         named, ["actor_id", "metric"],
         ["metric_value", "first_name", "last_name", "email", "country", "login_list"])
@@ -134,13 +139,16 @@ DELTA_LABELS = {
 
 def labelled_users(src: Sources, start_date, end_date, bo_turnover_limit: float,
                    withdrawal_limit: float, profit_limit: float, mt5_pnl_limit: float,
-                   mode: str = "lag", summary_start=None) -> DataFrame:
-    """Rows of ``[start, end)`` labelled by the first multi-metric rule they meet (C9/C8 + C12)."""
+                   mode: str = "lag", summary_start=None,
+                   stored: DataFrame | None = None) -> DataFrame:
+    """Rows of ``[start, end)`` labelled by the first multi-metric rule they meet (C9/C8 + C12).
+
+    The summary runs from ``summary_start`` (None: all history) to ``end``; ``stored`` replaces it.
+    """
     start, end = as_date(start_date), as_date(end_date)
-    first = as_date(summary_start) if summary_start is not None else None
     col = F.col
     if mode == "lag":
-        summary = daily_summary(src, spec_v1(first))
+        summary = stored if stored is not None else daily_summary(src, spec_v1(summary_start, end))
         tracked = ["cumulative_bo_turnover_usd", "cumulative_withdrawal_usd", "cumulative_mt5_pnl_usd"]
         summary = rules.with_previous(summary, tracked)   # LAG over the whole history
         labels = [
@@ -153,7 +161,7 @@ def labelled_users(src: Sources, start_date, end_date, bo_turnover_limit: float,
              & (col("prev_cumulative_mt5_pnl_usd") < mt5_pnl_limit)),
         ]
     elif mode == "delta":
-        summary = daily_summary(src, spec_v2(first))
+        summary = stored if stored is not None else daily_summary(src, spec_v2(summary_start, end))
 
         def crossed(cum, daily, limit):
             return (col(cum) >= limit) & ((col(cum) - col(daily)) < limit)
@@ -178,7 +186,8 @@ def labelled_users(src: Sources, start_date, end_date, bo_turnover_limit: float,
 def multi_metric_invitations(src: Sources, start_date, end_date, invitation_limit: int,
                              threshold: float, bo_turnover_limit: float, withdrawal_limit: float,
                              profit_limit: float, mt5_pnl_limit: float, mode: str = "lag",
-                             summary_start=None, names: str = "max") -> DataFrame:
+                             summary_start=None, names: str = "max",
+                             stored: DataFrame | None = None, exact_share: bool = False) -> DataFrame:
     """Per (country, label) shares and capped quotas; each label ranked by its own measure.
 
     Columns actor_id, metric, first_name, last_name, email, country, login_list.
@@ -186,15 +195,14 @@ def multi_metric_invitations(src: Sources, start_date, end_date, invitation_limi
     """
     order_by = LAG_LABELS if mode == "lag" else DELTA_LABELS
     labelled = labelled_users(src, start_date, end_date, bo_turnover_limit, withdrawal_limit,
-                              profit_limit, mt5_pnl_limit, mode, summary_start)
+                              profit_limit, mt5_pnl_limit, mode, summary_start, stored)
     measures = sorted(set(order_by.values()))
-    active, n = checkpoint_counted(labelled.select("actor_id", "date", "metric", *measures))
-    active = audience.attach_profile(active, src.profile, key_rows=n)
+    active = checkpoint(audience.attach_profile(labelled.select("actor_id", "date", "metric", *measures),
+                                                src.profile))
     quotas = quota.quota_table(active, ["country", "metric"], threshold, invitation_limit, "capped",
-                                total_rows=n)
-    chosen = ranking.rank_per_label(active, quotas, order_by, total_rows=n)
+                               exact_share, with_rows=True)
+    chosen = ranking.rank_per_label(active, quotas, order_by)
     named = naming.client_names(
-        chosen.select("actor_id", "metric", "email", "country", "login_list"), src.clients, names,
-        key_rows=n)
+        chosen.select("actor_id", "metric", "email", "country", "login_list"), src.clients, names)
     return naming.one_row_per_user(named, ["actor_id", "metric"],
                                    ["first_name", "last_name", "email", "country", "login_list"])

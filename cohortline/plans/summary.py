@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 
@@ -24,18 +25,20 @@ def daily_summary(src: Sources, spec: SummarySpec, snapshot_day=None) -> DataFra
 
 # Summary variants of the reference, as parameter sets.
 
-def spec_v1(start) -> SummarySpec:
-    """Fixed start (first fact: the start's month only), row-level win test, all payment
-    categories, closed trades."""
-    return SummarySpec(scope=Scope.since(start), first_fact_scope=Scope.month_of(start),
+def spec_v1(start=None, end=None, first_fact_month=None) -> SummarySpec:
+    """Fixed start (None: all history), row-level win test, all payment categories, closed trades.
+
+    ``end`` bounds the facts that are read. ``first_fact_month`` restricts the first fact, and
+    only that, to one month.
+    """
+    month = None if first_fact_month is None else Scope.month_of(first_fact_month)
+    return SummarySpec(scope=Scope.since(start, end), first_fact_scope=month,
                        wins="sign", payment_categories="all", third_fact="closed")
 
 
-def spec_v2(start) -> SummarySpec:
+def spec_v2(start=None, end=None, first_fact_month=None) -> SummarySpec:
     """v1 plus profit / loss splits and the withdrawal-to-deposit ratio."""
-    return SummarySpec(scope=Scope.since(start), first_fact_scope=Scope.month_of(start),
-                       wins="sign", payment_categories="all", third_fact="closed",
-                       profit_loss=True)
+    return replace(spec_v1(start, end, first_fact_month), profit_loss=True)
 
 
 def spec_v5(report_date, lookback_months: int = 3) -> SummarySpec:
@@ -53,10 +56,10 @@ def spec_v3(report_date, lookback_months: int = 3) -> SummarySpec:
     return SummarySpec(scope=Scope.months_before(report_date, lookback_months), fill=0)
 
 
-def spec_v4(as_of, interval_days: int) -> SummarySpec:
-    """Days lookback from ``as_of``, row-level win test, all categories, closing sell/credit
-    (plus the profit / loss splits and the ratio, H16)."""
-    return SummarySpec(scope=Scope.days_before(as_of, interval_days), wins="sign",
+def spec_v4(as_of, interval_days: int, end=None) -> SummarySpec:
+    """Days lookback from ``as_of`` (up to ``end``), row-level win test, all categories, closing
+    sell/credit (plus the profit / loss splits and the ratio, H16)."""
+    return SummarySpec(scope=Scope.days_before(as_of, interval_days, end), wins="sign",
                        payment_categories="all", closing_entries=("sell", "credit"),
                        fx_sign=-1, fill=0, profit_loss=True)
 

@@ -1,7 +1,8 @@
 """Spark session helpers: local builder for tests/bench and checkpoint handling.
 
 On a cluster the session is created by the platform; the library only reads
-``spark.checkpoint.dir`` from it. A local folder is chosen only when the master
+``spark.checkpoint.dir`` from it, which must name a folder that driver and executors share
+(a ``file:`` path only if it is mounted on all of them). A local folder is chosen only when the master
 is ``local[...]`` and no checkpoint folder was configured (tests, bench).
 """
 
@@ -67,10 +68,10 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def checkpoint_counted(df: DataFrame) -> tuple[DataFrame, int]:
-    """``checkpoint`` plus its exact row count (a bound for later broadcasts).
+def drop_checkpoints(spark: SparkSession) -> None:
+    """Delete the tables that ``checkpoint`` wrote in this session's checkpoint folder.
 
-    The count reads only Parquet footers.
+    For the end of a job: frames that were read from those tables are unusable afterwards.
     """
-    frozen = checkpoint(df)
-    return frozen, frozen.count()
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

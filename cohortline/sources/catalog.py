@@ -16,10 +16,9 @@
 | clients           | actor_id, first_name, last_name, joined_at, client_seq                |
 
 ``result`` is the buy price minus the sell price of the first fact (positive when
-the client lost). Money columns are doubles with at most two decimals (rates at
-most four), as the warehouse stores them; the operators quantize them to integer
-cents (rates to 1e-4) when reading, so sums are exact and do not depend on
-partition order.
+the client lost). Money columns and rates are doubles and are used unrounded: sums
+are taken over decimals of ``functions.columns.AMOUNT_DECIMALS`` places, so they do
+not depend on partition order. Timestamps without time zone; days are UTC days.
 """
 
 from __future__ import annotations

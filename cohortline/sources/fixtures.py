@@ -10,16 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from cohortline.params import (AGENT_DEPOSIT, AGENT_WITHDRAWAL, DEPOSIT, INTERNAL_STATUS,
+                               WITHDRAWAL)
 from cohortline.sources.catalog import Sources, read_table
 
 
-# Fixed values of the reference's enumerations.
-DEPOSIT = "Client Deposit"
-WITHDRAWAL = "Client Withdrawal"
-AGENT_DEPOSIT = "Payment Agent Deposit"
-AGENT_WITHDRAWAL = "Payment Agent Withdrawal"
-INTERNAL_STATUS = "internal_client"
-# Deal entries: opening ones and the two closing sets used by the reference.
+# Deal entries: opening ones and the two closing sets used by the reference.
 DEAL_ENTRIES = ("in", "out", "out_by", "sell", "credit", "buy")
 # Fixture-only value: the internal e-mail domain of the test data.
 INTERNAL_DOMAINS = (("d3.com", "internal"),)
@@ -47,6 +43,15 @@ def email_of(custkey: Column) -> Column:
     return F.concat(F.lit("u"), key, sep, dom, F.lit(".com"))
 
 
+def strength_of(currency: Column) -> Column:
+    """What a unit is worth: the test data's currencies range from strong to very weak ones."""
+    return (F.when(currency == "AUTOMOBILE", F.lit(1.23457))
+            .when(currency == "BUILDING", F.lit(0.00004))
+            .when(currency == "FURNITURE", F.lit(0.00064))
+            .when(currency == "HOUSEHOLD", F.lit(0.01235))
+            .otherwise(F.lit(1.0)))
+
+
 def load_sources(spark: SparkSession, base: str) -> Sources:
     events = read_table(spark, base, "events", ["event_id", "ts", "user_id", "event_type", "value"])
     customer = read_table(spark, base, "customer",
@@ -114,7 +119,8 @@ def load_sources(spark: SparkSession, base: str) -> Sources:
     fx_rates = per_day.select("rate_date", "source_currency",
                               F.explode(targets).alias("t"), "n").select(
         "rate_date", "source_currency", F.col("t.target_currency").alias("target_currency"),
-        (F.col("t.base").cast("double") + F.col("n").cast("double") * F.lit(0.001)).alias("rate"),
+        ((F.col("t.base").cast("double") + F.col("n").cast("double") * F.lit(0.001))
+         * strength_of(F.col("source_currency"))).alias("rate"),
     )
 
     closed_trades = clicks.select(

@@ -32,7 +32,7 @@ def main() -> None:
     from cohortline.operators import quota, ranking
     from cohortline.plans import invitations as inv
     from cohortline.plans.summary import daily_summary, spec_v4
-    from cohortline.session import build_session, checkpoint_counted
+    from cohortline.session import build_session, checkpoint
     from cohortline.sources import fixtures
     from cohortline.sources.catalog import SCHEMAS
 
@@ -71,14 +71,13 @@ def main() -> None:
     timings["invitation_list_range"] = time.time() - t
 
     t = time.time()
-    active, n = checkpoint_counted(summary.filter(F.col("cumulative_bo_turnover_usd") >= 100)
-                                   .select("actor_id", "date",
-                                           F.col("cumulative_bo_turnover_usd").alias("metric_value"),
-                                           (F.col("actor_id") % 4 == 0).cast("string").alias("country")))
-    q = quota.quota_table(active, ["country"], 5, 1000, "capped")
-    kept = ranking.rank_and_cut(active, q, ["country"], max_window_rows=0, total_rows=n)
+    active = checkpoint(summary.filter(F.col("cumulative_bo_turnover_usd") >= 100)
+                        .select("actor_id", "date", F.col("cumulative_bo_turnover_usd").alias("metric_value"),
+                                (F.col("actor_id") % 4 == 0).cast("string").alias("country")))
+    q = quota.quota_table(active, ["country"], 5, 1000, "capped", with_rows=True)
+    kept = ranking.rank_and_cut(active, q, ["country"])
     kept.write.format("noop").mode("overwrite").save()
-    timings["global_sort_rank"] = time.time() - t
+    timings["rank_in_parts"] = time.time() - t
     spark.stop()
 
     stages = []

@@ -49,13 +49,13 @@ groups_st = st.lists(st.tuples(st.sampled_from("aaabbc"), st.integers(0, 5)), mi
 
 @SETTINGS
 @given(rows=groups_st, limit=st.integers(1, 12), pct=st.integers(0, 60))
-def test_ranking_paths_agree_and_respect_quota(spark, rows, limit, pct):
+def test_ranking_parts_agree_and_respect_quota(spark, rows, limit, pct):
     df = spark.createDataFrame(
         [(i, day(1), float(v), g) for i, (g, v) in enumerate(rows)],
         "actor_id long, date date, metric_value double, country string")
     q = quota.quota_table(df, ["country"], pct, limit, "shared")
     by_window = ranking.rank_and_cut(df, q, ["country"])
-    by_sort = ranking.rank_and_cut(df.repartition(3), q, ["country"], max_window_rows=0)
+    by_sort = ranking.rank_and_cut(df.repartition(3), q, ["country"], splits=3)
     a, b = sorted(map(tuple, by_window.collect())), sorted(map(tuple, by_sort.collect()))
     assert a == b
     quotas = {r.country: r.final_number_user for r in q.collect()}
@@ -81,11 +81,21 @@ def test_strict_exclusion_subset_of_rowwise(spark, statuses):
 
 @SETTINGS
 @given(rows=groups_st, limit=st.integers(1, 12), pct=st.integers(0, 60))
-def test_quota_single_pass_equals_scalar_path(spark, rows, limit, pct):
+def test_quota_follows_the_counts(spark, rows, limit, pct):
     df = spark.createDataFrame(
         [(i % 7, day(1), float(v), g) for i, (g, v) in enumerate(rows)],
         "actor_id long, date date, metric_value double, country string")
+    users = {}
+    for i, (g, _) in enumerate(rows):
+        users.setdefault(g, set()).add(i % 7)
+    n = {g: len(u) for g, u in users.items()}
+    total = sum(n.values())
+    share = {g: (200 * k + total) // (2 * total) / 100.0 * 100.0 for g, k in n.items()}
+    below = sum(k for g, k in n.items() if share[g] <= pct)
+    above = sum(1 for g in n if share[g] > pct)
     for rule in ("shared", "capped"):
-        a = quota.quota_table(df, ["country"], pct, limit, rule)
-        b = quota.quota_table(df, ["country"], pct, limit, rule, total_rows=len(rows))
-        assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+        got = {r.country: r.final_number_user
+               for r in quota.quota_table(df, ["country"], pct, limit, rule).collect()}
+        for g, k in n.items():
+            rest = limit if rule == "capped" else (2 * max(limit - below, 0) + above) // (2 * max(above, 1))
+            assert got[g] == (k if k <= limit or share[g] <= pct else rest)

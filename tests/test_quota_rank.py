@@ -20,10 +20,14 @@ def _active(spark, counts: dict):
     return spark.createDataFrame(rows, SCHEMA)
 
 
-def test_share_is_whole_percent_exact(spark):
-    # 7 of 100 is 7 %, which is not above 7 (H7); 1 of 8 rounds half up to 13 %
+def test_share_arithmetic(spark):
+    # ROUND(0.07, 2) * 100 is 7.000000000000001 in doubles and so above 7 (H7); the exact share is not;
+    # 1 of 8 rounds half up to 13 %
     df = _active(spark, {"a": 7, "b": 93})
     got = {r.country: (r.percentage, r.status) for r in quota.group_share(df, ["country"], 7).collect()}
+    assert got == {"a": (7.000000000000001, "above"), "b": (93.0, "above")}
+    got = {r.country: (r.percentage, r.status)
+           for r in quota.group_share(df, ["country"], 7, exact_share=True).collect()}
     assert got == {"a": (7.0, "below"), "b": (93.0, "above")}
     df = _active(spark, {"a": 1, "b": 7})
     got = {r.country: r.percentage for r in quota.group_share(df, ["country"], 5).collect()}
@@ -58,14 +62,14 @@ def test_null_group_never_selected(spark):
     assert {r.country for r in out.collect()} == {"a"}
 
 
-def test_window_and_global_sort_rank_agree(spark):
+def test_rank_does_not_depend_on_the_parts(spark):
     rnd = random.Random(7)
     rows = [(i, day(1 + rnd.randrange(3)), float(rnd.randrange(20)), rnd.choice("aaaaabbc"))
             for i in range(400)]
     df = spark.createDataFrame(rows, SCHEMA)
     quotas = spark.createDataFrame([("a", 37), ("b", 5), ("c", 1000)], "country string, final_number_user long")
     by_window = ranking.rank_and_cut(df, quotas, ["country"])
-    by_sort = ranking.rank_and_cut(df.repartition(5), quotas, ["country"], max_window_rows=0)
+    by_sort = ranking.rank_and_cut(df.repartition(5), quotas, ["country"], splits=3)
     a = sorted(map(tuple, by_window.collect()))
     b = sorted(map(tuple, by_sort.collect()))
     assert a == b
@@ -118,13 +122,13 @@ def test_thresholds_quantile(spark):
     assert (arr["x_q80"], arr["x_q90"]) == (80.0, 90.0)
 
 
-def test_global_sort_path_with_null_order_values(spark):
+def test_rank_with_null_order_values(spark):
     rows = [(i, day(1 + i % 3), None if i % 5 == 0 else float(i % 4), "a" if i % 3 else "b")
             for i in range(60)]
     df = spark.createDataFrame(rows, "actor_id long, date date, v double, country string")
     q = spark.createDataFrame([("a", 17), ("b", 9)], "country string, final_number_user long")
     order = [F.col("v").desc_nulls_last(), F.col("actor_id").asc(), F.col("date").asc()]
     by_window = ranking.rank_and_cut(df, q, ["country"], order)
-    by_sort = ranking.rank_and_cut(df.repartition(4), q, ["country"], order, max_window_rows=0)
+    by_sort = ranking.rank_and_cut(df.repartition(4), q, ["country"], order, splits=5)
     assert sorted(map(tuple, by_window.collect())) == sorted(map(tuple, by_sort.collect()))
     assert by_window.count() == 26

@@ -106,35 +106,49 @@ def test_parts_follow_spec(spark):
     assert "bo_profit_usd" in names and "mt5_loss_usd" in names
 
 
-def test_unit_helpers_are_exact(spark):
+def test_amounts_are_not_rounded(spark):
+    # 1,000 amounts of 0.004 sum to 4
+    src = make_sources(spark, payments=[(1, ts(2), "Client Deposit", 0.004)] * 1000)
+    assert _rows(daily_summary(src, _spec()), ["deposit_usd", "deposit_count"]) == [(4.0, 1000)]
+
+
+def test_weak_currencies_keep_their_value(spark):
+    for rate, total in ((0.000064, 64.0), (0.00004, 40.0), (0.0000123457, 12.3457)):
+        src = make_sources(
+            spark, deals=[("MT1", ts(3), "out", 600000.0, 0.0, 1, 1), ("MT1", ts(3), "out_by", 400000.0, 0.0, 1, 1)],
+            accounts=[("MT1", "g", "s", 1)], account_groups=[("g", "s", "WEAK")],
+            fx_rates=[(day(2), "WEAK", "USD", rate)])
+        assert _rows(daily_summary(src, _spec()), ["mt5_pnl_usd"]) == [(total,)]
+
+
+def test_exact_sums_and_overflow(spark):
+    import pytest
     from pyspark.sql import functions as F
 
-    from cohortline.functions import from_units, round_units, to_units
-    df = spark.createDataFrame([(0.1,), (2.675,), (-1.005,), (123456789.12,)], "x double")
-    got = [r[0] for r in df.select(to_units(F.col("x"))).collect()]
-    assert got == [10, 268, -100, 12345678912]   # nearest cent of the stored double
-    ints = spark.createDataFrame([(150,), (-150,), (149,), (-151,), (None,)], "u long")
-    got = [r[0] for r in ints.select(round_units(F.col("u"), 100)).collect()]
-    assert got == [2, -2, 1, -2, None]           # half away from zero
-    assert ints.select(from_units(F.lit(12345), 2)).first()[0] == 123.45
+    from cohortline.functions import exact
+    df = spark.createDataFrame([(0.1,)] * 10 + [(1e15,), (-1e15,)], "x double")
+    assert df.select(F.sum(exact(F.col("x"))).cast("double")).first()[0] == 1.0
+    with pytest.raises(Exception):
+        spark.createDataFrame([(1e30,)], "x double").select(exact(F.col("x"))).collect()
 
 
-def test_v1_first_fact_reads_one_month(spark):
+def test_v1_reads_all_months_of_every_fact(spark):
     import datetime as dt
 
     from cohortline.plans.summary import spec_v1
-    feb = (1, dt.datetime(2024, 2, 3, 12), 7.0, 7.0, 0.0, 0, 1)
+    feb = (1, dt.datetime(2024, 2, 5, 12), 7.0, 7.0, 0.0, 0, 1)
     src = make_sources(spark, trades=[trade(1, 5, 10), feb],
                        payments=[(1, dt.datetime(2024, 2, 3, 9), "Client Deposit", 5.0)])
-    out = daily_summary(src, spec_v1("2024-01-01"))
-    got = _rows(out, ["date", "bo_turnover_usd", "deposit_usd"])
-    # the first fact is read from January only; payments are open-ended from the start
-    assert got == [(day(5), 10.0, None), (dt.date(2024, 2, 3), None, 5.0)]
-
-
-def test_to_units_rounds_half_away_from_zero(spark):
-    from pyspark.sql import functions as F
-
-    from cohortline.functions import to_units
-    df = spark.createDataFrame([(0.125,), (-0.125,), (2.5,)], "x double")
-    assert [r[0] for r in df.select(to_units(F.col("x"), 2)).collect()] == [13, -13, 250]
+    for spec in (spec_v1("2024-01-01"), spec_v1()):
+        got = _rows(daily_summary(src, spec), ["date", "bo_turnover_usd", "deposit_usd"])
+        assert got == [(day(5), 10.0, None), (dt.date(2024, 2, 3), None, 5.0), (dt.date(2024, 2, 5), 7.0, None)]
+    # one month of the first fact only where a caller asks for it
+    got = _rows(daily_summary(src, spec_v1("2024-01-01", first_fact_month="2024-01-15")), ["date", "bo_turnover_usd"])
+    assert got == [(day(5), 10.0), (dt.date(2024, 2, 3), None)]
+
+
+def test_snapshot_equals_running_totals_of_the_day(spark):
+    src = make_sources(spark, trades=[trade(1, 1, 10), trade(1, 3, 5), trade(2, 3, 4), trade(2, 4, 9)],
+                       payments=[(1, ts(3), "Client Deposit", 0.1), (1, ts(2), "Client Deposit", 0.2)])
+    whole = daily_summary(src, _spec()).filter("date = '2024-01-03'")
+    assert sorted(map(tuple, daily_summary(src, _spec(), day(3)).collect())) == sorted(map(tuple, whole.collect()))
