@@ -330,7 +330,7 @@ def q_partition_pruned_scan(spark, d):
     stored = save_table(src.trades.withColumn("month", F.trunc("ts", "MM")), _fresh(spark, "trades"),
                         partition_by=("month",))
     spec = replace(spec_v5(REPORT, LOOKBACK), month_partitions=(("trades", "month"),))
-    return daily_rollup(trades_part(replace(src, trades=stored, plans={}), spec))
+    return daily_rollup(trades_part(replace(src, trades=stored), spec))
 
 
 def q_group_share_exact(spark, d):
@@ -434,7 +434,8 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def _llm():
     """The document operators' query module, or None where that subpackage is not installed."""
-    if importlib.util.find_spec("cohortline.llm") is None or importlib.util.find_spec("corpus_pipeline") is None:
+    specs = [importlib.util.find_spec(name) for name in ("cohortline.llm", "corpus_pipeline")]
+    if not all(spec and spec.origin for spec in specs):
         return None
     return importlib.import_module("cohortline.llm.queries")
 

@@ -247,10 +247,6 @@ def closed_trades_part(src: Sources, spec: SummarySpec) -> DailyPart:
 
 
 def summary_parts(src: Sources, spec: SummarySpec) -> list[DailyPart]:
-    """The three fact parts of a summary spec (built once per spec and sources)."""
-    key = ("summary_parts", spec)
-    if key not in src.plans:
-        third = (fx_deals_part(src, spec) if spec.third_fact == "fx"
-                 else closed_trades_part(src, spec))
-        src.plans[key] = [trades_part(src, spec), payments_part(src, spec), third]
-    return src.plans[key]
+    """The three fact parts of a summary spec."""
+    third = fx_deals_part(src, spec) if spec.third_fact == "fx" else closed_trades_part(src, spec)
+    return [trades_part(src, spec), payments_part(src, spec), third]
