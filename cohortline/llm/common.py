@@ -17,6 +17,9 @@ from cohortline.session import checkpoint
 STEP_BYTES = 4 << 20
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+# Rows that go to a Python worker at a time while a table is stored: whole texts are long rows.
+BATCH_ROWS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,19 +31,24 @@ def partitions(spark: SparkSession) -> int:
 
 
 @contextlib.contextmanager
-def shuffle_files_dropped(spark: SparkSession) -> Iterator[None]:
-    """Within it, the shuffle files of a finished query go at once instead of at the driver's next collection."""
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """The session with these settings, which then get their former values back."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def store(df: DataFrame) -> DataFrame:
-    """``df`` as a table in the shared checkpoint folder; its shuffle files go once it is written."""
-    with shuffle_files_dropped(df.sparkSession):
+    """``df`` as a table in the shared checkpoint folder, written in small Arrow batches.
+
+    Its shuffle files go once it is written, not at the driver's next collection of garbage.
+    """
+    with settings(df.sparkSession, {_CLEANUP: "true", _BATCH: str(BATCH_ROWS)}):
         return checkpoint(df)
 
 

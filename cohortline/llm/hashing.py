@@ -7,7 +7,6 @@ import numpy as np
 _P = 0x9E3779B97F4A7C15 | 1
 _P_INVERSE = pow(_P, -1, 1 << 64)
 _Q = np.uint64(0xC2B2AE3D27D4EB4F)
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 # Bytes that separate words: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACES = np.zeros(256, bool)
@@ -17,15 +16,11 @@ NON_WORD = np.array([not (48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122 or b
 SMALL = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64, at least ``n`` of each."""
-    if len(_powers[0]) < n:
-        size = 1 << n.bit_length()
-        for k, base in enumerate((_P, _P_INVERSE)):
-            grown = np.full(size, base, np.uint64)
-            grown[0] = 1
-            _powers[k] = np.cumprod(grown)
-    return _powers[0], _powers[1]
+def _powers(base: int, n: int) -> np.ndarray:
+    """The first ``n`` powers modulo 2**64; made anew each time, so that no worker keeps them."""
+    out = np.full(n, base, np.uint64)
+    out[0] = 1
+    return np.cumprod(out, out=out)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -44,9 +39,12 @@ class Words:
         gap = separator[blob]
         edges = np.flatnonzero(np.diff(gap, prepend=True))
         self.begin, self.end = edges[::2], edges[1::2]
-        forward, back = _power(len(blob) + 1)
         sums = np.zeros(len(blob) + 1, np.uint64)
-        np.cumsum((blob.astype(np.uint64) + np.uint64(1)) * forward[:len(blob)], out=sums[1:])
+        terms = _powers(_P, len(blob))
+        terms *= blob.astype(np.uint64) + np.uint64(1)
+        np.cumsum(terms, out=sums[1:])
+        del terms
+        back = _powers(_P_INVERSE, len(blob))
         self.hash = mix((sums[self.end] - sums[self.begin]) * back[self.begin])
         self.prefixes = [mix((sums[np.minimum(self.begin + n, self.end)] - sums[self.begin]) * back[self.begin]
                              + np.uint64(n * int(_Q) % 2 ** 64)) for n in prefixes]

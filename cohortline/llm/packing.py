@@ -32,9 +32,9 @@ CAPACITY = 4096
 _MARKS = ".,;:!?$%&*#|()-\""
 END = 1
 # Words that a worker remembers at most; beyond it the memory starts anew.
-REMEMBERED = 2_000_000
+REMEMBERED = 1_000_000
 # Bytes of text that are looked up at a time.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 _CUTS = np.zeros(256, bool)
 _CUTS[[32, 10, 9, 13]] = True
@@ -228,7 +228,19 @@ def best_fit(counts: dict[int, int], capacity: int = CAPACITY) -> np.ndarray:
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_id") -> DataFrame:
-    """The pieces (a stored table with ``piece`` and ``length``) with ``sequence_id`` and ``offset``."""
+    """The pieces (with ``piece`` and ``length``) with ``sequence_id`` and ``offset``.
+
+    Only the narrow columns are sorted and placed; ids, if there are any, are joined to the places.
+    """
+    pieces = store(pieces.withColumn("_row", F.monotonically_increasing_id()))
+    placed = places(pieces.drop("ids"), capacity, id_col)
+    if "ids" not in pieces.columns:
+        return placed.drop("_row")
+    return pieces.join(placed.select("_row", "sequence_id", "offset"), "_row").drop("_row")
+
+
+def places(pieces: DataFrame, capacity: int, id_col: str) -> DataFrame:
+    """The given rows with ``sequence_id`` and ``offset``."""
     spark = pieces.sparkSession
     order = [F.col("length").desc(), F.col(id_col), F.col("piece")]
     ranked = store(pieces.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order)
@@ -261,4 +273,4 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_id") ->
 
 def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END, with_ids: bool = False,
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    return pack(store(tokenized_pieces(docs, path, capacity, end, with_ids, id_col, text_col)), capacity, id_col)
+    return pack(tokenized_pieces(docs, path, capacity, end, with_ids, id_col, text_col), capacity, id_col)
