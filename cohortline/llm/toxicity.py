@@ -6,7 +6,8 @@ each filter is kept, and a logistic layer turns these into a probability, scaled
 that took no part in the fit. Thresholds are calibrated by language on the same rows.
 
 The fit reads a bounded sample of the labelled rows (``max_positive``, ``max_negative``, rows of at
-most ``max_words`` words, chosen by a hash of the id); every other step covers all rows.
+most ``max_words`` words, chosen by a hash of the id; at most 100 MB of word ids); every other
+step covers all rows.
 
 Defined results: a null or empty text counts as a text without words and has a score too; labels that
 are null or of unknown ids are not used; if an id is labelled twice, any label above 0 makes it
@@ -35,7 +36,7 @@ class Fit:
 
     max_positive: int = 3000
     max_negative: int = 5000
-    max_words: int = 4000
+    max_words: int = 2000
     dims: int = 8
     widths: tuple[int, ...] = (1, 2, 3)
     filters: int = 8
@@ -197,14 +198,14 @@ def fit_model(docs: DataFrame, labels: DataFrame, fit: Fit = Fit(), id_col: str
             packed = []
             for t in batch.column("text").to_pylist():
                 ids, _ = word_ids([t])
-                packed.append(ids.tobytes() if ids.shape[1] <= most + PAD else None)
+                packed.append(ids.astype(np.uint16).tobytes() if ids.shape[1] <= most + PAD else None)
             yield pa.RecordBatch.from_arrays([y, lg, key, pa.array(packed, pa.binary())], names=["y", "lang", "key", "ids"])
 
     got = rows.mapInArrow(encode, "y int, lang string, key long, ids binary").filter("ids is not null").collect()
     got.sort(key=lambda r: (r["key"], r["y"], r["ids"]))
     if len({r["y"] for r in got}) < 2:
         return None
-    texts = [np.frombuffer(r["ids"], np.int32).reshape(1 + len(PREFIXES), -1) for r in got]
+    texts = [np.frombuffer(r["ids"], np.uint16).astype(np.int32).reshape(1 + len(PREFIXES), -1) for r in got]
     y, langs = np.array([r["y"] for r in got], np.float32), np.array([r["lang"] or "" for r in got])
     apart = np.random.default_rng(fit.seed + 1).random(len(y)) < fit.calibration_share
     if len(set(y[apart])) < 2 or len(set(y[~apart])) < 2:
