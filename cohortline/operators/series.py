@@ -14,17 +14,21 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortline.functions.columns import AMOUNT_DECIMALS, safe_percentage
 from cohortline.operators.rollup import KEY, DailyPart, Measure
 
 
-def running_window():
-    """PARTITION BY actor_id ORDER BY date ROWS UNBOUNDED PRECEDING .. CURRENT ROW."""
-    return (Window.partitionBy("actor_id").orderBy("date")
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+# PARTITION BY actor_id ORDER BY date, all rows up to the current one.
+RUNNING = "(PARTITION BY actor_id ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+
+
+def _exprs(texts: list[str]) -> list[Column]:
+    """Generated columns as SQL expressions: one call to the JVM for each. All names in them are the
+    library's own measure names."""
+    return [F.expr(t) for t in texts]
 
 
 def tall_rows(parts: list[DailyPart]) -> DataFrame:
@@ -45,27 +49,19 @@ def merge_daily(parts: list[DailyPart]) -> DataFrame:
     missing side of a full outer join.
     """
     union = tall_rows(parts)
-    aggs = [F.sum(m.name).alias(m.name) for p in parts for m in p.measures]
-    aggs += [F.count(p.flag).alias(p.flag) for p in parts]
-    daily = union.groupBy(*KEY).agg(*aggs)
-    out = [F.col(k) for k in KEY]
-    for p in parts:
-        for m in p.measures:
-            value = m.post(F.col(m.name)) if m.post else F.col(m.name)
-            out.append(F.when(F.col(p.flag) > 0, value).alias(m.name))
-    out += [F.col(p.flag) for p in parts]
-    return daily.select(*out)
+    measures = [(p, m) for p in parts for m in p.measures]
+    daily = union.groupBy(*KEY).agg(*_exprs([f"sum({m.name}) AS {m.name}" for _, m in measures]
+                                            + [f"count({p.flag}) AS {p.flag}" for p in parts]))
+    out = [F.when(F.col(p.flag) > 0, m.post(F.col(m.name))).alias(m.name) if m.post
+           else F.expr(f"CASE WHEN {p.flag} > 0 THEN {m.name} END AS {m.name}") for p, m in measures]
+    return daily.select(*KEY, *out, *[p.flag for p in parts])
 
 
 def running_totals(daily: DataFrame, parts: list[DailyPart]) -> DataFrame:
     """``cumulative_m`` = running SUM over the actor's days, shown on days the part has rows."""
-    cols = [F.col(c) for c in daily.columns]
-    w = running_window()
-    for p in parts:
-        present = F.col(p.flag) > 0
-        for m in p.measures:
-            cols.append(F.when(present, F.sum(m.name).over(w)).alias(f"cumulative_{m.name}"))
-    return daily.select(*cols)
+    return daily.select("*", *_exprs([
+        f"CASE WHEN {p.flag} > 0 THEN sum({m.name}) OVER {RUNNING} END AS cumulative_{m.name}"
+        for p in parts for m in p.measures]))
 
 
 def daily_part(part: DailyPart) -> DailyPart:
@@ -87,26 +83,17 @@ def snapshot_totals(parts: list[DailyPart], day) -> DataFrame:
     sums are rounded (converted deals) is grouped by day first.
     """
     daily = tall_rows([daily_part(p) if any(m.post for m in p.measures) else p for p in parts])
-    on_day = F.col("date") == F.lit(day)
-    aggs = []
-    for p in parts:
-        aggs.append(F.sum(F.when(on_day, F.col(p.flag))).alias(p.flag))
-        for m in p.measures:
-            aggs.append(F.sum(F.when(on_day, F.col(m.name))).alias(m.name))
-            aggs.append(F.sum(m.name).alias(f"cumulative_{m.name}"))
-    grouped = daily.filter(F.col("date") <= F.lit(day)).groupBy("actor_id").agg(*aggs)
-    any_row = reduce(lambda a, b: a | b, [F.coalesce(F.col(p.flag), F.lit(0)) > 0 for p in parts])
-    cols = [F.col("actor_id"), F.lit(day).alias("date")]
-    for p in parts:
-        present = F.col(p.flag) > 0
-        for m in p.measures:
-            cols.append(F.when(present, F.col(m.name)).alias(m.name))
-    cols += [F.col(p.flag) for p in parts]
-    for p in parts:
-        present = F.col(p.flag) > 0
-        for m in p.measures:
-            cols.append(F.when(present, F.col(f"cumulative_{m.name}")).alias(f"cumulative_{m.name}"))
-    return grouped.filter(any_row).select(*cols)
+    on_day = f"date = DATE'{day.isoformat()}'"
+    measures = [(p, m) for p in parts for m in p.measures]
+    aggs = [f"sum(CASE WHEN {on_day} THEN {p.flag} END) AS {p.flag}" for p in parts]
+    for _, m in measures:
+        aggs += [f"sum(CASE WHEN {on_day} THEN {m.name} END) AS {m.name}", f"sum({m.name}) AS cumulative_{m.name}"]
+    grouped = daily.filter(F.col("date") <= F.lit(day)).groupBy("actor_id").agg(*_exprs(aggs))
+    any_row = " OR ".join(f"coalesce({p.flag}, 0) > 0" for p in parts)
+    cols = [f"DATE'{day.isoformat()}' AS date", *[p.flag for p in parts]]
+    for prefix in ("", "cumulative_"):
+        cols += [f"CASE WHEN {p.flag} > 0 THEN {prefix}{m.name} END AS {prefix}{m.name}" for p, m in measures]
+    return grouped.filter(any_row).select("actor_id", *_exprs(cols))
 
 
 def ratio_columns(parts: list[DailyPart]) -> dict[str, Column]:
@@ -157,17 +144,17 @@ def finalize(df: DataFrame, parts: list[DailyPart], fill=None, cross_source=Fals
     if cross_source:
         derived.update(cross_source_columns())
         kinds.update(pnl_usd="money", contract_count="count")
-    cols = [F.col("actor_id"), F.col("date")]
+    cols = []
     for n, kind in kinds.items():
         dtype = "bigint" if kind == "count" else "double"
         for c in (n, f"cumulative_{n}"):
-            v = derived[c] if c in derived else F.col(c)
-            if kind != "ratio":
-                v = v.cast(dtype)
-            if fill is not None:
-                v = F.coalesce(v, F.lit(fill).cast(dtype))
-            cols.append(v.alias(c))
-    return df.select(*cols)
+            if c in derived:
+                v = derived[c] if kind == "ratio" else derived[c].cast(dtype)
+                cols.append((v if fill is None else F.coalesce(v, F.lit(fill).cast(dtype))).alias(c))
+            else:
+                v = f"CAST({c} AS {dtype})"
+                cols.append(F.expr((v if fill is None else f"coalesce({v}, CAST({fill} AS {dtype}))") + f" AS {c}"))
+    return df.select("actor_id", "date", *cols)
 
 
 def build_series(parts: list[DailyPart], fill=None, cross_source=False, snapshot_day=None) -> DataFrame:
