@@ -21,6 +21,7 @@ import hashlib
 import math
 import re
 import string
+from bisect import bisect_right
 from collections import Counter
 from dataclasses import dataclass
 
@@ -304,15 +305,29 @@ def added_spans(texts: list[str], base: list[list], model: Trees) -> list[list[t
         return out
     p = model.score(np.array([features(texts[i], *c) for i, c in flat]))
     limit = np.array([model.thresholds.get(c[1], 1.1) for _, c in flat])
-    used = [[(a, b) for a, _, b in spans] for spans in base]
+    used = [stretches(spans) for spans in base]
     for k in np.argsort(-p, kind="stable").tolist():
         i, (a, kind, b) = flat[k]
-        if p[k] >= limit[k] and all(b <= x or y <= a for x, y in used[i]):
-            used[i].append((a, b))
-            out[i].append((a, kind, b))
+        if p[k] >= limit[k]:
+            begins, ends = used[i]
+            at = bisect_right(begins, a)
+            if (at == 0 or ends[at - 1] <= a) and (at == len(begins) or b <= begins[at]):
+                begins.insert(at, a), ends.insert(at, b)
+                out[i].append((a, kind, b))
     return out
 
 
+def stretches(spans: list[tuple[int, int, int]]) -> tuple[list[int], list[int]]:
+    """Begins and ends of the disjoint stretches that spans, ordered by start, cover."""
+    begins, ends = [], []
+    for a, _, b in spans:
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            begins.append(a), ends.append(b)
+    return begins, ends
+
+
 def listed(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
 
