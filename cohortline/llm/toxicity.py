@@ -3,7 +3,9 @@
 A word is the sum of hashed embeddings (of the word, and of its first four and five bytes, which
 inflected forms share). Filters of several widths run over the words of a whole text; the largest response of
 each filter is kept, and a logistic layer turns these into a probability, scaled on labelled rows
-that took no part in the fit. Thresholds are calibrated by language on the same rows.
+that took no part in the fit. Thresholds by language are calibrated on all learnable labelled rows
+that took no part in the fit, long ones too: the executors score and count them. A language's precision is
+shrunk towards that of all languages together, so a language of few or no labels has about the pooled threshold.
 
 The fit reads a bounded sample of the labelled rows (``max_positive``, ``max_negative``, rows of at
 most ``max_words`` words, chosen by a hash of the id; at most 100 MB of word ids); every other
@@ -22,12 +24,13 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import STEP_BYTES, append_texts, map_texts, with_text
+from .common import STEP_BYTES, append_texts, map_texts, store, with_text
 from .hashing import NON_WORD, SMALL, Words
 
 BITS = 16          # size of the embedding table
 PREFIXES = (4, 5)  # bytes of a word that have an embedding of their own
 PAD = 3            # words of padding after each text: the width of the widest filter
+BINS = 1000        # of the scores from 0 to 1, for the thresholds
 
 
 @dataclass(frozen=True)
@@ -49,7 +52,7 @@ class Fit:
     blank_share: float = 0.02
     precision: float = 0.95
     base_threshold: float = 0.7
-    min_by_language: int = 20
+    pooled_weight: float = 20.0   # rows that the pooled precision counts as in a language's own
 
 
 @dataclass
@@ -62,6 +65,7 @@ class Model:
     out_bias: float
     scale: tuple[float, float] = (1.0, 0.0)
     thresholds: dict = field(default_factory=dict)
+    threshold: float | None = None        # of languages without labels; None: the base threshold
 
     def pooled(self, ids: np.ndarray, bounds: np.ndarray, where: bool = False):
         """Largest response of each filter in each text (and its word), from padded word ids."""
@@ -165,13 +169,49 @@ def platt(logits: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return max(s, 0.0) / spread, c
 
 
-def threshold(scores: np.ndarray, y: np.ndarray, fit: Fit) -> float:
-    """The least score at or over which the wanted precision holds, kept near the base threshold."""
-    order = np.argsort(-scores, kind="stable")
-    right = np.cumsum(y[order]) / np.arange(1, len(y) + 1)
-    good = np.flatnonzero(right >= fit.precision)
-    least = scores[order][good[-1]] if len(good) else 1.0
-    return float(np.clip(least, 0.5, fit.base_threshold))
+def thresholds(counts: dict, fit: Fit) -> tuple[float, dict]:
+    """The pooled threshold, and that of each language, from {(language, bin, label): rows}.
+
+    A threshold is the least score, between 0.5 and the base threshold, at or over which the wanted precision
+    holds. A language's precision counts the pooled one as ``pooled_weight`` rows more.
+    """
+    low, high = BINS // 2, round(BINS * fit.base_threshold)
+    names = sorted({k[0] for k in counts})
+    n = np.zeros((len(names), high - low + 1, 2))
+    for (name, at, y), rows in counts.items():
+        if at >= low:
+            n[names.index(name), min(at, high) - low, y] += rows
+    over = n[:, ::-1].cumsum(1)[:, ::-1]       # rows at or over each bin
+    total = over.sum(0)
+    pooled = total[:, 1] / np.maximum(total.sum(1), 1)
+
+    def least(precision: np.ndarray) -> float:
+        good = np.flatnonzero(precision >= fit.precision)
+        return (low + int(good[0])) / BINS if len(good) else fit.base_threshold
+
+    own = (over[:, :, 1] + fit.pooled_weight * pooled) / (over.sum(2) + fit.pooled_weight)
+    return least(pooled), {name: least(p) for name, p in zip(names, own) if name}
+
+
+def labelled_logits(src: DataFrame, known: DataFrame, fitted: np.ndarray, model: Model) -> DataFrame:
+    """(lang, y, logit) of all labelled rows but those of the fitted keys, stored. Texts are not shuffled."""
+    keys = src.sparkSession.createDataFrame([(int(k),) for k in fitted], "key long")
+    apart = known.join(F.broadcast(keys), F.xxhash64("id") == F.col("key"), "left_anti")
+    shared = src.sparkSession.sparkContext.broadcast(model)
+
+    def each(texts: list[str]) -> list[tuple]:
+        return [(float(z),) for block in blocks(texts, STEP_BYTES // 16) for z in shared.value.logits(*word_ids(block))]
+
+    rows = map_texts(src.select(F.struct("id", "lang").alias("id"), "text"), "id", "logit double", each)
+    return store(rows.select("id.id", "id.lang", "logit").join(apart, "id").select("lang", "y", "logit"))
+
+
+def counted_scores(rows: DataFrame, scale: tuple[float, float]) -> dict:
+    """{(language, score bin, label): rows} of the scores from 0.5 on."""
+    score = 1 / (1 + F.exp(-(F.lit(scale[0]) * F.col("logit") + F.lit(scale[1]))))
+    found = (rows.select(F.coalesce("lang", F.lit("")).alias("lang"), F.floor(score * BINS).cast("int").alias("at"), "y")
+             .filter(F.col("at") >= BINS // 2).groupBy("lang", "at", "y").count())
+    return {(r["lang"], r["at"], r["y"]): r["count"] for r in found.collect()}
 
 
 def fit_model(docs: DataFrame, labels: DataFrame, fit: Fit = Fit(), id_col: str = "doc_id",
@@ -219,11 +259,9 @@ def fit_model(docs: DataFrame, labels: DataFrame, fit: Fit = Fit(), id_col: str
     bounds = np.concatenate([[0], np.cumsum([texts[i].shape[1] for i in held])])
     ids = np.concatenate([texts[i] for i in held], axis=1)
     model.scale = platt(model.logits(ids, bounds), y[held])
-    scores, hy = model.score(ids, bounds), y[held]
-    for name in sorted(set(langs[held])):
-        own = langs[held] == name
-        if name and hy[own].sum() >= fit.min_by_language:
-            model.thresholds[name] = threshold(scores[own], hy[own], fit)
+    fitted = np.array([r["key"] for r, z in zip(got, apart) if not z], np.int64) if apart.any() else np.zeros(0, np.int64)
+    labelled = labelled_logits(src, known, fitted, model)
+    model.threshold, model.thresholds = thresholds(counted_scores(labelled, model.scale), fit)
     return model
 
 
@@ -258,7 +296,7 @@ def classify(docs: DataFrame, model: Model | None, fit: Fit = Fit(), text_col: s
              lang_col: str = "lang") -> DataFrame:
     """The rows with ``score``, the ``threshold`` of the row's language, and ``rejected``."""
     scored = append_texts(docs, text_col, "score double", scorer(docs, model))
-    base = F.lit(fit.base_threshold)
+    base = F.lit(fit.base_threshold if model is None or model.threshold is None else model.threshold)
     if model is not None and model.thresholds and lang_col in docs.columns:
         known = F.create_map(*[F.lit(x) for kv in sorted(model.thresholds.items()) for x in kv])
         base = F.coalesce(F.try_element_at(known, F.col(lang_col).cast("string")), base)

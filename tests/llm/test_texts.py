@@ -285,6 +285,46 @@ def test_held_out_labels_are_not_learnt(spark):
     assert scores[0] == scores[1]
 
 
+def test_thresholds_do_not_switch_with_the_number_of_labels():
+    fit = toxicity.Fit()
+    # over 0.52, "en" and "de" reach the precision; "xx" has clean rows up to 0.65
+    rows = {("en", 400, 0): 900, ("en", 520, 0): 100, ("en", 560, 1): 300, ("en", 800, 1): 600}
+    few = {("de", 520, 0): 2, ("de", 560, 1): 5, ("de", 800, 1): 5}
+    many = {k: 100 * v for k, v in few.items()}
+    clean = {("xx", 640, 0): 200, ("xx", 900, 1): 40}
+    base, of_few = toxicity.thresholds({**rows, **few}, fit)
+    _, of_many = toxicity.thresholds({**rows, **many}, fit)
+    assert of_few["de"] == of_many["de"] == of_few["en"] == base < 0.57
+    assert toxicity.thresholds({**rows, **clean}, fit)[1]["xx"] > 0.64
+    # one row more or less moves nothing by the whole width
+    for n in range(1, 60):
+        assert toxicity.thresholds({**rows, ("fr", 800, 1): n}, fit)[1]["fr"] <= base
+    assert toxicity.thresholds({}, fit) == (fit.base_threshold, {})
+
+
+def test_thresholds_count_all_labelled_rows_outside_the_fit(spark):
+    rows, labels = toxic_corpus()
+    rows = [(i, t + " barano" * (2500 if i % 10 == 0 else 0)) for i, t in rows]      # long texts too
+    fit = toxicity.Fit(max_positive=60, max_negative=100)
+    seen = []
+
+    def kept(src, known, fitted, model, real=toxicity.labelled_logits):
+        rows = real(src, known, fitted, model)
+        seen.append((Counter(r["y"] for r in rows.collect()), len(fitted)))
+        return rows
+
+    labelled = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(toxicity, "labelled_logits", kept)
+        model = toxicity.fit_model(documents(spark, rows), labelled, fit)
+    learnable = Counter(y for i, _, y in labels if zlib.crc32(str(i).encode()) % 3 != 1)
+    (counts, fitted), = seen
+    assert 0 < fitted < 160 and sum(counts.values()) == sum(learnable.values()) - fitted
+    assert counts[1] >= learnable[1] - fit.max_positive and "en" in model.thresholds
+    flagged = {r["doc_id"]: r["threshold"] for r in toxicity.classify(documents(spark, rows), model).collect()}
+    assert set(flagged.values()) == {model.thresholds["en"]}
+
+
 def test_toxicity_without_labels_or_rows(spark):
     docs = documents(spark, awkward())
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
