@@ -8,6 +8,8 @@ per kind, calibrated to a precision, selects what is added. Added spans never ov
 
 The trees are fitted on candidates of a bounded sample of documents (``max_documents`` of at most
 ``max_chars``, ``max_candidates``, both chosen by a hash) and on a fixed set of written examples. The
+thresholds are set on the candidates of all documents that were not fitted, scored and counted on the
+executors, and on the written examples that were held back. The
 tables hold no labels for spans, so checkable formats supply them: a checksum, an octet range, a key
 format or an assignment makes a candidate positive.
 
@@ -34,6 +36,8 @@ from .common import append_texts, map_texts, with_text
 # Kinds in the order in which spans with one start are listed.
 KINDS = ("email", "ip", "card", "phone", "iban", "key", "ssn")
 BASE = 4
+# Bins of the margin, in which candidates are counted for the thresholds: so many to 1, from -LIMIT to LIMIT.
+FINE, LIMIT = 32, 30
 
 _LOCAL = frozenset(string.ascii_letters + string.digits + "._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -251,6 +255,12 @@ def boost(x: np.ndarray, y: np.ndarray, fit: Fit) -> Trees:
     return model
 
 
+def iban(country: str, account: str) -> str:
+    """An account number with its check digits."""
+    rest = int("".join(str(int(c, 36)) for c in account + country + "00")) % 97
+    return f"{country}{98 - rest:02d}{account}"
+
+
 def examples() -> list[tuple[str, int, int, int]]:
     """Written examples (text, start, kind, end), positive and negative by ``weak_label``."""
     rng = np.random.default_rng(5)
@@ -263,6 +273,12 @@ def examples() -> list[tuple[str, int, int, int]]:
                   f"ssn {num(3)}-{num(2)}-{num(4)} of", f"call ({num(3)}) {num(3)}-{num(4)} now", f"id {num(4)} {num(4)} {num(4)} {num(4)} x",
                   f"mail {word(6)} (at) {word(7)} (dot) com", f"part {word(4)}{num(14)} of", f"/{word(8)}/{num(8)}/{word(9)}.html x",
                   f"iban DE{num(20)} here", f"code {word(2, string.ascii_uppercase)}{num(16)} there", f"build-{num(8)}-{word(8)}-{num(6)} is"]
+    banks = (("DE", 0, 18), ("FR", 0, 23), ("ES", 0, 20), ("GB", 4, 14), ("NL", 4, 10), ("CH", 0, 17))
+    for i in range(120):
+        country, letters, n = banks[i % len(banks)]
+        s = iban(country, word(letters, string.ascii_uppercase) + num(n))
+        s = s if i // len(banks) % 2 else " ".join(s[k:k + 4] for k in range(0, len(s), 4))
+        texts.append((f"iban {s} here", f"pay to {s}, please", f"konto: {s}.")[i % 5 % 3])
     return [(t, *c) for t in texts for c in candidates(t)]
 
 
@@ -278,22 +294,57 @@ def fit_trees(docs: DataFrame, fit: Fit = Fit(), id_col: str = "doc_id", text_co
         return [([(features(t, *c), weak_label(t, *c)) for c in candidates(t)],) for t in texts]
 
     each = (map_texts(rows, "id", kinds, propose).select("id", F.posexplode("found").alias("i", "c"))
-            .select("id", "i", "c.x", "c.y").orderBy(F.xxhash64("id", "i"), "id", "i").limit(fit.max_candidates))
-    got = [(r["x"], r["y"]) for r in each.collect()]
-    got += [(features(*e), weak_label(*e)) for e in examples()]
+            .select("id", "i", "c.x", "c.y", F.xxhash64("id").alias("key"))
+            .orderBy(F.xxhash64("id", "i"), "id", "i").limit(fit.max_candidates))
+    got = [(r["x"], r["y"], (r["key"], r["i"])) for r in each.collect()]
+    written = [(features(*e), weak_label(*e), None) for e in examples()]
+    held = np.random.default_rng(fit.seed).random(len(got) + len(written)) < 0.3
+    got += written
     x, y = np.array([g[0] for g in got]), np.array([g[1] for g in got], float)
-    held = np.random.default_rng(fit.seed).random(len(y)) < 0.3
     model = boost(x[~held], y[~held], fit)
-    p = model.score(x[held])
-    for kind in range(len(KINDS)):
-        own = x[held][:, 0] == kind
-        order = np.argsort(-p[own], kind="stable")
-        right = np.cumsum(y[held][own][order]) / np.arange(1, own.sum() + 1)
-        good = np.flatnonzero(right >= fit.precision)
-        model.thresholds[kind] = max(0.5, float(p[own][order][good[-1]])) if len(good) else 1.1
+    counts = counted(src, model, [g[2] for g, z in zip(got, held) if g[2] and not z])
+    for g, z, at in zip(got, held, bins(model.margin(x))):
+        if z and not g[2]:
+            counts[(int(g[0][0]), at, g[1])] += 1
+    model.thresholds = {kind: threshold(counts, kind, fit) for kind in range(len(KINDS))}
     return model
 
 
+def bins(margin: np.ndarray) -> list[int]:
+    return np.floor(np.clip(margin, -LIMIT, LIMIT) * FINE).astype(int).tolist()
+
+
+def counted(src: DataFrame, model: Trees, fitted: list[tuple[int, int]]) -> Counter:
+    """{(kind, bin of the margin, weak label): candidates} over all documents, without the fitted ones."""
+    spark = src.sparkSession
+    shared = spark.sparkContext.broadcast(model)
+
+    def each(texts: list[str]) -> list[tuple]:
+        found = [candidates(t) for t in texts]
+        flat = [(t, c) for t, cs in zip(texts, found) for c in cs]
+        if not flat:
+            return [([],)] * len(texts)
+        at = iter(bins(shared.value.margin(np.array([features(t, *c) for t, c in flat]))))
+        return [([(c[1], next(at), weak_label(t, *c)) for c in cs],) for t, cs in zip(texts, found)]
+
+    rows = (map_texts(src, "id", "found array<struct<kind:int,bin:int,y:int>>", each)
+            .select(F.xxhash64("id").alias("key"), F.posexplode("found").alias("i", "c")))
+    gone = F.broadcast(spark.createDataFrame(fitted, "key long, i int"))
+    found = rows.join(gone, ["key", "i"], "left_anti").groupBy("c.kind", "c.bin", "c.y").count()
+    return Counter({(r["kind"], r["bin"], r["y"]): r["count"] for r in found.collect()})
+
+
+def threshold(counts: Counter, kind: int, fit: Fit) -> float:
+    """The least score, of 0.5 or more, at or over which the wanted precision holds; 1.1 if there is none."""
+    best, right, total = 1.1, 0, 0
+    for at in sorted({a for k, a, _ in counts if k == kind and a >= 0}, reverse=True):
+        right += counts[(kind, at, 1)]
+        total += counts[(kind, at, 0)] + counts[(kind, at, 1)]
+        if right >= fit.precision * total:
+            best = 1 / (1 + math.exp(-at / FINE))
+    return best
+
+
 # ------------------------------------------------------------------ operator
 
 def added_spans(texts: list[str], base: list[list], model: Trees) -> list[list[tuple[int, int, int]]]:

@@ -235,6 +235,30 @@ def test_pii_documents(spark):
     assert pii.find_pii(docs.limit(0), pii.fit_trees(docs.limit(0))).collect() == []
 
 
+def test_valid_account_numbers_outside_the_fit_sample_are_found(spark):
+    rng = random.Random(12)
+    ibans = ["DE89370400440532013000", "GB29 NWBK 6016 1331 9268 19", "FR1420041010050500013M02606", "NL91 ABNA 0417 1643 00"]
+    assert all(pii.iban_ok(s) for s in ibans)
+    plain = [(i, " ".join(f"w{rng.randint(0, 50)}" for _ in range(20))) for i in range(60)]
+    rows = plain + [(100 + i, f"please pay to {s} by monday") for i, s in enumerate(ibans)]
+    rows += [(200 + i, f"part AB{rng.randint(10, 99)}{rng.randint(10 ** 15, 10 ** 16 - 1)} by monday") for i in range(20)]
+    docs = documents(spark, rows)
+    model = pii.fit_trees(docs.filter("doc_id < 100"))
+    spans = {r["doc_id"]: r["spans"] for r in pii.find_pii(docs, model).collect()}
+    assert [f"iban:14:{14 + len(s)}" in spans[100 + i] for i, s in enumerate(ibans)] == [True] * len(ibans)
+    assert sum("iban" in spans[200 + i] for i in range(20)) == sum(pii.iban_ok(t.split()[1]) for i, t in rows if i >= 200)
+
+
+def test_pii_thresholds_count_the_candidates_of_all_documents(spark):
+    rows = [(i, f"ssn 123-45-{i:04d} of") for i in range(1000, 1300)] + [(None, "ssn 123-45-6789 of")]
+    model = pii.Trees(0.0, [], 3, {})
+    src = pii.with_text(documents(spark, rows), "doc_id", "text")
+    key = src.selectExpr("xxhash64(id) as key").filter("id = 1000").first()["key"]
+    assert pii.counted(src, model, [(key, 0)]) == {(6, 0, 1): 300}
+    assert pii.threshold(Counter({(6, 64, 1): 97, (6, 64, 0): 3, (6, 32, 0): 1, (6, -5, 1): 99}), 6, pii.Fit()) == pytest.approx(1 / (1 + np.exp(-2)))
+    assert pii.threshold(Counter({(6, 64, 1): 9, (6, 64, 0): 3}), 6, pii.Fit()) == 1.1
+
+
 def test_boosted_trees_learn_a_rule():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(4000, 6))
