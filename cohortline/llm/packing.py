@@ -44,15 +44,17 @@ class WordIds:
     """Packed ids of texts; words are encoded by the tokenizer once and remembered.
 
     The tokenizer treats what stands between white space separately, so a text's ids are those of its
-    words in turn. Only characters that every version takes for white space cut.
+    words in turn. Only characters that every version takes for white space cut. A special token's text
+    is read as that token where it stands, as the library does by default, unless ``literal``; such words hold
+    signs, so the tokenizer gets them whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, literal: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = literal
         self.closes = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self.closes[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
         self.forget()
@@ -150,7 +152,7 @@ class WordIds:
 
 @lru_cache(maxsize=2)
 def word_ids(path: str) -> WordIds:
-    return WordIds(path)
+    return WordIds(path, literal=False)
 
 
 def tokenized_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END, with_ids: bool = False,

@@ -85,6 +85,19 @@ def test_word_ids_equal_the_library():
         assert own.encode(part) == want
 
 
+def test_special_tokens_are_read_as_the_library_does(spark):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(WORD)
+    texts = ["hello <|endoftext|> x", "in<|endoftext|>side a word", "<|startoftext|>", "Two<|endoftext|><|startoftext|>. <|EndOfText|>",
+             "<|endoftext|", "é<|endoftext|>\u0301 (<|endoftext|>)", "x" * 50 + "<|endoftext|>" * 300] + odd_texts(2000, 10)
+    assert plain.encode(texts[0], add_special_tokens=False).ids == [3306, 49407, 343]
+    want = [np.array(e.ids, "<u4").tobytes() for e in plain.encode_batch(texts, add_special_tokens=False)]
+    assert packing.WordIds(WORD, literal=False).encode(texts) == want
+    got = packing.tokenized_pieces(documents(spark, list(enumerate(texts))), WORD, with_ids=True).collect()
+    assert {r["doc_id"]: r["ids"] for r in got} == {i: [*np.frombuffer(w, "<u4").tolist(), 1] for i, w in enumerate(want)}
+
+
 def plain_best_fit(lengths, capacity):
     gaps: list[int] = []
     for x in sorted(lengths, reverse=True):
