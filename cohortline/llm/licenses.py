@@ -4,7 +4,8 @@ A notice may be met with up to ``errors`` insertions, deletions or substitutions
 its normal form (words in lower case, joined by one space). Cut into ``errors + 1`` parts, one part
 must then stand unchanged (pigeonhole). One automaton over all parts finds those exact seeds; around
 each seed a window just wide enough for the whole notice goes to the regex library's bounded-error
-matching, which settles the edits and the span.
+matching, which settles the edits and the span. Each seed's window is searched by itself, and what stands beside
+a best match in it again; of overlapping matches of a notice the one with fewer errors, then the first, is kept.
 
 Defined results: a null text counts as empty; a text without words has null first and last word,
 empty labels and score 0; every input row has one output row, repeated ids included; other columns
@@ -13,6 +14,7 @@ are left out. Words are runs of ASCII letters and digits and of any non-ASCII ch
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -91,22 +93,37 @@ class Scanner:
 
     def fuzzy(self, line: str) -> list[tuple[int, int, int, int]]:
         """(notice, begin, end, errors) of the verified notices, in characters of ``line``."""
-        windows: dict[int, list[list[int]]] = {}
+        windows: dict[int, dict[int, int]] = {}
         for last, (length, where) in self.automaton.iter(line):
             for i, offset in where:
                 notice = self.notices[i]
                 begin = max(0, last + 1 - length - offset - notice.errors - 1)
                 end = min(len(line), last + 1 - length - offset + len(notice.text) + notice.errors + 1)
-                mine = windows.setdefault(i, [])
-                if mine and begin <= mine[-1][1]:
-                    mine[-1][0], mine[-1][1] = min(mine[-1][0], begin), max(mine[-1][1], end)
-                else:
-                    mine.append([begin, end])
+                if end < len(line) and line[end] != " ":       # a word cut by the end is no part of a match
+                    end = line.rfind(" ", begin, end) + 1
+                mine = windows.setdefault(i, {})
+                mine[begin] = max(mine.get(begin, 0), end)
         out = []
         for i, mine in windows.items():
-            for begin, end in mine:
-                for m in self.patterns[i].finditer(line, begin, end):
-                    out.append((i, m.start(), m.end(), sum(m.fuzzy_counts)))
+            found = {m for begin, end in mine.items() for m in self.matches(i, line, begin, end)}
+            begins, ends = [], []       # of the kept matches, which do not overlap
+            for errors, begin, end in sorted(found):
+                at = bisect_left(begins, begin)
+                if (at == 0 or ends[at - 1] <= begin) and (at == len(begins) or end <= begins[at]):
+                    begins.insert(at, begin), ends.insert(at, end)
+                    out.append((i, begin, end, errors))
+        return out
+
+    def matches(self, i: int, line: str, begin: int, end: int) -> list[tuple[int, int, int]]:
+        """(errors, begin, end) of the best match in a stretch, and of those in what is left on both sides."""
+        least = max(1, len(self.notices[i].text) - self.notices[i].errors)
+        out, left = [], [(begin, end)]
+        while left:
+            a, b = left.pop()
+            m = self.patterns[i].search(line, a, b) if b - a >= least else None
+            if m and m.start() < m.end():
+                out.append((sum(m.fuzzy_counts), m.start(), m.end()))
+                left += [(a, m.start()), (m.end(), b)]
         return out
 
     def scan(self, text: str) -> tuple:

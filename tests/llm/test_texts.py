@@ -193,6 +193,28 @@ def test_notices_with_edits_are_found_and_others_not():
     assert scan("Licensed under the Apache Licence, Version 2.0")[7] == [("apache", 0, 8, 1)]
 
 
+def test_notices_beside_better_ones_are_found():
+    scan = licenses.scanner(tuple(licenses.PHRASES.items()), licenses.NOTICES).scan
+    edited, exact = "Licensed under the Apache Licenze, Version 2.0", "Licensed under the Apache License, Version 2.0"
+    assert scan(f"{edited} {exact}")[7] == [("apache", 0, 8, 1), ("apache", 8, 16, 0)]
+    assert scan(f"{exact} {edited}")[7] == [("apache", 0, 8, 0), ("apache", 8, 16, 1)]
+    rng = random.Random(5)
+    for notice in licenses.NOTICES:
+        scan = licenses.scanner((), (notice,)).scan
+        inner, n = [k for k, c in enumerate(notice.text) if c != " " and k], len(notice.text.split())
+        for _ in range(20):
+            words, want = [], []
+            for _ in range(rng.randint(2, 6)):
+                s, errors = list(notice.text), rng.randint(0, notice.errors)
+                for k in rng.sample(inner, errors):
+                    s[k] = "é"
+                words += ["xyzzy"] * rng.choice([0, 0, 1, 30])
+                want.append((notice.label, len(words), len(words) + n, errors))
+                words += "".join(s).split(" ")
+            assert scan(" ".join(words))[7] == want
+    assert len(licenses.scanner((), licenses.NOTICES).scan((edited + "\n") * 3000)[7]) == 3000
+
+
 def test_seeds_cover_the_notice():
     for notice in (*licenses.NOTICES, Notice("x", "abc", 1)):
         assert "".join(s for s, _ in licenses.seeds(notice)) == notice.text
