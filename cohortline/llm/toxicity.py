@@ -2,8 +2,8 @@
 
 A word is the sum of hashed embeddings (of the word, and of its first four and five bytes, which
 inflected forms share). Filters of several widths run over the words of a whole text; the largest response of
-each filter is kept, and a logistic layer turns these into a probability, scaled on labelled rows
-that took no part in the fit. Thresholds by language are calibrated on all learnable labelled rows
+each filter is kept, and a logistic layer turns these into a probability. Its scale and the thresholds by
+language are calibrated on all learnable labelled rows
 that took no part in the fit, long ones too: the executors score and count them. A language's precision is
 shrunk towards that of all languages together, so a language of few or no labels has about the pooled threshold.
 
@@ -31,6 +31,7 @@ BITS = 16          # size of the embedding table
 PREFIXES = (4, 5)  # bytes of a word that have an embedding of their own
 PAD = 3            # words of padding after each text: the width of the widest filter
 BINS = 1000        # of the scores from 0 to 1, for the thresholds
+FINE, LIMIT = 64, 32   # bins of the logits, for the scale: so many to 1, from -LIMIT to LIMIT
 
 
 @dataclass(frozen=True)
@@ -157,15 +158,16 @@ def train(texts: list[np.ndarray], y: np.ndarray, fit: Fit) -> Model:
     return model
 
 
-def platt(logits: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of a logistic scaling, by gradient descent on smoothed targets."""
-    n1, n0 = y.sum(), len(y) - y.sum()
+def platt(logits: np.ndarray, y: np.ndarray, rows: np.ndarray) -> tuple[float, float]:
+    """Slope and shift of a logistic scaling, by gradient descent on smoothed targets; ``rows``: how many have each logit."""
+    n1, n0 = rows[y > 0].sum(), rows[y == 0].sum()
     t = np.where(y > 0, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
-    spread = max(float(logits.std()), 1e-6)
+    share = rows / rows.sum()
+    spread = max(float(np.sqrt(share @ (logits - share @ logits) ** 2)), 1e-6)
     z, s, c = logits / spread, 1.0, 0.0
     for _ in range(2000):
         g = 1 / (1 + np.exp(-np.clip(s * z + c, -30, 30))) - t
-        s, c = s - 0.5 * float((g * z).mean()), c - 0.5 * float(g.mean())
+        s, c = s - 0.5 * float(share @ (g * z)), c - 0.5 * float(share @ g)
     return max(s, 0.0) / spread, c
 
 
@@ -206,6 +208,14 @@ def labelled_logits(src: DataFrame, known: DataFrame, fitted: np.ndarray, model:
     return store(rows.select("id.id", "id.lang", "logit").join(apart, "id").select("lang", "y", "logit"))
 
 
+def counted_logits(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Binned logits, labels, and how many rows have them."""
+    near = F.round(F.greatest(F.least("logit", F.lit(float(LIMIT))), F.lit(-float(LIMIT))) * FINE).cast("int")
+    found = sorted((r["at"], r["y"], r["count"]) for r in rows.groupBy(near.alias("at"), "y").count().collect())
+    at, y, n = np.array(found, float).T
+    return at / FINE, y, n
+
+
 def counted_scores(rows: DataFrame, scale: tuple[float, float]) -> dict:
     """{(language, score bin, label): rows} of the scores from 0.5 on."""
     score = 1 / (1 + F.exp(-(F.lit(scale[0]) * F.col("logit") + F.lit(scale[1]))))
@@ -255,12 +265,9 @@ def fit_model(docs: DataFrame, labels: DataFrame, fit: Fit = Fit(), id_col: str
     blank = max(1, int(fit.blank_share * (~apart).sum()))
     model = train([x for x, z in zip(texts, apart) if not z] + [none] * blank,
                   np.concatenate([y[~apart], np.zeros(blank, np.float32)]), fit)
-    held = np.flatnonzero(apart) if apart.any() else np.arange(len(y))
-    bounds = np.concatenate([[0], np.cumsum([texts[i].shape[1] for i in held])])
-    ids = np.concatenate([texts[i] for i in held], axis=1)
-    model.scale = platt(model.logits(ids, bounds), y[held])
     fitted = np.array([r["key"] for r, z in zip(got, apart) if not z], np.int64) if apart.any() else np.zeros(0, np.int64)
     labelled = labelled_logits(src, known, fitted, model)
+    model.scale = platt(*counted_logits(labelled))
     model.threshold, model.thresholds = thresholds(counted_scores(labelled, model.scale), fit)
     return model
 

@@ -384,6 +384,18 @@ def test_thresholds_count_all_labelled_rows_outside_the_fit(spark):
     assert set(flagged.values()) == {model.thresholds["en"]}
 
 
+def test_scale_is_set_on_long_texts_too(spark):
+    rows, labels = toxic_corpus()
+    # the long texts hold clean words only; every third is labelled toxic, so their odds are 1 to 2
+    long = [(5000 + i, "barano" + " baranoso" * 2500) for i in range(300)]
+    more = [(i, 1, int(i % 3 == 0)) for i, _ in long]
+    models = [toxicity.fit_model(documents(spark, rows + long), spark.createDataFrame(some, "doc_id long, quality int, toxic int"))
+              for some in (labels, labels + more)]
+    assert models[0].scale != models[1].scale
+    scores = [toxicity.score_documents(documents(spark, long[:1]), m).first()["score"] for m in models]
+    assert scores[0] + 0.05 < scores[1] < 0.5
+
+
 def test_toxicity_without_labels_or_rows(spark):
     docs = documents(spark, awkward())
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
