@@ -1,7 +1,8 @@
 """Near-duplicate vectors by counting collisions of one-dimensional projections.
 
-Unit vectors are projected on ``PROJECTIONS`` random directions, each an axis along which the vectors are
-sorted. Two vectors collide on an axis if the second lies in a window centred on the first. Only pairs that share a
+Unit vectors are projected on ``PROJECTIONS`` random directions, each an axis. Two vectors collide on an axis if the
+second lies in a window centred on the first. Nothing is sorted along an axis and no window is swept: cells of a grid
+over several axes (as in LSH, at most ``MOST_TABLES`` tables) stand in for the sort. Only pairs that share a
 range of a few axes at once (a table; several tables with shifted ranges) are counted, which keeps the
 work far below all pairs; pairs with enough collisions over all axes are verified by cosine in double precision.
 
