@@ -174,7 +174,7 @@ def platt(logits: np.ndarray, y: np.ndarray, rows: np.ndarray) -> tuple[float, f
 def thresholds(counts: dict, fit: Fit) -> tuple[float, dict]:
     """The pooled threshold, and that of each language, from {(language, bin, label): rows}.
 
-    A threshold is the least score, between 0.5 and the base threshold, at or over which the wanted precision
+    A threshold is the least labelled score, between 0.5 and the base threshold, at or over which the wanted precision
     holds. A language's precision counts the pooled one as ``pooled_weight`` rows more.
     """
     low, high = BINS // 2, round(BINS * fit.base_threshold)
@@ -184,11 +184,11 @@ def thresholds(counts: dict, fit: Fit) -> tuple[float, dict]:
         if at >= low:
             n[names.index(name), min(at, high) - low, y] += rows
     over = n[:, ::-1].cumsum(1)[:, ::-1]       # rows at or over each bin
-    total = over.sum(0)
+    total, seen = over.sum(0), n.sum((0, 2)) > 0
     pooled = total[:, 1] / np.maximum(total.sum(1), 1)
 
     def least(precision: np.ndarray) -> float:
-        good = np.flatnonzero(precision >= fit.precision)
+        good = np.flatnonzero((precision >= fit.precision) & seen)
         return (low + int(good[0])) / BINS if len(good) else fit.base_threshold
 
     own = (over[:, :, 1] + fit.pooled_weight * pooled) / (over.sum(2) + fit.pooled_weight)
