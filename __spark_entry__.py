@@ -9,10 +9,10 @@ from __future__ import annotations
 
 import datetime as dt
 import importlib
-import importlib.util
 import os
 import sys
 import uuid
+import warnings
 from dataclasses import replace
 from collections.abc import Callable
 
@@ -433,11 +433,12 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def _llm():
-    """The document operators' query module, or None where that subpackage is not installed."""
-    specs = [importlib.util.find_spec(name) for name in ("cohortline.llm", "corpus_pipeline")]
-    if not all(spec and spec.origin for spec in specs):
+    """The document operators' query module, or None where it or anything it needs is not installed."""
+    try:
+        return importlib.import_module("cohortline.llm.queries")
+    except ImportError as missing:
+        warnings.warn(f"document operators are left out: {missing}", stacklevel=2)
         return None
-    return importlib.import_module("cohortline.llm.queries")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
