@@ -67,4 +67,21 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component AS component_id
 FROM documents LEFT JOIN n USING (doc_id) JOIN classes ON id = doc_id
 """
 
-ORACLE_SQL = {"op1_warc": OP1, "op4_embedding_near_dedup": OP4, "op7_substring_dedup": OP7, "op10_ngram_join": OP10}
+OP12 = """
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda y: floor(256 * y::DOUBLE)) AS x FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda y: y IS NULL OR NOT isfinite(y))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, list_inner_product(a.x, b.x)::BIGINT AS score
+      FROM e a JOIN e b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+n AS (SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS rank,
+             id AS negative_id, positive_score, score AS negative_score
+      FROM p JOIN s USING (anchor_id)
+      WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score)
+SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""
+
+ORACLE_SQL = {"op1_warc": OP1, "op4_embedding_near_dedup": OP4, "op7_substring_dedup": OP7, "op10_ngram_join": OP10, "op12_hard_negatives": OP12}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import byte_bpe, embeddings, fingerprints, licenses, ngram_join, packing, pii, substrings, toxicity, warc
+from . import byte_bpe, embeddings, fingerprints, hard_negatives, licenses, ngram_join, packing, pii, substrings, toxicity, warc
 from .common import table
 from .oracles import ORACLE_SQL
 
@@ -61,6 +61,10 @@ def op10_ngram_join(spark, sf_dir):
     return ngram_join.join_documents(table(spark, sf_dir, "documents"))
 
 
+def op12_hard_negatives(spark, sf_dir):
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_license_notices": op2_license_notices,
@@ -72,6 +76,7 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_toxicity": op9_toxicity,
     "op10_ngram_join": op10_ngram_join,
+    "op12_hard_negatives": op12_hard_negatives,
     "pipeline": corpus_pipeline.run,
 }
 
