@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import byte_bpe, embeddings, fingerprints, hard_negatives, licenses, ngram_join, packing, pii, substrings, toxicity, warc
+from . import byte_bpe, conversations, embeddings, fingerprints, hard_negatives, licenses, ngram_join, packing, pii, substrings, toxicity, warc
 from .common import table
 from .oracles import ORACLE_SQL
 
@@ -65,6 +65,10 @@ def op12_hard_negatives(spark, sf_dir):
     return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
 
 
+def op13_conversation_repair(spark, sf_dir):
+    return conversations.repair_digests(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_license_notices": op2_license_notices,
@@ -77,6 +81,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_ngram_join": op10_ngram_join,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_conversation_repair": op13_conversation_repair,
     "pipeline": corpus_pipeline.run,
 }
 
