@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import byte_bpe, conversations, embeddings, fingerprints, hard_negatives, licenses, ngram_join, packing, pii, substrings, toxicity, warc
+from . import byte_bpe, conversations, embeddings, fingerprints, hard_negatives, licenses, ngram_join, packing, page_text, pii, substrings, toxicity, warc
 from .common import table
 from .oracles import ORACLE_SQL
 
@@ -61,6 +61,10 @@ def op10_ngram_join(spark, sf_dir):
     return ngram_join.join_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_page_text(spark, sf_dir):
+    return page_text.extract_pages(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op12_hard_negatives(spark, sf_dir):
     return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
 
@@ -80,6 +84,7 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_toxicity": op9_toxicity,
     "op10_ngram_join": op10_ngram_join,
+    "op11_page_text": op11_page_text,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_conversation_repair": op13_conversation_repair,
     "pipeline": corpus_pipeline.run,
