@@ -18,13 +18,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortline.functions.columns import AMOUNT_DECIMALS, safe_percentage
-from cohortline.operators.rollup import KEY, DailyPart, Measure
+from cohortline.operators.rollup import KEY, DailyPart, Measure, in_scope
+from cohortline.params import Scope
 
 
 # PARTITION BY actor_id ORDER BY date, all rows up to the current one.
 RUNNING = "(PARTITION BY actor_id ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
 
 
+def in_days(start=None, end=None) -> Column:
+    """Days of the half-open range [start, end); either side may be open."""
+    return in_scope(F.col("date"), Scope.since(start, end))
+
+
 def _exprs(texts: list[str]) -> list[Column]:
     """Generated columns as SQL expressions: one call to the JVM for each. All names in them are the
     library's own measure names."""
