@@ -23,16 +23,19 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracle_queries as oq  # noqa: E402
 from cohortline.functions.columns import exact  # noqa: E402
-from cohortline.operators import audience, naming, quota, ranking, rules, series  # noqa: E402
+from cohortline.operators import audience, naming, quota, ranking, rules, series, sketches  # noqa: E402
 from cohortline.operators.rollup import (Measure, daily_rollup, fact_part,  # noqa: E402
                                          fx_deals_part, trades_part)
 from cohortline.operators.thresholds import estimate_thresholds, quantile_array  # noqa: E402
 from cohortline.params import Scope, add_months  # noqa: E402
 from cohortline.plans import invitations as inv  # noqa: E402
+from cohortline.plans import sql_objects  # noqa: E402
+from cohortline.plans.stored import SummaryStore, save_series, stored_series  # noqa: E402
 from cohortline.plans.summary import (daily_summary, snapshot_summary, spec_v1,  # noqa: E402
                                       spec_v2, spec_v3, spec_v4, spec_v5)
-from cohortline.session import ensure_checkpoint_dir  # noqa: E402
-from cohortline.sources import load_sources, read_table, register_view, save_table  # noqa: E402
+from cohortline.session import checkpoint, ensure_checkpoint_dir  # noqa: E402
+from cohortline.sources import (catalogue_sources, load_sources, new_database, read_table,  # noqa: E402
+                                register_view, save_sources, save_table)
 
 # Parameters of the checks (the test data covers 2024-01-01 .. 2024-01-30).
 REPORT = dt.date(2024, 1, 21)            # single-day report: previous day 2024-01-20
@@ -45,6 +48,7 @@ T_RANGE = 200.0                           # turnover threshold in the range
 T_DAY = 400.0                             # turnover level for the single day
 LIMIT_A, PCT_A = 25, 15                   # quota: under-limit, shared remainder, below
 LIMIT_B, PCT_B = 7, 50                    # quota: below over the limit, remainder floored at 0
+AUTO_LOW = (10, -1000)                    # contracts crossed, P/L above: reached on the single day
 MULTI = dict(invitation_limit=5, threshold=20, bo_turnover_limit=300.0, withdrawal_limit=100.0,
              profit_limit=50.0, mt5_pnl_limit=100.0)
 
@@ -79,6 +83,28 @@ def _range_active(src):
     return audience.attach_profile(active.select("actor_id", "date", "metric_value", "metric"), src.profile)
 
 
+def _stored_active(src):
+    """The range's active rows as a stored table, as the pipelines keep them."""
+    return checkpoint(_range_active(src))
+
+
+_DATABASES: dict = {}
+
+
+def _database(spark: SparkSession, sf_dir: str) -> str:
+    """The relations as catalogue tables, written once for the same session and folder."""
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
+    if key not in _DATABASES:
+        name = new_database(spark)
+        save_sources(_src(spark, sf_dir), name, _buckets(spark))
+        _DATABASES[key] = name
+    return _DATABASES[key]
+
+
+def _buckets(spark) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _fresh(spark, name: str) -> str:
     """A new table folder for each run; readers of an earlier one keep theirs."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
@@ -179,19 +205,19 @@ def q_label_rules(spark, d):
 
 def q_exclude_rowwise(spark, d):
     src = _src(spark, d)
-    out = audience.exclude_internal(_range_active(src), src.internal_domains, src.statuses, "rowwise")
+    out = audience.exclude_internal(_stored_active(src), src.internal_domains, src.statuses, "rowwise")
     return out.select("actor_id", "date", "metric_value", "country", "email")
 
 
 def q_exclude_strict(spark, d):
     src = _src(spark, d)
-    out = audience.exclude_internal(_range_active(src), src.internal_domains, src.statuses, "strict")
+    out = audience.exclude_internal(_stored_active(src), src.internal_domains, src.statuses, "strict")
     return out.select("actor_id", "date", "metric_value", "country", "email")
 
 
 def q_exclude_unsubscribed(spark, d):
     src = _src(spark, d)
-    out = audience.exclude_unsubscribed(_range_active(src), src.preferences)
+    out = audience.exclude_unsubscribed(_stored_active(src), src.preferences)
     return out.select("actor_id", "date", "metric_value", "country", "email")
 
 
@@ -215,19 +241,23 @@ def q_quota_capped(spark, d):
     return _quota(spark, d, LIMIT_A, PCT_A, "capped")
 
 
-def _rank(spark, d, splits):
-    active = _range_active(_src(spark, d))
+def _rank(spark, d, **how):
+    active = _stored_active(_src(spark, d))
     quotas = quota.quota_table(active, ["country"], PCT_A, LIMIT_A, "shared", with_rows=True)
-    chosen = ranking.rank_and_cut(active, quotas, ["country"], splits=splits)
+    chosen = ranking.rank_and_cut(active, quotas, ["country"], **how)
     return chosen.select("actor_id", "date", "metric_value", "country")
 
 
 def q_rank_and_cut(spark, d):
-    return _rank(spark, d, ranking.SPLITS)
+    return _rank(spark, d)
 
 
 def q_rank_global_sort(spark, d):
-    return _rank(spark, d, 7)   # the same ranks whatever the number of parts
+    return _rank(spark, d, splits=7)   # the same ranks whatever the number of parts
+
+
+def q_rank_by_selection(spark, d):
+    return _rank(spark, d, select_by="metric_value")
 
 
 def q_rank_per_label(spark, d):
@@ -372,6 +402,92 @@ def q_metric_deposit_count(spark, d):
     return rules.select_active(ruled).select("actor_id", "date", "metric_value", "metric")
 
 
+def q_client_names_last_value(spark, d):
+    src = _src(spark, d)
+    return naming.client_names(_all_actors(src), src.clients, "last_value")
+
+
+def q_stored_series(spark, d):
+    """Running totals, LAG and the profile over tables bucketed by actor: no exchange after they are stored."""
+    src, spec = _src(spark, d), spec_v1(HISTORY)
+    database = new_database(spark, "series")
+    save_series(src, spec, database, _buckets(spark))
+    tracked = ["cumulative_bo_turnover_usd", "cumulative_withdrawal_usd"]
+    lagged = rules.with_previous(stored_series(spark, src, spec, database), tracked)
+    return audience.attach_profile(lagged, spark.table(f"{database}.profile")).select(
+        "actor_id", "date", *tracked, *[f"prev_{c}" for c in tracked], "country", "email")
+
+
+def q_incremental_summary(spark, d):
+    """The stored summary carried on: history, a stretch of days, then one more day."""
+    src = _src(spark, d)
+    store = SummaryStore(spark, _fresh(spark, "store"), spec_v1(HISTORY))
+    for first, end in ((HISTORY, SNAP), (SNAP, AS_OF - dt.timedelta(days=1)), (AS_OF - dt.timedelta(days=1), AS_OF)):
+        store.refresh(src, first, end)
+    return store.read()
+
+
+def q_late_facts_summary(spark, d):
+    """Payments of the last days arrive late: a refresh from their first day sets the summary right."""
+    src = _src(spark, d)
+    late = replace(src, payments=src.payments.filter(F.col("ts") < F.lit(START)))
+    store = SummaryStore(spark, _fresh(spark, "store"), spec_v1(HISTORY))
+    store.refresh(late, HISTORY, START)
+    store.refresh(late, START, END)
+    store.refresh(src, START, AS_OF)
+    return store.read()
+
+
+def q_sketched_thresholds(spark, d):
+    """Thresholds of a range of days from the stored daily sketches alone."""
+    stored = checkpoint(sketches.daily_sketches(_v5_running(_src(spark, d))))
+    return sketches.sketched_thresholds(stored, START, END)
+
+
+def q_group_share_bitmaps(spark, d):
+    """Shares of the range from stored daily bitmaps of actors."""
+    active = _stored_active(_src(spark, d))
+    stored = checkpoint(sketches.daily_bitmaps(active, sketches.number_actors(active)))
+    return quota.share_of(sketches.distinct_actors(stored, start=START, end=END), ["country"], PCT_A)
+
+
+def q_invitation_list_catalogue(spark, d):
+    """The range list from catalogue tables instead of the role mapping."""
+    return inv.invitation_list_range(catalogue_sources(spark, _database(spark, d)), START, END, LIMIT_A, INTERVAL_DAYS,
+                                     "bo_turnover_usd", PCT_A, T_RANGE, True, as_of=AS_OF)
+
+
+def q_persistent_view(spark, d):
+    """The summary as a view of the catalogue, read by another session."""
+    database = _database(spark, d)
+    sql_objects.create_summary_view(spark, f"{database}.daily_summary", database, HISTORY, order_by=("actor_id", "date"))
+    return spark.newSession().table(f"{database}.daily_summary")
+
+
+def _by_function(spark, d, mode):
+    database = _database(spark, d)
+    view, function = f"{database}.summary_{mode}", f"{database}.invitations_{mode}"
+    sql_objects.create_summary_view(spark, view, database, HISTORY, profit_loss=mode == "delta")
+    sql_objects.create_invitation_function(spark, function, view, database, mode)
+    return sql_objects.call_function(
+        spark, function, START, END, MULTI["invitation_limit"], MULTI["threshold"], MULTI["bo_turnover_limit"],
+        MULTI["withdrawal_limit"], MULTI["profit_limit"], MULTI["mt5_pnl_limit"])
+
+
+def q_table_function_lag(spark, d):
+    return _by_function(spark, d, "lag")
+
+
+def q_table_function_delta(spark, d):
+    return _by_function(spark, d, "delta")
+
+
+def q_invitation_list_auto_low(spark, d):
+    # the auto rule with thresholds that users of the test data reach on the report's previous day
+    return inv.invitation_list(_src(spark, d), REPORT, 300, "auto", 5, 0, True,
+                               auto_thresholds=AUTO_LOW, strict_auto_pnl=True)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_rollup": q_daily_rollup,
     "running_totals": q_running_totals,
@@ -423,6 +539,18 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quantile_array": q_quantile_array,
     "metric_deposit_count": q_metric_deposit_count,
     "metric_profit_usd": q_metric_profit_usd,
+    "rank_by_selection": q_rank_by_selection,
+    "client_names_last_value": q_client_names_last_value,
+    "stored_series": q_stored_series,
+    "incremental_summary": q_incremental_summary,
+    "late_facts_summary": q_late_facts_summary,
+    "sketched_thresholds": q_sketched_thresholds,
+    "group_share_bitmaps": q_group_share_bitmaps,
+    "invitation_list_catalogue": q_invitation_list_catalogue,
+    "persistent_view": q_persistent_view,
+    "table_function_lag": q_table_function_lag,
+    "table_function_delta": q_table_function_delta,
+    "invitation_list_auto_low": q_invitation_list_auto_low,
 }
 
 
@@ -451,7 +579,7 @@ def oracle_sql() -> dict[str, str]:
     return (llm.ORACLE_SQL if llm else {}) | oq.oracle_map(
         report=REPORT, snap=SNAP, v5_start=V5_START, start=START, end=END, v4_start=V4_START,
         history=HISTORY, t_range=T_RANGE, t_day=T_DAY, limit_a=LIMIT_A, pct_a=PCT_A,
-        limit_b=LIMIT_B, pct_b=PCT_B, multi=MULTI, orders_report=ORDERS_REPORT,
+        limit_b=LIMIT_B, pct_b=PCT_B, multi=MULTI, auto_low=AUTO_LOW, orders_report=ORDERS_REPORT,
         orders_start=add_months(ORDERS_REPORT, -LOOKBACK))
 
 

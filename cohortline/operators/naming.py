@@ -15,6 +15,11 @@ def client_names(selected: DataFrame, clients: DataFrame, mode: str = "max") ->
     LAST_VALUE uses the default frame, so every row sees its own name and the
     outer MAX picks the greatest). ``latest``: the names of the latest client
     row by ``joined_at``, ties broken by ``client_seq``.
+    ``last_value``: LAST_VALUE with its default RANGE frame taken literally. A row sees the last row of its
+    peers, the client rows of the same ``joined_at`` (NULL ones are peers too); the last peer is the one with the greatest
+    ``client_seq`` (then the greatest names, NULL least). The outer MAX then takes the greatest of these, so it
+    differs from ``max`` only where rows tie on ``joined_at``. Peers are rolled up first, a hot
+    actor's rows never meet in one window.
     The client relation is semi-joined to the selected actors first and rolled
     up per actor with map-side partial aggregation.
     """
@@ -27,6 +32,11 @@ def client_names(selected: DataFrame, clients: DataFrame, mode: str = "max") ->
         names = rows.groupBy("actor_id").agg(latest.alias("_n")).select(
             "actor_id", F.col("_n.first_name").alias("first_name"),
             F.col("_n.last_name").alias("last_name"))
+    elif mode == "last_value":
+        last = F.max(F.struct("client_seq", "first_name", "last_name"))
+        peers = rows.groupBy("actor_id", "joined_at").agg(last.alias("_n"))
+        names = peers.groupBy("actor_id").agg(F.max("_n.first_name").alias("first_name"),
+                                              F.max("_n.last_name").alias("last_name"))
     else:
         raise ValueError(f"unknown mode {mode!r}")
     return selected.join(names, "actor_id", "left")

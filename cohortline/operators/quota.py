@@ -1,14 +1,14 @@
 """Per-group shares and quotas.
 
-Everything here works on one row per group (country, or country and label). Grand
-totals (sum of the counts, sum of the ``below`` counts, number of ``above`` groups)
-are aggregates of one row, joined to that table; there is no window over all rows.
-Nothing runs while a query is built.
+The active set is read once: one aggregation gives a row per group (country, or country and label), and
+grand totals (sum of the counts, sum of the ``below`` counts, number of ``above`` groups) are windows over those
+rows, as ``SUM(COUNT(DISTINCT ..)) OVER ()`` is. Only the group table, a row per country, passes such a
+window. Nothing runs while a query is built.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortline.functions.columns import round_half_up_div, rounded_share, whole_percent
@@ -30,12 +30,21 @@ def group_share(df: DataFrame, keys=("country",), percentage_threshold: float =
     keys = list(keys)
     counts = df.groupBy(*keys).agg(F.count_distinct(actor).alias("count_user"),
                                    F.count(F.lit(1)).alias("count_rows"))
+    return share_of(counts, keys, percentage_threshold, exact_share, with_rows)
+
+
+def over_groups() -> Window:
+    """All rows of a group table."""
+    return Window.partitionBy(F.lit(0))
+
+
+def share_of(counts: DataFrame, keys, percentage_threshold: float = 5, exact_share: bool = False,
+             with_rows: bool = False) -> DataFrame:
+    """C16 from the counts of each group (``count_user``), however these were found."""
     share = whole_percent if exact_share else rounded_share
-    pct = share(F.col("count_user"), F.col("_total")).cast("double")
-    one_row = counts.agg(F.sum("count_user").alias("_total"))
-    share_columns = [*keys, "count_user", pct.alias("percentage"),
-                     _status(pct, percentage_threshold).alias("status")]
-    return counts.crossJoin(F.broadcast(one_row)).select(*share_columns, *(["count_rows"] if with_rows else []))
+    pct = share(F.col("count_user"), F.sum("count_user").over(over_groups())).cast("double")
+    shared = counts.withColumn("percentage", pct).withColumn("status", _status(F.col("percentage"), percentage_threshold))
+    return shared.select(*keys, "count_user", "percentage", "status", *(["count_rows"] if with_rows else []))
 
 
 def quota_shared(share: DataFrame, invitation_limit: int) -> DataFrame:
@@ -46,16 +55,15 @@ def quota_shared(share: DataFrame, invitation_limit: int) -> DataFrame:
     limit = F.lit(int(invitation_limit)).cast("bigint")
     below = F.when(F.col("status") == "below", F.col("count_user"))
     above = F.when(F.col("status") == "above", F.lit(1))
-    one_row = share.agg(F.coalesce(F.sum(below), F.lit(0)).cast("bigint").alias("_below_sum"),
-                        F.count(above).alias("_n_above"))
+    totals = share.withColumn("_below_sum", F.coalesce(F.sum(below).over(over_groups()), F.lit(0)).cast("bigint")) \
+        .withColumn("_n_above", F.count(above).over(over_groups()))
     remainder = round_half_up_div(F.greatest(limit - F.col("_below_sum"), F.lit(0).cast("bigint")),
                                   F.col("_n_above"))
     n = F.col("count_user")
     final = (F.when(n <= limit, n)
              .when(F.col("status") == "below", n)
              .when(F.col("status") == "above", remainder))
-    return (share.crossJoin(F.broadcast(one_row)).withColumn("final_number_user", final.cast("bigint"))
-            .drop("_below_sum", "_n_above"))
+    return totals.withColumn("final_number_user", final.cast("bigint")).drop("_below_sum", "_n_above")
 
 
 def quota_capped(share: DataFrame, invitation_limit: int) -> DataFrame:

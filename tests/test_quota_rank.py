@@ -132,3 +132,73 @@ def test_rank_with_null_order_values(spark):
     by_sort = ranking.rank_and_cut(df.repartition(4), q, ["country"], order, splits=5)
     assert sorted(map(tuple, by_window.collect())) == sorted(map(tuple, by_sort.collect()))
     assert by_window.count() == 26
+
+
+def _rank_cases(rng):
+    values = [None, float("nan"), 0.0, -1.0, 5.0, 5.0, 5.0, 1e300, float("-inf")] + [rng.random() for _ in range(40)]
+    for shape in range(6):
+        rows = [(k, day(1 + k % 3), rng.choice(values) if shape % 2 else float(rng.randint(0, 3)),
+                 rng.choice(["hot", "hot", "hot", "b", "c", None])) for k in range(rng.randint(0, 400))]
+        yield rows, {g: rng.choice([None, 0, 1, 7, 60, 500]) for g in ("hot", "b", "c")}
+
+
+def test_selection_equals_ranking(spark):
+    rng = random.Random(4)
+    for rows, limits in _rank_cases(rng):
+        df = spark.createDataFrame(rows, SCHEMA)
+        table = spark.createDataFrame(list(limits.items()), "country string, final_number_user long")
+        ranked = ranking.rank_and_cut(df, table)
+        for bins in (2, 16):
+            counted = table.join(df.groupBy("country").agg(F.count("*").alias("_rows")), "country")
+            order = [F.col("metric_value").desc(), F.col("actor_id"), F.col("date")]
+            got = ranking.select_top(df.join(counted, "country"), ["country"], "metric_value", order, "final_number_user", "_rows", bins=bins)
+            assert got.columns == ranked.columns
+            assert sorted(map(str, got.collect())) == sorted(map(str, ranked.collect()))
+
+
+def test_selection_ranks_few_rows_of_a_hot_group(spark):
+    df = spark.range(40000).select(F.col("id").alias("actor_id"), F.lit(day(2)).alias("date"),
+                                   F.expr("double(xxhash64(id) % 1000000)").alias("metric_value"), F.lit("hot").alias("country"))
+    table = spark.createDataFrame([("hot", 3000, 40000)], "country string, final_number_user long, count_rows long")
+    ranked = []
+    whole = ranking.top_per_group
+
+    def watched(rows, *rest):
+        ranked.append(rows.count())
+        return whole(rows, *rest)
+    ranking.top_per_group = watched
+    try:
+        got = ranking.rank_and_cut(df, table, select_by="metric_value")
+    finally:
+        ranking.top_per_group = whole
+    assert ranked[0] <= 2 * 40000 / ranking.BINS
+    want = [r.actor_id for r in df.orderBy(F.desc("metric_value"), "actor_id").limit(3000).collect()]
+    assert sorted(want) == sorted(r.actor_id for r in got.collect())
+
+
+def test_shares_read_the_active_set_once(spark, tmp_path):
+    _active(spark, {"a": 30, "b": 10}).write.parquet(str(tmp_path / "active"))
+    table = quota.quota_table(spark.read.parquet(str(tmp_path / "active")), ["country"], 20, 5, "shared", with_rows=True)
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Join" not in plan
+
+
+def test_last_value_sees_its_peers(spark):
+    when = [dt.datetime(2024, 1, d) for d in (1, 2, 3)]
+    rows = [(1, "a", "z", when[0], 1), (1, "c", "x", when[1], 2), (1, "b", "y", when[1], 3),     # c ties with b, which comes after it
+            (2, "q", None, when[0], 5), (2, "p", "k", when[0], 4), (3, "m", "n", None, 1), (3, "l", "o", None, 2),
+            (4, None, None, when[0], 1), (6, "not", "asked", when[2], 1)]
+    clients = spark.createDataFrame(rows, "actor_id long, first_name string, last_name string, joined_at timestamp_ntz, client_seq long")
+    selected = spark.createDataFrame([(k,) for k in range(1, 6)], "actor_id long")
+
+    def brute(actor):
+        seen = []
+        for r in (r for r in rows if r[0] == actor):
+            peers = [p for p in rows if p[0] == actor and p[3] == r[3]]
+            seen.append(max(peers, key=lambda p: p[4]))
+        first, last = [s[1] for s in seen if s[1]], [s[2] for s in seen if s[2]]
+        return actor, max(first, default=None), max(last, default=None)
+    got = naming.client_names(selected, clients, "last_value")
+    assert sorted(map(tuple, got.collect())) == [brute(k) for k in range(1, 6)]
+    by_max = {r.actor_id: r.first_name for r in naming.client_names(selected, clients, "max").collect()}
+    assert by_max[1] == "c" and {r.actor_id: r.first_name for r in got.collect()}[1] == "b"
