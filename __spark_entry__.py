@@ -48,7 +48,7 @@ T_RANGE = 200.0                           # turnover threshold in the range
 T_DAY = 400.0                             # turnover level for the single day
 LIMIT_A, PCT_A = 25, 15                   # quota: under-limit, shared remainder, below
 LIMIT_B, PCT_B = 7, 50                    # quota: below over the limit, remainder floored at 0
-AUTO_LOW = (10, -1000)                    # contracts crossed, P/L above: reached on the single day
+AUTO_REPORT, AUTO_LOW = dt.date(2024, 1, 4), (4, -1000)   # an early report, when many cross four contracts
 MULTI = dict(invitation_limit=5, threshold=20, bo_turnover_limit=300.0, withdrawal_limit=100.0,
              profit_limit=50.0, mt5_pnl_limit=100.0)
 
@@ -483,8 +483,8 @@ def q_table_function_delta(spark, d):
 
 
 def q_invitation_list_auto_low(spark, d):
-    # the auto rule with thresholds that users of the test data reach on the report's previous day
-    return inv.invitation_list(_src(spark, d), REPORT, 300, "auto", 5, 0, True,
+    # the auto rule on a day and with thresholds that select users of the test data
+    return inv.invitation_list(_src(spark, d), AUTO_REPORT, 300, "auto", 5, 0, True,
                                auto_thresholds=AUTO_LOW, strict_auto_pnl=True)
 
 
@@ -579,7 +579,7 @@ def oracle_sql() -> dict[str, str]:
     return (llm.ORACLE_SQL if llm else {}) | oq.oracle_map(
         report=REPORT, snap=SNAP, v5_start=V5_START, start=START, end=END, v4_start=V4_START,
         history=HISTORY, t_range=T_RANGE, t_day=T_DAY, limit_a=LIMIT_A, pct_a=PCT_A,
-        limit_b=LIMIT_B, pct_b=PCT_B, multi=MULTI, auto_low=AUTO_LOW, orders_report=ORDERS_REPORT,
+        limit_b=LIMIT_B, pct_b=PCT_B, multi=MULTI, auto_low=(AUTO_REPORT, *AUTO_LOW), orders_report=ORDERS_REPORT,
         orders_start=add_months(ORDERS_REPORT, -LOOKBACK))
 
 
