@@ -205,19 +205,19 @@ def q_label_rules(spark, d):
 
 def q_exclude_rowwise(spark, d):
     src = _src(spark, d)
-    out = audience.exclude_internal(_stored_active(src), src.internal_domains, src.statuses, "rowwise")
+    out = audience.exclude_internal(_range_active(src), src.internal_domains, src.statuses, "rowwise")
     return out.select("actor_id", "date", "metric_value", "country", "email")
 
 
 def q_exclude_strict(spark, d):
     src = _src(spark, d)
-    out = audience.exclude_internal(_stored_active(src), src.internal_domains, src.statuses, "strict")
+    out = audience.exclude_internal(_range_active(src), src.internal_domains, src.statuses, "strict")
     return out.select("actor_id", "date", "metric_value", "country", "email")
 
 
 def q_exclude_unsubscribed(spark, d):
     src = _src(spark, d)
-    out = audience.exclude_unsubscribed(_stored_active(src), src.preferences)
+    out = audience.exclude_unsubscribed(_range_active(src), src.preferences)
     return out.select("actor_id", "date", "metric_value", "country", "email")
 
 
@@ -241,23 +241,22 @@ def q_quota_capped(spark, d):
     return _quota(spark, d, LIMIT_A, PCT_A, "capped")
 
 
-def _rank(spark, d, **how):
-    active = _stored_active(_src(spark, d))
+def _rank(active, **how):
     quotas = quota.quota_table(active, ["country"], PCT_A, LIMIT_A, "shared", with_rows=True)
     chosen = ranking.rank_and_cut(active, quotas, ["country"], **how)
     return chosen.select("actor_id", "date", "metric_value", "country")
 
 
 def q_rank_and_cut(spark, d):
-    return _rank(spark, d)
+    return _rank(_range_active(_src(spark, d)))
 
 
 def q_rank_global_sort(spark, d):
-    return _rank(spark, d, splits=7)   # the same ranks whatever the number of parts
+    return _rank(_range_active(_src(spark, d)), splits=7)   # the same ranks whatever the number of parts
 
 
 def q_rank_by_selection(spark, d):
-    return _rank(spark, d, select_by="metric_value")
+    return _rank(_stored_active(_src(spark, d)), select_by="metric_value")
 
 
 def q_rank_per_label(spark, d):
@@ -453,7 +452,7 @@ def q_group_share_bitmaps(spark, d):
 
 def q_invitation_list_catalogue(spark, d):
     """The range list from catalogue tables instead of the role mapping."""
-    return inv.invitation_list_range(catalogue_sources(spark, _database(spark, d)), START, END, LIMIT_A, INTERVAL_DAYS,
+    return inv.invitation_list_range(catalogue_sources(spark, _database(spark, d), amount_decimals=2), START, END, LIMIT_A, INTERVAL_DAYS,
                                      "bo_turnover_usd", PCT_A, T_RANGE, True, as_of=AS_OF)
 
 

@@ -54,6 +54,31 @@ def exact(amount: Column, decimals: int = AMOUNT_DECIMALS) -> Column:
     return amount.cast("double").cast(f"decimal(28,{decimals})")
 
 
+def amount_sql(column: str, decimals: int | None = None) -> str:
+    """The row value of an amount whose sum is exact: a decimal as ``exact`` gives it, or whole units of
+    10^-``decimals`` as a ``bigint`` where that many decimals are declared. Units are only taken where they give the amount
+    back; an amount with more decimals, or of 2^53 units and more, raises."""
+    if decimals is None:
+        return f"CAST(CAST({column} AS DOUBLE) AS DECIMAL(28,{AMOUNT_DECIMALS}))"
+    scale, most = f"{10 ** decimals}.0D", f"{2 ** 53}.0D"
+    return (f"CASE WHEN {column} IS NULL THEN NULL "
+            f"WHEN rint({column} * {scale}) / {scale} = {column} AND abs({column}) * {scale} < {most} "
+            f"THEN CAST(rint({column} * {scale}) AS BIGINT) "
+            f"ELSE CAST(raise_error(concat('amount with more than {decimals} decimals: ', CAST({column} AS STRING))) AS BIGINT) END")
+
+
+def zero_sql(decimals: int | None = None) -> str:
+    return f"CAST(0 AS DECIMAL(28,{AMOUNT_DECIMALS}))" if decimals is None else "0L"
+
+
+def total_sql(total: str, decimals: int | None = None) -> str:
+    """The sum of ``amount_sql`` values as a decimal amount."""
+    if decimals is None:
+        return total
+    unit = f"CAST('{10 ** -decimals:.{decimals}f}' AS DECIMAL({decimals + 1},{decimals}))"
+    return f"CAST(CAST({total} AS DECIMAL(20,0)) * {unit} AS DECIMAL(38,{AMOUNT_DECIMALS}))"
+
+
 def crossed(cumulative: Column, daily: Column, threshold: float) -> Column:
     """Running total reached the threshold on this row and was below it before the row."""
     t = F.lit(float(threshold))

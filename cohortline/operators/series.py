@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortline.functions.columns import AMOUNT_DECIMALS, safe_percentage
+from cohortline.functions.columns import zero_sql
 from cohortline.operators.rollup import KEY, DailyPart, Measure, in_scope
 from cohortline.params import Scope
 
@@ -41,9 +41,8 @@ def tall_rows(parts: list[DailyPart]) -> DataFrame:
     """All parts' rows in one relation: (actor_id, date, <measures>, <row flags>); another part's
     columns are typed NULLs. Rows without an actor are dropped (the full join would never merge
     them; the profile join drops them)."""
-    tall = [part.rows.filter(F.col("actor_id").isNotNull()).select(
-                "actor_id", "date", *[m.value.alias(m.name) for m in part.measures],
-                F.lit(1).cast("bigint").alias(part.flag))
+    tall = [part.rows.filter("actor_id IS NOT NULL").select(
+                "actor_id", "date", *[m.row_value() for m in part.measures], F.expr(f"1L AS {part.flag}"))
             for part in parts]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tall)
 
@@ -56,7 +55,7 @@ def merge_daily(parts: list[DailyPart]) -> DataFrame:
     """
     union = tall_rows(parts)
     measures = [(p, m) for p in parts for m in p.measures]
-    daily = union.groupBy(*KEY).agg(*_exprs([f"sum({m.name}) AS {m.name}" for _, m in measures]
+    daily = union.groupBy(*KEY).agg(*_exprs([f"{m.total(f'sum({m.name})')} AS {m.name}" for _, m in measures]
                                             + [f"count({p.flag}) AS {p.flag}" for p in parts]))
     out = [F.when(F.col(p.flag) > 0, m.post(F.col(m.name))).alias(m.name) if m.post
            else F.expr(f"CASE WHEN {p.flag} > 0 THEN {m.name} END AS {m.name}") for p, m in measures]
@@ -72,13 +71,10 @@ def running_totals(daily: DataFrame, parts: list[DailyPart]) -> DataFrame:
 
 def daily_part(part: DailyPart) -> DailyPart:
     """The part over its daily rows, for measures whose daily sum is not additive (rounded)."""
-    names = {m.name: F.col(m.name) for m in part.measures}
-    daily = part.rows.filter(F.col("actor_id").isNotNull()).groupBy(*KEY).agg(
-        *[F.sum(m.value).alias(m.name) for m in part.measures])
-    daily = daily.select(*KEY, *[(m.post(names[m.name]) if m.post else names[m.name]).alias(m.name)
-                                 for m in part.measures])
-    return DailyPart(part.name, daily, [Measure(m.name, names[m.name], m.kind) for m in part.measures],
-                     part.ratios)
+    rows = part.rows.filter("actor_id IS NOT NULL").select(*KEY, *[m.row_value() for m in part.measures])
+    daily = rows.groupBy(*KEY).agg(*_exprs([f"{m.total(f'sum({m.name})')} AS {m.name}" for m in part.measures]))
+    daily = daily.select(*KEY, *[m.post(F.col(m.name)).alias(m.name) if m.post else m.name for m in part.measures])
+    return DailyPart(part.name, daily, [Measure(m.name, m.name, m.kind) for m in part.measures], part.ratios)
 
 
 def snapshot_totals(parts: list[DailyPart], day) -> DataFrame:
@@ -88,12 +84,14 @@ def snapshot_totals(parts: list[DailyPart], day) -> DataFrame:
     by actor with conditional sums, partially aggregated map side. Only a part whose daily
     sums are rounded (converted deals) is grouped by day first.
     """
-    daily = tall_rows([daily_part(p) if any(m.post for m in p.measures) else p for p in parts])
+    parts = [daily_part(p) if any(m.post for m in p.measures) else p for p in parts]
+    daily = tall_rows(parts)
     on_day = f"date = DATE'{day.isoformat()}'"
     measures = [(p, m) for p in parts for m in p.measures]
     aggs = [f"sum(CASE WHEN {on_day} THEN {p.flag} END) AS {p.flag}" for p in parts]
     for _, m in measures:
-        aggs += [f"sum(CASE WHEN {on_day} THEN {m.name} END) AS {m.name}", f"sum({m.name}) AS cumulative_{m.name}"]
+        today = m.total(f"sum(CASE WHEN {on_day} THEN {m.name} END)")
+        aggs += [f"{today} AS {m.name}", f"{m.total(f'sum({m.name})')} AS cumulative_{m.name}"]
     grouped = daily.filter(F.col("date") <= F.lit(day)).groupBy("actor_id").agg(*_exprs(aggs))
     any_row = " OR ".join(f"coalesce({p.flag}, 0) > 0" for p in parts)
     cols = [f"DATE'{day.isoformat()}' AS date", *[p.flag for p in parts]]
@@ -102,41 +100,23 @@ def snapshot_totals(parts: list[DailyPart], day) -> DataFrame:
     return grouped.filter(any_row).select("actor_id", *_exprs(cols))
 
 
-def ratio_columns(parts: list[DailyPart]) -> dict[str, Column]:
-    """C4: daily ratio and ratio of the running sums, x100, NULL on a zero denominator.
-
-    Both sides become doubles before dividing.
-    """
-    cols = {}
-    for p in parts:
-        for r in p.ratios:
-            cols[r.name] = safe_percentage(r.numerator, r.denominator)
-            cols[f"cumulative_{r.name}"] = safe_percentage(r.cumulative_numerator,
-                                                           r.cumulative_denominator)
-    return cols
+def ratio_columns(parts: list[DailyPart]) -> dict[str, str]:
+    """C4: daily ratio and ratio of the running sums, x100, NULL on a zero denominator."""
+    return {f"{prefix}{r.name}": r.sql(prefix) for p in parts for r in p.ratios for prefix in ("", "cumulative_")}
 
 
-def cross_source_columns() -> dict[str, Column]:
+def cross_source_columns() -> dict[str, str]:
     """Cross-source ``pnl_usd`` and ``contract_count`` (each term NULL -> 0).
 
     ``contract_count`` adds deposits and withdrawals to the contract counts, as the
     reference computes it.
     """
-    def z(c):
-        return F.coalesce(F.col(c), F.lit(0))
-
-    def amount(c):
-        return F.coalesce(F.col(c), F.lit(0).cast(f"decimal(28,{AMOUNT_DECIMALS})"))
-    return {
-        "pnl_usd": amount("bo_pnl_usd") + amount("mt5_pnl_usd"),
-        "cumulative_pnl_usd": amount("cumulative_bo_pnl_usd") + amount("cumulative_mt5_pnl_usd"),
-        "contract_count": (z("bo_contract_count") + z("mt5_contract_count")
-                           + z("deposit_count") + z("withdrawal_count")),
-        "cumulative_contract_count": (z("cumulative_bo_contract_count")
-                                      + z("cumulative_mt5_contract_count")
-                                      + z("cumulative_deposit_count")
-                                      + z("cumulative_withdrawal_count")),
-    }
+    def added(zero, *names):
+        return {prefix: " + ".join(f"coalesce({prefix}{n}, {zero})" for n in names) for prefix in ("", "cumulative_")}
+    money = added(zero_sql(), "bo_pnl_usd", "mt5_pnl_usd")
+    count = added("0", "bo_contract_count", "mt5_contract_count", "deposit_count", "withdrawal_count")
+    return {f"{prefix}{name}": texts[prefix] for name, texts in (("pnl_usd", money), ("contract_count", count))
+            for prefix in texts}
 
 
 def finalize(df: DataFrame, parts: list[DailyPart], fill=None, cross_source=False) -> DataFrame:
@@ -154,13 +134,9 @@ def finalize(df: DataFrame, parts: list[DailyPart], fill=None, cross_source=Fals
     for n, kind in kinds.items():
         dtype = "bigint" if kind == "count" else "double"
         for c in (n, f"cumulative_{n}"):
-            if c in derived:
-                v = derived[c] if kind == "ratio" else derived[c].cast(dtype)
-                cols.append((v if fill is None else F.coalesce(v, F.lit(fill).cast(dtype))).alias(c))
-            else:
-                v = f"CAST({c} AS {dtype})"
-                cols.append(F.expr((v if fill is None else f"coalesce({v}, CAST({fill} AS {dtype}))") + f" AS {c}"))
-    return df.select("actor_id", "date", *cols)
+            v = f"CAST({derived.get(c, c)} AS {dtype})"
+            cols.append((v if fill is None else f"coalesce({v}, CAST({fill} AS {dtype}))") + f" AS {c}")
+    return df.selectExpr("actor_id", "date", *cols)
 
 
 def build_series(parts: list[DailyPart], fill=None, cross_source=False, snapshot_day=None) -> DataFrame:

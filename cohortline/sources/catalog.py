@@ -17,8 +17,8 @@
 
 ``result`` is the buy price minus the sell price of the first fact (positive when
 the client lost). Money columns and rates are doubles and are used unrounded: sums
-are taken over decimals of ``functions.columns.AMOUNT_DECIMALS`` places, so they do
-not depend on partition order. Timestamps without time zone; days are UTC days.
+are taken over decimals of ``functions.columns.AMOUNT_DECIMALS`` places, or over whole units where
+``amount_decimals`` declares how many decimals amounts have, so they do not depend on partition order. Timestamps without time zone; days are UTC days.
 """
 
 from __future__ import annotations
@@ -64,6 +64,9 @@ class Sources:
     statuses: DataFrame
     preferences: DataFrame
     clients: DataFrame
+    # decimals that every amount of the facts is declared to have at most (None: not declared). Declared
+    # amounts are summed as whole units in ``bigint``; one with more decimals raises.
+    amount_decimals: int | None = None
 
 
 # What a column of a relation must hold. "key" is an actor, login or client id of any one type.
@@ -129,7 +132,8 @@ def relation(df: DataFrame, name: str, columns: Mapping[str, str] | None = None)
 
 
 def catalogue_sources(spark: SparkSession, tables: str | Mapping[str, str],
-                      columns: Mapping[str, Mapping[str, str]] | None = None) -> "Sources":
+                      columns: Mapping[str, Mapping[str, str]] | None = None,
+                      amount_decimals: int | None = None) -> "Sources":
     """The twelve relations from tables or views of the session's catalogue.
 
     ``tables`` is a database that holds all of them under their own names, or a mapping of
@@ -150,8 +154,8 @@ def catalogue_sources(spark: SparkSession, tables: str | Mapping[str, str],
         faults += wrong
     if faults:
         raise SchemaMismatch("; ".join(faults))
-    return Sources(**found)
+    return Sources(**found, amount_decimals=amount_decimals)
 
 
 def relations(src: "Sources") -> dict[str, DataFrame]:
-    return {f.name: getattr(src, f.name) for f in fields(src)}
+    return {f.name: getattr(src, f.name) for f in fields(src) if f.name in RELATIONS}

@@ -7,8 +7,7 @@ tables. The same mapping is written in SQL for the DuckDB oracle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
 from cohortline.params import (AGENT_DEPOSIT, AGENT_WITHDRAWAL, DEPOSIT, INTERNAL_STATUS,
                                WITHDRAWAL)
@@ -21,35 +20,18 @@ DEAL_ENTRIES = ("in", "out", "out_by", "sell", "credit", "buy")
 INTERNAL_DOMAINS = (("d3.com", "internal"),)
 
 
-def _money(col: str = "value") -> Column:
-    return F.col(col).cast("double")
+# Decimals of the amounts in the test data.
+AMOUNT_DECIMALS = 2
 
-
-def _signed(negative: Column, amount: Column) -> Column:
-    return F.when(negative, -amount).otherwise(amount)
-
-
-def country_of(nationkey: Column) -> Column:
-    return (F.when(nationkey < 10, F.lit("big0"))
-            .when(nationkey < 20, F.lit("big1"))
-            .when(nationkey == 24, F.lit(None).cast("string"))
-            .otherwise(F.concat(F.lit("n"), nationkey.cast("string"))))
-
-
-def email_of(custkey: Column) -> Column:
-    key = custkey.cast("string")
-    dom = (custkey % 7).cast("string")
-    sep = F.when(custkey % 11 == 0, F.lit(".d")).otherwise(F.lit("@d"))
-    return F.concat(F.lit("u"), key, sep, dom, F.lit(".com"))
-
-
-def strength_of(currency: Column) -> Column:
-    """What a unit is worth: the test data's currencies range from strong to very weak ones."""
-    return (F.when(currency == "AUTOMOBILE", F.lit(1.23457))
-            .when(currency == "BUILDING", F.lit(0.00004))
-            .when(currency == "FURNITURE", F.lit(0.00064))
-            .when(currency == "HOUSEHOLD", F.lit(0.01235))
-            .otherwise(F.lit(1.0)))
+# Rules of the role mapping, as SQL expressions over the tables' columns.
+COUNTRY = ("CASE WHEN c_nationkey < 10 THEN 'big0' WHEN c_nationkey < 20 THEN 'big1' "
+           "WHEN c_nationkey = 24 THEN CAST(NULL AS STRING) ELSE concat('n', CAST(c_nationkey AS STRING)) END")
+EMAIL = ("concat('u', CAST(c_custkey AS STRING), CASE WHEN c_custkey % 11 = 0 THEN '.d' ELSE '@d' END, "
+         "CAST(c_custkey % 7 AS STRING), '.com')")
+SERVER = "concat('srv', CAST(c_nationkey % 2 AS STRING))"
+# what a unit is worth: the test data's currencies range from strong to very weak ones
+STRENGTH = ("CASE source_currency WHEN 'AUTOMOBILE' THEN 1.23457D WHEN 'BUILDING' THEN 0.00004D "
+            "WHEN 'FURNITURE' THEN 0.00064D WHEN 'HOUSEHOLD' THEN 0.01235D ELSE 1.0D END")
 
 
 def load_sources(spark: SparkSession, base: str) -> Sources:
@@ -58,111 +40,72 @@ def load_sources(spark: SparkSession, base: str) -> Sources:
                           ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"])
     orders = read_table(spark, base, "orders",
                         ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"])
-    eid = F.col("event_id")
-
-    purchases = events.filter(F.col("event_type") == "purchase")
-    result = _signed(eid % 2 == 1, _money())
-    trades = purchases.select(
-        F.col("user_id").alias("actor_id"),
-        "ts",
-        _money().alias("turnover"),
-        result.alias("result"),
-        F.when(result < 0, _money()).otherwise(F.lit(0.0)).alias("winning_turnover"),
-        F.when(result < 0, F.lit(1)).otherwise(F.lit(0)).cast("bigint").alias("win_count"),
-        (F.lit(1) + eid % 3).cast("bigint").alias("contracts"),
-    )
-
-    pay = events.filter(F.col("event_type").isin("signup", "error"))
-    agent = F.col("value") >= 100          # large payments go through payment agents
-    deposit = F.col("event_type") == "signup"
-    payments = pay.select(
-        F.col("user_id").alias("actor_id"),
-        "ts",
-        F.when(deposit, F.when(agent, F.lit(AGENT_DEPOSIT)).otherwise(F.lit(DEPOSIT)))
-        .otherwise(F.when(agent, F.lit(AGENT_WITHDRAWAL)).otherwise(F.lit(WITHDRAWAL)))
-        .alias("category"),
-        _signed(~deposit, _money()).alias("amount"),
-    )
-
-    clicks = events.filter(F.col("event_type") == "click")
-    profit = _signed(eid % 3 == 0, _money())
-    entries = F.array(*[F.lit(e) for e in DEAL_ENTRIES])
-    deals = clicks.select(
-        F.concat(F.lit("MT"), F.col("user_id").cast("string")).alias("login"),
-        "ts",
-        F.element_at(entries, (eid % len(DEAL_ENTRIES) + 1).cast("int")).alias("entry"),
-        profit.alias("profit"),
-        (-(eid % 5)).cast("double").alias("storage"),
-        F.when(profit > 0, F.lit(1)).otherwise(F.lit(0)).cast("bigint").alias("win_deals"),
-        F.lit(1).cast("bigint").alias("deals"),
-    )
-
-    server = F.concat(F.lit("srv"), (F.col("c_nationkey") % 2).cast("string"))
-    accounts = customer.select(
-        F.concat(F.lit("MT"), F.col("c_custkey").cast("string")).alias("login"),
-        F.col("c_mktsegment").alias("group_name"),
-        server.alias("server"),
-        F.col("c_custkey").alias("actor_id"),
-    )
-    account_groups = customer.select(
-        F.col("c_mktsegment").alias("group_name"), server.alias("server"),
-        F.col("c_mktsegment").alias("currency"),
-    ).distinct()
-
-    views = events.filter(F.col("event_type") == "view").join(
-        customer.select(F.col("c_custkey").alias("user_id"), "c_mktsegment"), "user_id")
-    per_day = views.groupBy(F.to_date("ts").alias("rate_date"),
-                            F.col("c_mktsegment").alias("source_currency")).agg(
-        F.count(F.lit(1)).alias("n"))
-    targets = F.array(F.struct(F.lit("USD").alias("target_currency"), F.lit(1).alias("base")),
-                      F.struct(F.lit("EUR").alias("target_currency"), F.lit(2).alias("base")))
-    fx_rates = per_day.select("rate_date", "source_currency",
-                              F.explode(targets).alias("t"), "n").select(
-        "rate_date", "source_currency", F.col("t.target_currency").alias("target_currency"),
-        ((F.col("t.base").cast("double") + F.col("n").cast("double") * F.lit(0.001))
-         * strength_of(F.col("source_currency"))).alias("rate"),
-    )
-
-    closed_trades = clicks.select(
-        F.to_date("ts").alias("trade_date"),
-        F.col("user_id").alias("actor_id"),
-        F.when(F.col("value") < 5, F.lit("CTRADER")).otherwise(F.lit("MT5")).alias("platform"),
-        _signed(eid % 3 != 0, _money()).alias("closed_pnl"),
-        (F.lit(1) + eid % 2).cast("bigint").alias("trade_count"),
-    )
-
-    profile = customer.select(
-        F.col("c_custkey").alias("actor_id"),
-        country_of(F.col("c_nationkey")).alias("country"),
-        email_of(F.col("c_custkey")).alias("email"),
-        F.col("c_name").alias("login_list"),
-    )
-
-    internal_domains = spark.createDataFrame(list(INTERNAL_DOMAINS), "domain string, company string")
-
-    priority = F.substring("o_orderpriority", 1, 1)
-    statuses = orders.select(
-        F.col("o_custkey").alias("actor_id"),
-        F.when((F.col("o_orderstatus") == "F") & (priority == "1"), F.lit(INTERNAL_STATUS))
-        .otherwise(F.concat(F.col("o_orderstatus"), F.lit("-"), priority)).alias("status_code"),
-    ).distinct()
-
-    preferences = customer.filter(F.col("c_acctbal") >= 0).select(
-        F.col("c_custkey").cast("string").alias("user_ref"),
-        F.when(F.col("c_acctbal") > 9000, F.lit("true")).otherwise(F.lit("false"))
-        .alias("unsubscribed"),
-    )
-
-    clients = orders.select(
-        F.col("o_custkey").alias("actor_id"),
-        F.col("o_orderpriority").alias("first_name"),
-        F.col("o_orderstatus").alias("last_name"),
-        F.col("o_orderdate").alias("joined_at"),
-        F.col("o_orderkey").alias("client_seq"),
-    )
+
+    trades = events.filter("event_type = 'purchase'").selectExpr(
+        "user_id AS actor_id", "ts", "value AS turnover",
+        "CASE WHEN event_id % 2 = 1 THEN -value ELSE value END AS result", "event_id").selectExpr(
+        "actor_id", "ts", "turnover", "result",
+        "CASE WHEN result < 0 THEN turnover ELSE 0.0D END AS winning_turnover",
+        "CAST(CASE WHEN result < 0 THEN 1 ELSE 0 END AS BIGINT) AS win_count",
+        "CAST(1 + event_id % 3 AS BIGINT) AS contracts")
+
+    # large payments go through payment agents
+    payments = events.filter("event_type IN ('signup', 'error')").selectExpr(
+        "user_id AS actor_id", "ts",
+        f"CASE WHEN event_type = 'signup' THEN CASE WHEN value >= 100 THEN '{AGENT_DEPOSIT}' ELSE '{DEPOSIT}' END "
+        f"ELSE CASE WHEN value >= 100 THEN '{AGENT_WITHDRAWAL}' ELSE '{WITHDRAWAL}' END END AS category",
+        "CASE WHEN event_type <> 'signup' THEN -value ELSE value END AS amount")
+
+    clicks = events.filter("event_type = 'click'")
+    entries = ", ".join(f"'{e}'" for e in DEAL_ENTRIES)
+    deals = clicks.selectExpr(
+        "concat('MT', CAST(user_id AS STRING)) AS login", "ts",
+        f"element_at(array({entries}), CAST(event_id % {len(DEAL_ENTRIES)} + 1 AS INT)) AS entry",
+        "CASE WHEN event_id % 3 = 0 THEN -value ELSE value END AS profit",
+        "CAST(-(event_id % 5) AS DOUBLE) AS storage").selectExpr(
+        "*", "CAST(CASE WHEN profit > 0 THEN 1 ELSE 0 END AS BIGINT) AS win_deals", "1L AS deals")
+
+    accounts = customer.selectExpr("concat('MT', CAST(c_custkey AS STRING)) AS login", "c_mktsegment AS group_name",
+                                   f"{SERVER} AS server", "c_custkey AS actor_id")
+    account_groups = customer.selectExpr("c_mktsegment AS group_name", f"{SERVER} AS server",
+                                         "c_mktsegment AS currency").distinct()
+
+    views = events.filter("event_type = 'view'").join(
+        customer.selectExpr("c_custkey AS user_id", "c_mktsegment AS source_currency"), "user_id")
+    per_day = views.selectExpr("to_date(ts) AS rate_date", "source_currency").groupBy("rate_date", "source_currency").count()
+    fx_rates = per_day.selectExpr(
+        "rate_date", "source_currency", "count",
+        "explode(array(named_struct('target', 'USD', 'base', 1.0D), named_struct('target', 'EUR', 'base', 2.0D))) AS t").selectExpr(
+        "rate_date", "source_currency", "t.target AS target_currency",
+        f"(t.base + CAST(count AS DOUBLE) * 0.001D) * {STRENGTH} AS rate")
+
+    closed_trades = clicks.selectExpr(
+        "to_date(ts) AS trade_date", "user_id AS actor_id",
+        "CASE WHEN value < 5 THEN 'CTRADER' ELSE 'MT5' END AS platform",
+        "CASE WHEN event_id % 3 <> 0 THEN -value ELSE value END AS closed_pnl",
+        "CAST(1 + event_id % 2 AS BIGINT) AS trade_count")
+
+    profile = customer.selectExpr("c_custkey AS actor_id", f"{COUNTRY} AS country", f"{EMAIL} AS email",
+                                  "c_name AS login_list")
+
+    domains = ", ".join(f"named_struct('domain', '{d}', 'company', '{c}')" for d, c in INTERNAL_DOMAINS)
+    internal_domains = spark.sql(f"SELECT d.domain, d.company FROM (SELECT explode(array({domains})) AS d)")
+
+    statuses = orders.selectExpr(
+        "o_custkey AS actor_id",
+        f"CASE WHEN o_orderstatus = 'F' AND substring(o_orderpriority, 1, 1) = '1' THEN '{INTERNAL_STATUS}' "
+        "ELSE concat(o_orderstatus, '-', substring(o_orderpriority, 1, 1)) END AS status_code").distinct()
+
+    preferences = customer.filter("c_acctbal >= 0").selectExpr(
+        "CAST(c_custkey AS STRING) AS user_ref",
+        "CASE WHEN c_acctbal > 9000 THEN 'true' ELSE 'false' END AS unsubscribed")
+
+    clients = orders.selectExpr("o_custkey AS actor_id", "o_orderpriority AS first_name", "o_orderstatus AS last_name",
+                                "o_orderdate AS joined_at", "o_orderkey AS client_seq")
 
     return Sources(trades=trades, payments=payments, deals=deals, accounts=accounts,
                    account_groups=account_groups, fx_rates=fx_rates,
                    closed_trades=closed_trades, profile=profile,
                    internal_domains=internal_domains, statuses=statuses,
-                   preferences=preferences, clients=clients)
+                   preferences=preferences, clients=clients,
+                   amount_decimals=AMOUNT_DECIMALS)

@@ -152,3 +152,29 @@ def test_snapshot_equals_running_totals_of_the_day(spark):
                        payments=[(1, ts(3), "Client Deposit", 0.1), (1, ts(2), "Client Deposit", 0.2)])
     whole = daily_summary(src, _spec()).filter("date = '2024-01-03'")
     assert sorted(map(tuple, daily_summary(src, _spec(), day(3)).collect())) == sorted(map(tuple, whole.collect()))
+
+
+def test_declared_decimals_sum_units_and_refuse_finer_amounts(spark):
+    import random
+    import pytest
+    from dataclasses import replace
+
+    from cohortline.plans.summary import daily_summary, snapshot_summary, spec_v1, spec_v2, spec_v5
+    from pyspark.sql import functions as F
+    rng = random.Random(2)
+    trades = [trade(rng.randint(1, 4), rng.randint(1, 20), rng.choice([0.1, 0.07, 1e9 + 0.01, 33.33]), rng.choice([0.29, -1.15, 0.0]))
+              for _ in range(80)]
+    payments = [(rng.randint(1, 4), ts(rng.randint(1, 20)), "Client Deposit", rng.choice([0.01, None, 8.07])) for _ in range(40)]
+    closed = [(day(rng.randint(1, 20)), rng.randint(1, 4), "MT5", rng.choice([-0.35, 0.7]), 1) for _ in range(40)]
+    src = make_sources(spark, trades=trades, payments=payments, closed_trades=closed)
+    units = replace(src, amount_decimals=2)
+    for spec in (spec_v1(day(1)), spec_v2(), spec_v5(day(21))):
+        a, b = daily_summary(src, spec), daily_summary(units, spec)
+        assert a.dtypes == b.dtypes
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    assert sorted(map(str, snapshot_summary(src, day(16)).collect())) == sorted(map(str, snapshot_summary(units, day(16)).collect()))
+    for wrong in (0.015, float("nan"), float("inf"), 1e15):
+        bad = replace(make_sources(spark, trades=[trade(1, 2, 5)]), amount_decimals=2)
+        bad.trades = bad.trades.withColumn("turnover", F.lit(wrong))
+        with pytest.raises(Exception, match="decimals|OVERFLOW|NaN|malformed|cannot be represented"):
+            daily_summary(bad, spec_v1(day(1))).collect()
