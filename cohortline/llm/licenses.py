@@ -63,6 +63,15 @@ def seeds(notice: Notice) -> list[tuple[str, int]]:
     return [(notice.text[a:b], a) for a, b in zip(cuts, cuts[1:])]
 
 
+def spaces_before(line: str, places: set[int]) -> dict[int, int]:
+    """How many spaces stand before each place, in one sweep over the line."""
+    out, at, total = {}, 0, 0
+    for place in sorted(places):
+        total += line.count(" ", at, place)
+        out[place], at = total, place
+    return out
+
+
 class Scanner:
     def __init__(self, phrases: dict[str, str], notices: tuple[Notice, ...]):
         self.phrases = [(f" {p} ", label) for p, label in phrases.items()]
@@ -132,14 +141,14 @@ class Scanner:
             return 0, 0, None, None, "", "", 0.0, []
         line = f" {b' '.join(words).decode('utf-8', 'surrogatepass')} "
         at, labels = self.base(line)
+        found = self.fuzzy(line) if self.notices else []
+        before = spaces_before(line, {*at, *(x for _, begin, end, _ in found for x in (begin, begin + 1, end))})
         spans, score = [], 1.0 if at else 0.0
-        if self.notices:
-            for i, begin, end, errors in self.fuzzy(line):
-                first = line.count(" ", 0, begin + 1) - 1
-                notice = self.notices[i]
-                spans.append((notice.label, first, first + line.count(" ", begin, end) + 1 - (line[begin] == " "), errors))
-                score = max(score, 1.0 - errors / len(notice.text))
-        starts = [line.count(" ", 0, i) for i in at]
+        for i, begin, end, errors in found:
+            first, notice = before[begin + 1] - 1, self.notices[i]
+            spans.append((notice.label, first, first + before[end] - before[begin] + 1 - (line[begin] == " "), errors))
+            score = max(score, 1.0 - errors / len(notice.text))
+        starts = [before[i] for i in at]
         both = sorted(set(labels) | {s[0] for s in spans})
         return (len(words), len(at), min(starts, default=None), max(starts, default=None),
                 ",".join(sorted(set(labels))), ",".join(both), score, sorted(set(spans)))
