@@ -7,11 +7,11 @@ grouping, checksums) and context (cue words, quotes and assignment signs beside
 per kind, calibrated to a precision, selects what is added. Added spans never overlap base spans.
 
 The trees are fitted on candidates of a bounded sample of documents (``max_documents`` of at most
-``max_chars``, ``max_candidates``, both chosen by a hash) and on a fixed set of written examples. The
+``max_chars``, ``max_candidates``, both chosen by a hash) and on written lines. The
 thresholds are set on the candidates of all documents that were not fitted, scored and counted on the
 executors, and on the written examples that were held back. The
-tables hold no labels for spans, so checkable formats supply them: a checksum, an octet range, a key
-format or an assignment makes a candidate positive.
+tables hold no labels for spans, so checkable formats supply them there: a checksum, an octet range, a key
+format or an assignment makes a candidate positive. The written lines carry their own truth, which the features do not hold.
 
 Defined results: a null text counts as empty and has no spans; every input row has one output row.
 Offsets are code points, ends exclusive.
@@ -108,9 +108,10 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 # ------------------------------------------------------------------ candidates
 
-# Broad forms by kind; a candidate needs a digit or an at sign, so most texts are passed over.
+# Broad forms by kind. A key needs a digit, or a cue word and an assignment sign before it; an address an at sign in
+# brackets; the others digits; so most texts are passed over.
 GENERATORS = (
-    (0, re.compile(r"[\w.%+-]{1,64}[ ]?(?:\(at\)|\[at\])[ ]?[\w-]{1,63}(?:[ ]?(?:\.|\(dot\)|\[dot\])[ ]?[\w-]{1,63}){1,5}")),
+    (0, re.compile(r"[\w.%+-]{1,64}[ ]?[(\[{<]at[)\]}>][ ]?[\w-]{1,63}(?:[ ]?(?:\.|[(\[{<]dot[)\]}>])[ ]?[\w-]{1,63}){1,5}", re.I)),
     (2, re.compile(r"(?<![0-9])[0-9]{4}[ .-][0-9]{4}[ .-][0-9]{4}[ .-][0-9]{2,7}(?![0-9])")),
     (3, re.compile(r"(?<![0-9])(?:00[ ]?)?\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])")),
     (4, re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,4})?(?![A-Za-z0-9])")),
@@ -120,13 +121,18 @@ GENERATORS = (
 _WITH_DIGIT = re.compile(r"(?<!\S)[^\s0-9]*+[0-9]\S*")
 _CUES = re.compile(r"token|key|secret|passw|api|auth|iban|account|konto|ssn|social|phone|tel|call|mobile|card|mail|kontakt|contact", re.I)
 _ASSIGNED = re.compile(r"""[=:]\s*["']?$""")
+_AT = re.compile(r"[(\[{<]at[)\]}>]", re.I)
+# a secret of letters only: 16 or more of them after a cue word and an assignment sign
+_LETTERS = re.compile(r"""(?:token|key|secret|passw(?:or)?d|passphrase|pwd|auth)["']?[ \t]{0,4}(?:=|:|:=|=>)[ \t]{0,4}["']?([A-Za-z_+/-]{16,}=*)(?![A-Za-z0-9_+/-])""", re.I)
 
 
 def candidates(text: str) -> list[tuple[int, int, int]]:
     """(start, kind, end) of everything the broad generators propose; spans may overlap."""
     out = []
-    if "(at)" in text or "[at]" in text:
+    if _AT.search(text):
         out += [(m.start(), 0, m.end()) for m in GENERATORS[0][1].finditer(text)]
+    if "=" in text or ":" in text:
+        out += [(m.start(1), 5, m.end(1)) for m in _LETTERS.finditer(text)]
     if not _DIGIT.search(text):
         return out
     for kind, pattern in GENERATORS[1:]:
@@ -261,25 +267,40 @@ def iban(country: str, account: str) -> str:
     return f"{country}{98 - rest:02d}{account}"
 
 
-def examples() -> list[tuple[str, int, int, int]]:
-    """Written examples (text, start, kind, end), positive and negative by ``weak_label``."""
-    rng = np.random.default_rng(5)
-    texts = []
-    for _ in range(60):
-        word = lambda n, s=string.ascii_lowercase: "".join(rng.choice(list(s), n))
-        num = lambda n: word(n, string.digits)
-        texts += [f'token = "{word(40, "0123456789abcdef")}" set', f"key AKIA{word(16, string.ascii_uppercase + '234567')} in",
-                  f"api_key: {word(32, string.ascii_letters + string.digits)} ok", f"see {word(12)}{num(3)}-{word(6)} and so",
-                  f"ssn {num(3)}-{num(2)}-{num(4)} of", f"call ({num(3)}) {num(3)}-{num(4)} now", f"id {num(4)} {num(4)} {num(4)} {num(4)} x",
-                  f"mail {word(6)} (at) {word(7)} (dot) com", f"part {word(4)}{num(14)} of", f"/{word(8)}/{num(8)}/{word(9)}.html x",
-                  f"iban DE{num(20)} here", f"code {word(2, string.ascii_uppercase)}{num(16)} there", f"build-{num(8)}-{word(8)}-{num(6)} is"]
+def written(seed: int = 5, n: int = 60) -> list[tuple[str, int | None]]:
+    """Written lines, each with the truth of its candidates as whoever wrote the line knows it (None: the format's
+    checksum or rule is the truth). Features do not hold it: names after a cue word look like secrets, secrets stand without one."""
+    rng = np.random.default_rng(seed)
+    word = lambda n, s=string.ascii_lowercase: "".join(rng.choice(list(s), n))
+    num = lambda n: word(n, string.digits)
+    said = ("internationalization", "configuration_name", "responsibilities", "usr/local/share/documents", "getApplicationContext",
+            "authentication-provider", "straightforwardly", "primary_key_constraint")
+    lines: list[tuple[str, int | None]] = []
+    for i in range(n):
+        mixed = word(24, string.ascii_letters)
+        lines += [(f'token = "{word(40, "0123456789abcdef")}" set', 1), (f"key AKIA{word(16, string.ascii_uppercase + '234567')} in", 1),
+                  (f"api_key: {word(32, string.ascii_letters + string.digits)} ok", 1), (f"see {word(12)}{num(3)}-{word(6)} and so", 0),
+                  (f'password = "{word(24) if i % 2 else mixed}" for', 1), (f"secret: {word(int(rng.integers(18, 30)))} now", 1),
+                  (f"{('token', 'key', 'secret', 'auth')[i % 4]}: {said[i % len(said)]} is", 0),
+                  (f"mail {word(6)} (at) {word(7)} (dot) com", 1), (f"bob.{word(5)} [AT] {word(6)} (DOT) org", 1),
+                  (f"meet {word(4)} (at) {num(1)}.{num(2)} pm", 0),
+                  (f"ssn {num(3)}-{num(2)}-{num(4)} of", None), (f"call ({num(3)}) {num(3)}-{num(4)} now", None),
+                  (f"id {num(4)} {num(4)} {num(4)} {num(4)} x", None), (f"part {word(4)}{num(14)} of", 0),
+                  (f"/{word(8)}/{num(8)}/{word(9)}.html x", 0), (f"iban DE{num(20)} here", None),
+                  (f"code {word(2, string.ascii_uppercase)}{num(16)} there", None), (f"build-{num(8)}-{word(8)}-{num(6)} is", 0)]
     banks = (("DE", 0, 18), ("FR", 0, 23), ("ES", 0, 20), ("GB", 4, 14), ("NL", 4, 10), ("CH", 0, 17))
-    for i in range(120):
-        country, letters, n = banks[i % len(banks)]
-        s = iban(country, word(letters, string.ascii_uppercase) + num(n))
+    for i in range(2 * n):
+        country, letters, k = banks[i % len(banks)]
+        s = iban(country, word(letters, string.ascii_uppercase) + num(k))
         s = s if i // len(banks) % 2 else " ".join(s[k:k + 4] for k in range(0, len(s), 4))
-        texts.append((f"iban {s} here", f"pay to {s}, please", f"konto: {s}.")[i % 5 % 3])
-    return [(t, *c) for t in texts for c in candidates(t)]
+        lines.append(((f"iban {s} here", f"pay to {s}, please", f"konto: {s}.")[i % 5 % 3], None))
+    return lines
+
+
+def examples(seed: int = 5) -> list[tuple[list[float], int]]:
+    """Features and truth of the candidates of the written lines."""
+    return [(features(t, *c), truth if truth is not None and c[1] in (0, 5) else weak_label(t, *c))
+            for t, truth in written(seed) for c in candidates(t)]
 
 
 def fit_trees(docs: DataFrame, fit: Fit = Fit(), id_col: str = "doc_id", text_col: str = "text") -> Trees:
@@ -297,9 +318,9 @@ def fit_trees(docs: DataFrame, fit: Fit = Fit(), id_col: str = "doc_id", text_co
             .select("id", "i", "c.x", "c.y", F.xxhash64("id").alias("key"))
             .orderBy(F.xxhash64("id", "i"), "id", "i").limit(fit.max_candidates))
     got = [(r["x"], r["y"], (r["key"], r["i"])) for r in each.collect()]
-    written = [(features(*e), weak_label(*e), None) for e in examples()]
-    held = np.random.default_rng(fit.seed).random(len(got) + len(written)) < 0.3
-    got += written
+    known = [(*e, None) for e in examples()]
+    held = np.random.default_rng(fit.seed).random(len(got) + len(known)) < 0.3
+    got += known
     x, y = np.array([g[0] for g in got]), np.array([g[1] for g in got], float)
     model = boost(x[~held], y[~held], fit)
     counts = counted(src, model, [g[2] for g, z in zip(got, held) if g[2] and not z])
