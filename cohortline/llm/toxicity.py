@@ -31,6 +31,7 @@ BITS = 16          # size of the embedding table
 PREFIXES = (4, 5)  # bytes of a word that have an embedding of their own
 PAD = 3            # words of padding after each text: the width of the widest filter
 BINS = 1000        # of the scores from 0 to 1, for the thresholds
+START = 0.3        # of the log-odds, in the embedding that the fit starts from
 FINE, LIMIT = 64, 32   # bins of the logits, for the scale: so many to 1, from -LIMIT to LIMIT
 
 
@@ -54,6 +55,7 @@ class Fit:
     precision: float = 0.95
     base_threshold: float = 0.7
     pooled_weight: float = 20.0   # rows that the pooled precision counts as in a language's own
+    smoothing: float = 2.0        # documents of each label that every word counts as more, where the fit starts
 
 
 @dataclass
@@ -111,6 +113,18 @@ def word_ids(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return ids, bounds
 
 
+def log_odds(texts: list[np.ndarray], y: np.ndarray, smoothing: float) -> np.ndarray:
+    """Of every id of the table: how much likelier a toxic text holds it than a clean one, as a share of a word's kinds of ids."""
+    seen = np.zeros((2, 1 << BITS))
+    for ids, label in zip(texts, y):
+        seen[int(label > 0), np.unique(ids)] += 1
+    n = np.array([[(y <= 0).sum()], [(y > 0).sum()]])
+    rate = np.log((seen + smoothing) / (n + 2 * smoothing))
+    odds = np.where(seen.sum(0) > 0, rate[1] - rate[0], 0.0) / (1 + len(PREFIXES))
+    odds[0] = 0.0
+    return odds.astype(np.float32)
+
+
 def train(texts: list[np.ndarray], y: np.ndarray, fit: Fit) -> Model:
     """Fit by Adam on texts given as padded id arrays."""
     rng = np.random.default_rng(fit.seed)
@@ -118,6 +132,10 @@ def train(texts: list[np.ndarray], y: np.ndarray, fit: Fit) -> Model:
                   [rng.normal(0, (w * fit.dims) ** -0.5, (w, fit.dims, fit.filters)).astype(np.float32) for w in fit.widths],
                   [np.zeros(fit.filters, np.float32) for _ in fit.widths],
                   rng.normal(0, 0.3, fit.filters * len(fit.widths)).astype(np.float32), 0.0)
+    # one filter of one word starts as the log-odds of the words: with few labels, rare cue words would drown otherwise
+    model.embedding[:, 0] = START * log_odds(texts, y, fit.smoothing)
+    model.conv[0][0, :, 0] = np.eye(fit.dims, dtype=np.float32)[0]
+    model.out[0] = 1.0
     bias = np.zeros(1, np.float32)
     weights = [model.embedding, *model.conv, *model.bias, model.out, bias]
     first, second = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights]

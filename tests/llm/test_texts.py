@@ -215,6 +215,17 @@ def test_notices_beside_better_ones_are_found():
     assert len(licenses.scanner((), licenses.NOTICES).scan((edited + "\n") * 3000)[7]) == 3000
 
 
+def test_many_places_in_one_text_take_time_in_proportion():
+    import time
+    scan, times = licenses.scanner(tuple(licenses.PHRASES.items()), licenses.NOTICES).scan, []
+    for n in (20_000, 80_000):
+        began = time.thread_time()
+        found = scan("the mit license of words " * n)
+        times.append(time.thread_time() - began)
+        assert found[1] == n and found[2:4] == (1, 5 * n - 4)
+    assert times[1] < 10 * times[0] + 0.5
+
+
 def test_seeds_cover_the_notice():
     for notice in (*licenses.NOTICES, Notice("x", "abc", 1)):
         assert "".join(s for s, _ in licenses.seeds(notice)) == notice.text
@@ -294,6 +305,29 @@ def test_pii_thresholds_count_the_candidates_of_all_documents(spark):
     assert pii.threshold(Counter({(6, 64, 1): 9, (6, 64, 0): 3}), 6, pii.Fit()) == 1.1
 
 
+def test_generators_are_broad():
+    for text, found in (('password = "correcthorsebatterystaple"', "correcthorsebatterystaple"),
+                        ("api_key: abcdefghijklmnopqrstuvwxyz", "abcdefghijklmnopqrstuvwxyz"),
+                        ("bob (AT) example (DOT) com", "bob (AT) example (DOT) com"), ("ann[at]mail.example.org", "ann[at]mail.example.org"),
+                        ("'secret': \"QwErTyUiOpAsDfGhJkLz\"", "QwErTyUiOpAsDfGhJkLz"), ("token abc1def2ghi3jkl4mno5", "abc1def2ghi3jkl4mno5")):
+        assert found in [text[a:b] for a, _, b in pii.candidates(text)], text
+    assert pii.candidates("a key: short and other words, no assignment of internationalization") == []
+
+
+def test_pii_precision_and_recall_on_written_truth(spark):
+    rng = random.Random(3)
+    docs = documents(spark, [(i, " ".join(f"w{rng.randint(0, 50)}" for _ in range(30))) for i in range(50)])
+    model = pii.fit_trees(docs)
+    lines = [(t, truth) for t, truth in pii.written(seed=77) if truth is not None]       # another draw than the fitted one
+    spans = pii.added_spans([t for t, _ in lines], [[] for _ in lines], model)
+    got = [(bool([s for s in found if s[1] in (0, 5)]), truth) for (_, truth), found in zip(lines, spans)]
+    chosen = [truth for found, truth in got if found]
+    assert sum(chosen) / len(chosen) > 0.93 and sum(chosen) / sum(t for _, t in lines) > 0.9
+    masked = {r["doc_id"]: r["text"] for r in pii.redact(documents(spark, [
+        (1, 'password = "correcthorsebatterystaple" x'), (2, "bob.smith (AT) example (DOT) com x")]), model).collect()}
+    assert masked == {1: 'password = "[KEY]" x', 2: "[EMAIL] x"}
+
+
 def test_boosted_trees_learn_a_rule():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(4000, 6))
@@ -319,6 +353,18 @@ def toxic_corpus(n=900, seed=6):
     return docs, labels
 
 
+def test_toxicity_learns_from_a_few_dozen_toxic_rows(spark):
+    rows, labels = toxic_corpus(1500, seed=9)
+    few = [(i, q, y) for k, (i, q, y) in enumerate(labels) if not y or k % 9 == 0 or zlib.crc32(str(i).encode()) % 3 == 1]
+    assert 20 <= sum(y for i, _, y in few if zlib.crc32(str(i).encode()) % 3 != 1) <= 45
+    docs = documents(spark, rows)
+    model = toxicity.fit_model(docs, spark.createDataFrame(few, "doc_id long, quality int, toxic int"))
+    got = {r["doc_id"]: r["score"] for r in toxicity.score_documents(docs, model).collect()}
+    held = [(got[i], y) for i, _, y in few if zlib.crc32(str(i).encode()) % 3 == 1]
+    auc = np.mean([(a > b) + 0.5 * (a == b) for a, y in held if y for b, z in held if not z])
+    assert auc > 0.95
+
+
 def test_toxicity_on_held_out_rows(spark):
     rows, labels = toxic_corpus()
     docs = documents(spark, rows + [(5000, None), (5001, ""), (5002, "nasty " * 9000), (None, "barano")])
