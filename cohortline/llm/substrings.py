@@ -11,7 +11,7 @@ sent once per block of documents.
 
 Defined results: words are runs between ASCII white space, unchanged; a null text has none. Rows of one id do not
 remove each other's words; a row with a null id keeps all its words and removes none of others. Repeats inside one
-document stay. Anchors tell items apart by at least 32 bits and only select candidates; windows by 64 bits.
+document stay. Anchors tell items apart by 53 bits or more and only select candidates; windows by 128 bits.
 """
 
 from __future__ import annotations
@@ -25,11 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import STEP_BYTES, steps, store
-from .exchange import (DIRECTORY, ITEMS, ROW, block_number, buckets, by_block, code, common_items, directory, item_rows,
-                       rows, small, unsmall)
-from .hashing import Words, runs
+from .exchange import (DIRECTORY, ITEMS, ROW, block_number, bucket_of, buckets, by_block, code, common_items,
+                       directory, item_rows, rows, small, unsmall)
+from .hashing import Words, mix, runs
 
 WINDOW = 13
+_OTHER = np.uint64(0xA0761D6478BD642F)   # mixed into the words of the second hash
 ANCHOR = 7      # the longest block of which every window holds a whole one
 
 
@@ -43,6 +44,13 @@ def blobs(part: pa.RecordBatch) -> list[bytes]:
     return [t.encode("utf-8", "surrogatepass") for t in part.column("text").to_pylist()]
 
 
+def first_of_equal(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Where a new pair begins among sorted pairs."""
+    out = np.ones(len(a), bool)
+    out[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return out
+
+
 def intervals(starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Union of ``[s, s + length)`` over ascending starts."""
     if not len(starts):
@@ -51,10 +59,8 @@ def intervals(starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     return starts[np.concatenate([[0], cut + 1])], starts[np.concatenate([cut, [len(starts) - 1]])] + length
 
 
-def candidates(src: DataFrame, window: int, anchor: int) -> DataFrame:
+def candidates(src: DataFrame, window: int, anchor: int, count: int) -> DataFrame:
     """(id, sum, starts): for documents with anchor hits, the words at which windows around them start."""
-    count = buckets(src)
-
     def send(batches):
         made = 0
         for batch in batches:
@@ -69,7 +75,7 @@ def candidates(src: DataFrame, window: int, anchor: int) -> DataFrame:
                 good = np.flatnonzero((here + anchor <= words.bounds[1:][doc]) & (size[doc] >= window))
                 flag = (good - words.bounds[doc[good]]) % anchor == 0
                 codes = code(h[good], count)
-                out, again = item_rows(block, codes, good, flag)
+                out, again = item_rows(block, codes, bucket_of(h[good], count), good, flag)
                 out.append(directory(block, count, part.column("id").to_numpy(zero_copy_only=False).astype(np.int64).tobytes(),
                                      part.column("sum").to_numpy().astype(np.int64).tobytes(), words.bounds.tobytes(),
                                      codes[again].tobytes() + good[again].astype(np.uint32).tobytes()))
@@ -96,9 +102,11 @@ def candidates(src: DataFrame, window: int, anchor: int) -> DataFrame:
     return by_block(common_items(known.mapInArrow(send, ROW)), "id long, sum long, starts binary", finish)
 
 
-def repeated_spans(src: DataFrame, found: DataFrame, window: int) -> DataFrame:
-    """(id, sum, spans): the words covered by windows that a document with a smaller id has too."""
-    count = buckets(src)
+def repeated_spans(src: DataFrame, found: DataFrame, window: int, count: int) -> DataFrame:
+    """(id, sum, spans): the words covered by windows that a document with a smaller id has too.
+
+    Windows are equal if two hashes of 64 bits each are, over differently mixed words.
+    """
     where_to_look = found.groupBy("id", "sum").agg(F.first("starts").alias("starts"))
     asked = src.join(where_to_look, ["id", "sum"])
 
@@ -115,17 +123,16 @@ def repeated_spans(src: DataFrame, found: DataFrame, window: int) -> DataFrame:
                     begin, end = np.frombuffer(s, np.int32).reshape(2, -1).astype(np.int64)
                     at += [np.arange(a, b) + first for a, b in zip(begin.tolist(), end.tolist())]
                 at = np.concatenate(at)
-                h = runs(words.hash, window)[at]
+                h, h2 = runs(words.hash, window)[at], runs(mix(words.hash ^ _OTHER), window)[at]
                 owner = ids[words.doc()[at]]
-                order = np.argsort(h, kind="stable")
-                head = np.ones(len(h), bool)
-                head[1:] = h[order][1:] != h[order][:-1]
+                order = np.lexsort((h2, h))
+                head = first_of_equal(h[order], h2[order])
                 leader = np.empty(len(h), np.int64)
                 leader[order] = order[np.flatnonzero(head)[np.cumsum(head) - 1]]
                 mine = leader == np.arange(len(h))              # the block's first place of a window: of its smallest id
                 local = owner[leader] < owner
                 alias = ~mine & ~local
-                bucket = ((h >> np.uint64(32)) * np.uint64(count) >> np.uint64(32)).astype(np.int64)
+                bucket = bucket_of(h, count)
                 sent = np.flatnonzero(mine)
                 sent = sent[np.argsort(bucket[sent], kind="stable")]
                 edges = np.flatnonzero(np.diff(bucket[sent], prepend=-1, append=-1))
@@ -133,7 +140,7 @@ def repeated_spans(src: DataFrame, found: DataFrame, window: int) -> DataFrame:
                 for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
                     k = sent[a:b]
                     out.append((int(bucket[k[0]]), block, ITEMS, h[k].tobytes(), small(at[k]),
-                                np.diff(owner[k], prepend=0).tobytes(), None))
+                                np.diff(owner[k], prepend=0).tobytes(), h2[k].tobytes()))
                 out.append(directory(block, count, ids.tobytes(), part.column("sum").to_numpy().astype(np.int64).tobytes(),
                                      words.bounds.tobytes(),
                                      np.concatenate([[local.sum()], at[local], at[alias], at[leader[alias]]]).astype(np.int64).tobytes()))
@@ -143,10 +150,10 @@ def repeated_spans(src: DataFrame, found: DataFrame, window: int) -> DataFrame:
         if table.column("part")[0].as_py() == DIRECTORY:
             return table
         blocks = table.column("block").to_pylist()
-        parts = [[np.frombuffer(x, t) for x in table.column(c).to_pylist()] for c, t in (("a", np.uint64), ("c", np.int64))]
-        h, owner = np.concatenate(parts[0]), np.concatenate([np.cumsum(x) for x in parts[1]])
-        order = np.lexsort((owner, h))
-        starts = np.flatnonzero(np.concatenate([[True], h[order][1:] != h[order][:-1]]))
+        parts = [[np.frombuffer(x, t) for x in table.column(c).to_pylist()] for c, t in (("a", np.uint64), ("c", np.int64), ("d", np.uint64))]
+        h, h2, owner = np.concatenate(parts[0]), np.concatenate(parts[2]), np.concatenate([np.cumsum(x) for x in parts[1]])
+        order = np.lexsort((owner, h2, h))
+        starts = np.flatnonzero(first_of_equal(h[order], h2[order]))
         least = np.empty(len(h), np.int64)
         least[order] = np.repeat(owner[order][starts], np.diff(np.append(starts, len(h))))
         hit = least < owner
@@ -179,8 +186,9 @@ def repeated_spans(src: DataFrame, found: DataFrame, window: int) -> DataFrame:
 def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """Stored (id, sum, spans) of the documents that lose words; ``spans`` packs the bounds of word runs."""
     src = keyed(docs, id_col, text_col)
-    found = store(candidates(src, window, (window + 1) // 2))
-    spans = store(repeated_spans(src, found, window))
+    count = buckets(src)
+    found = store(candidates(src, window, (window + 1) // 2, count))
+    spans = store(repeated_spans(src, found, window, count))
     return spans.groupBy("id", "sum").agg(F.first("spans").alias("spans"))
 
 

@@ -163,3 +163,32 @@ def test_embedding_plan_reaches_recall():
     near = np.array([embeddings.collisions(embeddings.quantized(a[None] @ d), embeddings.quantized(b[None] @ d), plan.window)[0, 0]
                      for a, b in zip(x, y)]) >= plan.least
     assert (met & near).mean() > 0.95
+
+
+def test_items_keep_48_bits_beside_their_bucket():
+    from cohortline.llm import exchange
+    rng = np.random.default_rng(2)
+    h = rng.integers(0, 2 ** 64, 5000, dtype=np.uint64)
+    for n in (1, 7, 1000, 60000):
+        codes, bucket = exchange.code(h, n), exchange.bucket_of(h, n)
+        assert bucket.min() >= 0 and bucket.max() < n
+        assert (exchange.unpacked(exchange.packed(codes)) == (h & exchange.LOW)).all()
+        assert (exchange.named(bucket, exchange.unpacked(exchange.packed(codes))) == codes).all()
+    close = np.array([5, 5 + 2 ** 33, 5 + 2 ** 47], np.uint64)      # alike in their last 32 bits
+    assert len(np.unique(exchange.code(close, 48))) == 3
+
+
+def test_buckets_follow_the_texts(spark):
+    from cohortline.llm import exchange
+    df = spark.range(64).selectExpr("id", "repeat('word ', 20000) as text")
+    assert exchange.buckets(df) == 2 * 8 and exchange.buckets(df.limit(0)) == 2 * 8
+    before, exchange.BUCKET_BYTES = exchange.BUCKET_BYTES, 100_000
+    try:
+        assert exchange.buckets(df) == 64
+    finally:
+        exchange.BUCKET_BYTES = before
+
+
+def test_windows_differ_where_either_hash_does():
+    a, b = np.array([1, 1, 1, 2, 2], np.uint64), np.array([1, 1, 3, 3, 3], np.uint64)
+    assert substrings.first_of_equal(a, b).tolist() == [True, False, True, True, False]
