@@ -6,12 +6,15 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from datetime import datetime, timezone
 
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from cohortline.llm import byte_bpe, fingerprints, licenses, packing, pii, toxicity, warc
+from cohortline.llm.common import store
 from cohortline.llm.licenses import Notice
 
 from inputs import awkward, documents
@@ -544,3 +547,60 @@ def test_archives_of_repeated_and_no_pages(spark):
     assert got == [(1, None), (1, None), (2, 1), (None, 1)]
     index, folder = warc.archive_pages(pages.limit(0))
     assert warc.read_records(index, folder).collect() == []
+
+
+@pytest.mark.parametrize("k, block", [(1, 4), (7, 3), (40, 8)])
+def test_merge_holds_a_block_of_each_run(k, block):
+    rng = random.Random(k)
+    blocks, whole = [], []
+    for run in range(k):
+        entries = sorted((f"u{rng.randrange(9)}", f"t{rng.randrange(5)}", True, rng.randrange(30)) for _ in range(rng.randint(1, 120)))
+        keys = [(0, *e, run, i) for i, e in enumerate(entries)]
+        whole += keys
+        # a range may begin or end within a block
+        low = rng.randrange(block)
+        parts = [(keys[i], keys[max(i, low):i + block]) for i in range(0, len(keys), block)]
+        blocks += [(head, part, part) for head, part in parts if part]
+        whole = [x for x in whole if x[5] != run or x[6] >= low]
+    taken = 0
+
+    def reading():
+        nonlocal taken
+        for b in sorted(blocks, key=lambda b: b[0]):
+            taken += len(b[1])
+            yield b
+
+    got = []
+    for row in warc.merged(reading()):
+        got.append(row)
+        assert taken - len(got) <= (k + 1) * block
+    assert got == sorted(whole)
+
+
+def test_many_runs_and_times(spark, tmp_path):
+    rng = random.Random(8)
+    rows = [(i, "http://hot.example.com/" if i % 3 == 0 else f"http://h{rng.randrange(9)}.example.com/{rng.randrange(40)}",
+             f"page {rng.randrange(300)}", rng.randrange(2000)) for i in range(700)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, s long").withColumn("at", F.expr("timestamp_seconds(s * 60)"))
+    index, folder = warc.archive_pages(pages.repartition(5), f"file://{tmp_path}/archives", "at", archive_bytes=8000, run_entries=16)
+    entries = index.orderBy("shard", "position").collect()
+    assert len({r["archive"] for r in entries}) > 5 and len({r["run"] for r in entries}) >= 44
+    when = {i: datetime.fromtimestamp(60 * s, timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ") for i, _, _, s in rows}
+    want = sorted((warc.url_key(u), when[i], i) for i, u, _, _ in rows)
+    assert [(r["url_key"], r["capture"], r["page_id"]) for r in entries] == want
+    assert sorted(r["page_id"] for r in warc.read_records(index, folder).collect()) == list(range(700))
+    # the same in several passes, from the same runs
+    src = pages.select("page_id", "url", "html", F.date_format("at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("capture"))
+    runs = store(warc.write_archives(warc.with_responses(src), f"file://{tmp_path}/more", 8000, 16, block=4))
+    passes = warc.merge_runs(runs, ranges=3, fan_in=4, block=4).orderBy("shard", "position").collect()
+    assert [(r["url_key"], r["capture"], r["page_id"]) for r in passes] == want
+    assert 1 < len({r["run"] for r in passes}) <= 4 and len({r["shard"] for r in passes}) > 1
+
+
+def test_archives_of_string_ids(spark):
+    ids = ["None", "a\r\nb", "", "é / %41>", "urn:page:1", None]
+    pages = spark.createDataFrame([(x, "u", "same") for x in ids], "page_id string, url string, html string")
+    index, folder = warc.archive_pages(pages)
+    got = warc.read_records(index, folder).collect()
+    assert sorted(map(str, [r["page_id"] for r in got])) == sorted(map(str, ids)) and None in {r["page_id"] for r in got}
+    assert {r["refers_to"] for r in got if r["page_id"] != ""} == {""}
